@@ -6,7 +6,7 @@ from strata.operators.mart import build_mart, latest_partition
 from strata.operators.materialize import materialize
 from strata.operators.merge import MergeConflict, conform, merge_frames
 from strata.operators.quality import InvalidDataError, assert_quality, quality_report
-from strata.operators.scd2 import apply_scd2, classify, scd2_changes, with_surrogate_key
+from strata.operators.scd2 import apply_scd2, classify, scd2_change_rows, scd2_changes, with_surrogate_key
 
 __all__ = [
     "DEFAULT_BROADCAST_LIMIT",
@@ -24,6 +24,7 @@ __all__ = [
     "materialize",
     "merge_frames",
     "quality_report",
+    "scd2_change_rows",
     "scd2_changes",
     "with_surrogate_key",
 ]

@@ -31,7 +31,7 @@ from strata.operators.skew import SALT, with_null_salt, zero_salt
 SUR_KEY = "customer_sur_id"
 ATTRIBUTES = ("first_name", "last_name", "state_id", "datetime_created")
 
-NEW, UPDATED, UNCHANGED = "new", "updated", "unchanged"
+NEW, UPDATED, UNCHANGED, CLOSED = "new", "updated", "unchanged", "closed"
 
 
 def with_surrogate_key(
@@ -80,7 +80,7 @@ def classify(
 
 
 def _version(
-    key: Column, sur: Column, attrs: Sequence[Column], updated: Column, current: bool,
+    change: str, key: Column, sur: Column, attrs: Sequence[Column], updated: Column, current: bool,
     valid_from: Column, valid_to: Column, names: Sequence[str], key_name: str, sur_key: str,
     updated_at: str,
 ) -> Column:
@@ -92,10 +92,11 @@ def _version(
         F.lit(current).alias("current"),
         valid_from.alias("valid_from"),
         valid_to.alias("valid_to"),
+        F.lit(change).alias("change"),
     )
 
 
-def scd2_changes(
+def scd2_change_rows(
     source: DataFrame,
     dim: DataFrame,
     key: str = "id",
@@ -103,30 +104,47 @@ def scd2_changes(
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
 ) -> DataFrame:
-    """The change set to upsert into the dimension on ``sur_key``.
-
-    Columns: key, sur_key, attributes..., updated_at, current, valid_from, valid_to.
-    New versions are active with the open end as ``valid_to``; closed rows keep
-    their surrogate key, so the upsert updates them in place.
-    """
+    """The change set with a ``change`` label: ``new``, ``updated`` (new versions of
+    known ids) or ``closed`` (the active rows they replace)."""
     pairs = classify(source, dim, key, updated_at, sur_key, attributes)
     ts_type = pairs.schema[updated_at].dataType
     upd = F.col(updated_at)
-    insert = _version(
-        F.col(key), F.col(sur_key), [F.col(a) for a in attributes], upd, True,
-        upd, open_end().cast(ts_type), attributes, key, sur_key, updated_at,
-    )
+    src_attrs = [F.col(a) for a in attributes]
+
+    def insert(change: str) -> Column:
+        return _version(
+            change, F.col(key), F.col(sur_key), src_attrs, upd, True,
+            upd, open_end().cast(ts_type), attributes, key, sur_key, updated_at,
+        )
+
     close = _version(
-        F.col("_d_key"), F.col("_d_sur"), [F.col(f"_d_{a}") for a in attributes], upd, False,
+        CLOSED, F.col("_d_key"), F.col("_d_sur"), [F.col(f"_d_{a}") for a in attributes], upd, False,
         F.col("_d_from"), upd, attributes, key, sur_key, updated_at,
     )
     # unchanged pairs give NULL, which explode turns into no row
-    versions = F.when(F.col("change") == NEW, F.array(insert)).when(
-        F.col("change") == UPDATED, F.array(insert, close)
+    versions = F.when(F.col("change") == NEW, F.array(insert(NEW))).when(
+        F.col("change") == UPDATED, F.array(insert(UPDATED), close)
     )
     return pairs.select(F.explode(versions).alias("v")).select("v.*")
 
 
+def scd2_changes(
+    source: DataFrame,
+    dim: DataFrame,
+    key: str = "id",
+    updated_at: str = "datetime_updated",
+    sur_key: str = SUR_KEY,
+    attributes: Sequence[str] = ATTRIBUTES,
+) -> DataFrame:
+    """The change set to upsert into the dimension on ``sur_key``.
+
+    Columns: key, sur_key, attributes..., updated_at, current, valid_from, valid_to.
+    New versions are active with the open end as ``valid_to``; closed rows keep
+    their surrogate key, so the upsert updates them in place.
+    """
+    return scd2_change_rows(source, dim, key, updated_at, sur_key, attributes).drop("change")
+
+
 def apply_scd2(
     source: DataFrame,
     dim: DataFrame,

@@ -50,6 +50,7 @@ def build_session(
         builder = builder.master(master)
     confs = dict(SQL_DEFAULTS)
     confs["spark.ui.enabled"] = "false"
+    confs["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         confs["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     confs.update(extra or {})

@@ -57,9 +57,9 @@ def build_session(
     for key, value in confs.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    # getOrCreate() may hand back an existing session: re-apply runtime SQL confs.
+    # getOrCreate() may hand back an existing session: re-apply the runtime SQL confs.
     for key, value in confs.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     checkpoint_root(spark)
     return spark

@@ -15,6 +15,11 @@ join runs once and stays in whole-stage codegen. Rows with a NULL id cannot matc
 a salt column spreads them over many shuffle partitions (``operators.skew``), so a
 NULL-heavy batch cannot pile onto one task. Hot non-NULL ids on the batch side are
 split by AQE skew-join handling (left outer joins split their left side).
+
+When the batch's distinct ids fit a measured broadcast bound, the active rows are
+first semi-joined with a broadcast of those ids: the dimension is then scanned and
+filtered map-side but never shuffled, and only the rows of ids in the batch reach
+the join. Above the bound the plain shuffle join runs.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.keys import surrogate_key
 from strata.functions.temporal import open_end
+from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded
 from strata.operators.skew import SALT, with_null_salt, zero_salt
 
 SUR_KEY = "customer_sur_id"
@@ -59,15 +65,23 @@ def classify(
     updated_at: str = "datetime_updated",
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
+    prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """Source rows joined to their active dimension rows, labelled ``change``.
 
     One row per (source row, matching active row); a source row without a match
     appears once with the ``_d_*`` columns NULL. ``change`` is ``new``, ``updated``
-    or ``unchanged``.
+    or ``unchanged``. ``prefilter_limit`` bounds the broadcast of the batch's ids
+    (0 disables the prefilter).
     """
     src = with_surrogate_key(source.select(key, *attributes, updated_at), key, updated_at, sur_key)
-    active = _active(dim, key, updated_at, sur_key, attributes).withColumn("_d_salt", zero_salt("_d_key"))
+    active = _active(dim, key, updated_at, sur_key, attributes)
+    if prefilter_limit > 0:
+        ids = src.where(F.col(key).isNotNull()).select(F.col(key).alias("_b_key")).distinct()
+        ids, small = broadcast_if_bounded(ids, prefilter_limit)
+        if small:
+            active = active.join(ids, F.col("_d_key") == F.col("_b_key"), "left_semi")
+    active = active.withColumn("_d_salt", zero_salt("_d_key"))
     cond = (F.col(key) == F.col("_d_key")) & (F.col(SALT) == F.col("_d_salt"))
     pairs = with_null_salt(src, key).join(active, cond, "left").drop(SALT, "_d_salt")
     newer = F.col(updated_at) > F.col("_d_upd")
@@ -103,10 +117,11 @@ def scd2_change_rows(
     updated_at: str = "datetime_updated",
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
+    prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """The change set with a ``change`` label: ``new``, ``updated`` (new versions of
     known ids) or ``closed`` (the active rows they replace)."""
-    pairs = classify(source, dim, key, updated_at, sur_key, attributes)
+    pairs = classify(source, dim, key, updated_at, sur_key, attributes, prefilter_limit)
     ts_type = pairs.schema[updated_at].dataType
     upd = F.col(updated_at)
     src_attrs = [F.col(a) for a in attributes]
@@ -135,6 +150,7 @@ def scd2_changes(
     updated_at: str = "datetime_updated",
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
+    prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """The change set to upsert into the dimension on ``sur_key``.
 
@@ -142,7 +158,7 @@ def scd2_changes(
     New versions are active with the open end as ``valid_to``; closed rows keep
     their surrogate key, so the upsert updates them in place.
     """
-    return scd2_change_rows(source, dim, key, updated_at, sur_key, attributes).drop("change")
+    return scd2_change_rows(source, dim, key, updated_at, sur_key, attributes, prefilter_limit).drop("change")
 
 
 def apply_scd2(
@@ -161,13 +177,12 @@ def apply_scd2(
     column), checkpointed (it is read by the sizing job and by the merge) and
     merged into ``dim`` on the surrogate key.
     """
-    from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
     from strata.operators.materialize import materialize
     from strata.operators.merge import merge_frames
 
-    changes = scd2_changes(source, dim, key, updated_at, sur_key, attributes)
+    limit = DEFAULT_BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
+    changes = scd2_changes(source, dim, key, updated_at, sur_key, attributes, limit)
     if "partition" in dim.columns:
         changes = changes.withColumn("partition", F.lit(partition).cast("string"))
     changes = materialize(changes)
-    limit = DEFAULT_BROADCAST_LIMIT if broadcast_limit is None else broadcast_limit
     return merge_frames(dim, changes, [sur_key], broadcast_limit=limit)

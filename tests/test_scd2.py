@@ -138,17 +138,19 @@ def _same(a, b):
     )
 
 
-def test_single_pass_equals_three_joins_on_edge_cases(spark):
+@pytest.mark.parametrize("prefilter", [32 * 1024 * 1024, 0], ids=["prefiltered", "shuffle"])
+def test_single_pass_equals_three_joins_on_edge_cases(spark, prefilter):
     dim = dim_with(spark, [(1, "CA", ts(2)), (2, "NY", ts(2)), (3, "TX", ts(2)), (4, "WA", ts(2)), (4, "OR", ts(2))])
     batch = customers(
         spark,
         [(1, "CA", ts(3)), (2, "NY", ts(2)), (3, "TX", ts(1)), (4, "WA", ts(5)), (5, "NV", ts(1)),
          (5, "NV", ts(2)), (None, "AK", ts(1)), (6, "HI", None), (2, "NY", None)],
     )
-    _same(scd2_changes(batch, dim), three_join_changes(batch, dim))
+    _same(scd2_changes(batch, dim, prefilter_limit=prefilter), three_join_changes(batch, dim))
 
 
-def test_single_pass_equals_three_joins_on_fixture_batches(spark):
+@pytest.mark.parametrize("prefilter", [32 * 1024 * 1024, 0], ids=["prefiltered", "shuffle"])
+def test_single_pass_equals_three_joins_on_fixture_batches(spark, prefilter):
     b1, b2 = customer_batch(spark, SF_SMALL, 1), customer_batch(spark, SF_SMALL, 2)
     dim1 = materialize(apply_scd2(b1, empty_dim(spark), RUN1))
-    _same(scd2_changes(b2, dim1), three_join_changes(b2, dim1))
+    _same(scd2_changes(b2, dim1, prefilter_limit=prefilter), three_join_changes(b2, dim1))

@@ -15,6 +15,10 @@ from pyspark.sql import types as T
 
 DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024  # bytes of measured payload
 _VARIABLE = (T.StringType, T.BinaryType)
+_FIXED = (
+    T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+    T.DateType, T.TimestampType, T.TimestampNTZType,
+)
 
 
 @dataclass(frozen=True)
@@ -43,8 +47,27 @@ def footprint(df: DataFrame) -> Footprint:
     return Footprint(rows=rows, bytes=rows * (16 + 8 * len(fields)) + int(row["var_bytes"] or 0))
 
 
-def broadcast_if_bounded(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when its measured size is within ``limit``, else ``(df, False)``."""
-    if limit > 0 and footprint(df).bytes <= limit:
+def fixed_width_bound(df: DataFrame, max_rows: int) -> int | None:
+    """Byte bound of ``df`` from a known row bound, when every column is fixed-width."""
+    if not all(isinstance(f.dataType, _FIXED) for f in df.schema.fields):
+        return None
+    return max_rows * (16 + 8 * len(df.schema.fields))
+
+
+def broadcast_if_bounded(
+    df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None
+) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when its size is within ``limit``, else ``(df, False)``.
+
+    With ``max_rows`` (a proven upper bound on the rows, e.g. the observed row count
+    of the batch it is derived from) and only fixed-width columns, the bound is
+    computed without a Spark job; otherwise the size is measured.
+    """
+    if limit <= 0:
+        return df, False
+    bound = fixed_width_bound(df, max_rows) if max_rows is not None else None
+    if bound is None:
+        bound = footprint(df).bytes
+    if bound <= limit:
         return F.broadcast(df), True
     return df, False

@@ -66,19 +66,21 @@ def classify(
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
     prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """Source rows joined to their active dimension rows, labelled ``change``.
 
     One row per (source row, matching active row); a source row without a match
     appears once with the ``_d_*`` columns NULL. ``change`` is ``new``, ``updated``
     or ``unchanged``. ``prefilter_limit`` bounds the broadcast of the batch's ids
-    (0 disables the prefilter).
+    (0 disables the prefilter); ``batch_rows``, a known row count of ``source``,
+    lets a fixed-width id be bounded without a sizing job.
     """
     src = with_surrogate_key(source.select(key, *attributes, updated_at), key, updated_at, sur_key)
     active = _active(dim, key, updated_at, sur_key, attributes)
     if prefilter_limit > 0:
         ids = src.where(F.col(key).isNotNull()).select(F.col(key).alias("_b_key")).distinct()
-        ids, small = broadcast_if_bounded(ids, prefilter_limit)
+        ids, small = broadcast_if_bounded(ids, prefilter_limit, batch_rows)
         if small:
             active = active.join(ids, F.col("_d_key") == F.col("_b_key"), "left_semi")
     active = active.withColumn("_d_salt", zero_salt("_d_key"))
@@ -118,10 +120,11 @@ def scd2_change_rows(
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
     prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """The change set with a ``change`` label: ``new``, ``updated`` (new versions of
     known ids) or ``closed`` (the active rows they replace)."""
-    pairs = classify(source, dim, key, updated_at, sur_key, attributes, prefilter_limit)
+    pairs = classify(source, dim, key, updated_at, sur_key, attributes, prefilter_limit, batch_rows)
     ts_type = pairs.schema[updated_at].dataType
     upd = F.col(updated_at)
     src_attrs = [F.col(a) for a in attributes]
@@ -151,6 +154,7 @@ def scd2_changes(
     sur_key: str = SUR_KEY,
     attributes: Sequence[str] = ATTRIBUTES,
     prefilter_limit: int = DEFAULT_BROADCAST_LIMIT,
+    batch_rows: int | None = None,
 ) -> DataFrame:
     """The change set to upsert into the dimension on ``sur_key``.
 
@@ -158,7 +162,9 @@ def scd2_changes(
     New versions are active with the open end as ``valid_to``; closed rows keep
     their surrogate key, so the upsert updates them in place.
     """
-    return scd2_change_rows(source, dim, key, updated_at, sur_key, attributes, prefilter_limit).drop("change")
+    return scd2_change_rows(
+        source, dim, key, updated_at, sur_key, attributes, prefilter_limit, batch_rows
+    ).drop("change")
 
 
 def apply_scd2(

@@ -67,3 +67,15 @@ def test_footprint_counts_variable_bytes(spark):
 
 def test_checkpoint_root_comes_from_session(spark):
     assert checkpoint_root(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def test_bounded_broadcast_uses_row_hint_only_for_fixed_width(spark):
+    from strata.operators.bounded import broadcast_if_bounded, fixed_width_bound
+
+    ints = spark.range(10).selectExpr("cast(id as int) k")
+    assert fixed_width_bound(ints, 10) == 10 * 24
+    assert fixed_width_bound(spark.createDataFrame([("a",)], "s string"), 10) is None
+    _, small = broadcast_if_bounded(ints, limit=240, max_rows=10)
+    assert small
+    _, small = broadcast_if_bounded(ints, limit=239, max_rows=10)
+    assert not small

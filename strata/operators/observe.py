@@ -1,0 +1,20 @@
+"""Reading ``Observation`` metrics without risking a hang."""
+
+from __future__ import annotations
+
+import threading
+
+from pyspark.sql import Observation
+
+
+def observed(observation: Observation, timeout: float = 60.0) -> dict | None:
+    """The observed metrics, or None when they did not arrive within ``timeout``.
+
+    Metrics arrive when the action that ran the observed plan finishes; callers fall
+    back to counting when this returns None.
+    """
+    box: dict = {}
+    waiter = threading.Thread(target=lambda: box.update(m=observation.get), daemon=True)
+    waiter.start()
+    waiter.join(timeout)
+    return box.get("m")

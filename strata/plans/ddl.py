@@ -2,13 +2,15 @@
 
 Tables are external Parquet tables with an explicit LOCATION, so dropping and
 re-creating one re-attaches the files already there. ``partition`` is always a
-STRING partition column (four of the five tables); the dimension is unpartitioned.
-Databases are dropped once, last, after every object in them.
+STRING partition column. The dimension ``dim_customer`` is a view over its active
+table (unpartitioned) and its history table (partitioned by the closing run), see
+``strata.sinks.dimension``. Databases are dropped once, last, after every object.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from strata.schemas import (
     CUSTOMER_TABLE,
@@ -22,9 +24,13 @@ from strata.schemas import (
 )
 
 BRONZE = {"customer": CUSTOMER_TABLE, "orders": ORDERS_TABLE}
-SILVER = {"dim_customer": DIM_CUSTOMER, "fct_orders": FCT_ORDERS}
+BASE_COL = "base_snapshot"
+DIM_HISTORY = T.StructType(list(DIM_CUSTOMER.fields) + [T.StructField(BASE_COL, T.StringType())])
+SILVER = {"dim_customer_active": DIM_CUSTOMER, "dim_customer_history": DIM_HISTORY, "fct_orders": FCT_ORDERS}
 GOLD = {"sales_mart": SALES_MART}
-UNPARTITIONED = {"dim_customer"}
+UNPARTITIONED = {"dim_customer_active"}
+PARTITION_OF = {"dim_customer_history": BASE_COL}
+DIMENSION_VIEW = "dim_customer"
 VIEW = "sales_mart"
 
 
@@ -36,7 +42,8 @@ def _create(spark: SparkSession, path: str, database: str, tables: dict) -> None
     create_database(spark, database)
     for name, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        partitioned = "" if name in UNPARTITIONED else f"PARTITIONED BY (`{PARTITION_COL}`)"
+        column = PARTITION_OF.get(name, PARTITION_COL)
+        partitioned = "" if name in UNPARTITIONED else f"PARTITIONED BY (`{column}`)"
         spark.sql(
             f"CREATE TABLE {database}.{name} ({ddl_columns(schema)}) USING PARQUET "
             f"{partitioned} LOCATION '{path.rstrip('/')}/{name}'"
@@ -53,7 +60,15 @@ def create_bronze_tables(spark: SparkSession, path: str, database: str = "ecomme
 
 
 def create_silver_tables(spark: SparkSession, path: str, database: str = "ecommerce") -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
     _create(spark, path, database, SILVER)
+    dim_columns = ", ".join(f"`{f.name}`" for f in DIM_CUSTOMER.fields)
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {database}.{DIMENSION_VIEW} AS
+            SELECT * FROM {database}.{DIMENSION_VIEW}_active
+            UNION ALL
+            SELECT {dim_columns} FROM {database}.{DIMENSION_VIEW}_history"""
+    )
 
 
 def create_gold_tables(spark: SparkSession, path: str, database: str = "ecommerce") -> None:
@@ -99,5 +114,6 @@ def drop_all(
 ) -> None:
     spark.sql(f"DROP VIEW IF EXISTS {bi_database}.{VIEW}")
     spark.sql(f"DROP DATABASE IF EXISTS {bi_database}")
+    spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
     _drop(spark, database, {**BRONZE, **SILVER, **GOLD, "run_metadata": None})
     spark.sql(f"DROP DATABASE IF EXISTS {database}")

@@ -1,4 +1,7 @@
-"""Write modes on plain Parquet catalog tables: replace one run partition, upsert by key."""
+"""Write modes on plain Parquet catalog tables: replace one run partition, upsert by key,
+and the SCD2 dimension layout (active table + history table + view)."""
+
+from strata.sinks.dimension import DimensionTables, publish_dimension
 
 from strata.sinks.tables import (
     replace_partition,
@@ -8,4 +11,6 @@ from strata.sinks.tables import (
     upsert_table,
 )
 
-__all__ = ["replace_partition", "stamp", "table_location", "table_partition_columns", "upsert_table"]
+__all__ = [
+    "DimensionTables",
+    "publish_dimension","replace_partition", "stamp", "table_location", "table_partition_columns", "upsert_table"]

@@ -1,13 +1,16 @@
 """foreachBatch adapters.
 
 * ``scd2_sink``: each micro-batch of customer rows is one SCD2 run against the
-  dimension table (change set -> snapshot upsert). Re-applying an epoch changes
+  dimension (change set -> active table switch + history partition). Re-applying an epoch changes
   nothing, because equal timestamps are not newer.
 * ``replace_partition_sink``: each micro-batch replaces its own run partition, so a
   re-delivered epoch overwrites what its first delivery wrote.
 
 Epoch partitions come from ``epoch_partitions(start)``: the start time plus the epoch
 id in seconds, so they are deterministic and sort in epoch order.
+
+Streaming queries run in a cloned session; other sessions that cached the tables
+see the switched snapshots after ``spark.catalog.refreshTable``.
 """
 
 from __future__ import annotations
@@ -23,7 +26,8 @@ from strata.functions.temporal import run_partition
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.scd2 import scd2_changes
 from strata.session import scratch_path
-from strata.sinks.tables import replace_partition, stamp, upsert_table
+from strata.sinks.dimension import DimensionTables, publish_dimension
+from strata.sinks.tables import replace_partition, stamp
 
 PartitionFor = Callable[[int], str]
 
@@ -46,12 +50,13 @@ def latest_per_key(batch: DataFrame, key: str = "id", updated_at: str = "datetim
 
 
 def scd2_sink(
-    dim_table: str,
+    dim_view: str,
     partition_for: PartitionFor,
     dedupe: bool = True,
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function applying each micro-batch to ``dim_table`` as one SCD2 run.
+    """foreachBatch function applying each micro-batch to the dimension ``dim_view``
+    (its active and history tables) as one SCD2 run.
 
     With ``dedupe`` the batch keeps the newest row per id first (several newer
     versions of one known id in a batch would otherwise be an ambiguous upsert).
@@ -59,10 +64,11 @@ def scd2_sink(
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
+        tables = DimensionTables.from_view(dim_view)
         source = latest_per_key(batch) if dedupe else batch
-        changes = scd2_changes(source, spark.table(dim_table), prefilter_limit=broadcast_limit)
+        changes = scd2_changes(source, spark.table(tables.active), prefilter_limit=broadcast_limit)
         partition = partition_for(epoch_id)
-        upsert_table(spark, dim_table, stamp(changes, partition), ["customer_sur_id"], broadcast_limit)
+        publish_dimension(spark, tables, stamp(changes, partition), partition, ["customer_sur_id"], broadcast_limit)
 
     return apply
 

@@ -57,7 +57,7 @@ def test_partition_that_looks_like_a_date_stays_string(spark, db, scratch_dir):
 
 
 def test_upsert_table_switches_snapshot(spark, db):
-    t = f"{db}.dim_customer"
+    t = f"{db}.dim_customer_active"
     rows = spark.createDataFrame(
         [(1, "k1", "F", "L", "CA", ts(1), ts(1), True, ts(1), ts(9), P1)], spark.table(t).schema
     )
@@ -75,7 +75,7 @@ def test_upsert_table_switches_snapshot(spark, db):
 
 
 def test_failed_upsert_keeps_previous_snapshot(spark, db):
-    t = f"{db}.dim_customer"
+    t = f"{db}.dim_customer_active"
     rows = spark.createDataFrame(
         [(1, "k1", "F", "L", "CA", ts(1), ts(1), True, ts(1), ts(9), P1)], spark.table(t).schema
     )

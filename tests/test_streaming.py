@@ -28,6 +28,10 @@ def test_scd2_stream_matches_batch_runs(spark, scratch_dir):
     sink = scd2_sink(f"{db}.dim_customer", epoch_partitions(datetime(2024, 5, 1)))
     query = start_available_now(stream, sink, os.path.join(scratch_dir, "stream-checkpoint"))
     query.awaitTermination(300)
+    assert query.exception() is None
+    # the stream ran in a cloned session: refresh this session's cached relations
+    for suffix in ("_active", "_history"):
+        spark.catalog.refreshTable(f"{db}.dim_customer{suffix}")
     dim = spark.table(f"{db}.dim_customer")
     active = {r["id"]: r["state_id"] for r in dim.where("current").collect()}
     # with one file per epoch, file b's newest row for id 1 wins; id 2 untouched

@@ -53,7 +53,7 @@ def _non_null(keys: Sequence[str]):
     return cond
 
 
-def _key_stats(source: DataFrame, keys: Sequence[str]):
+def key_stats(source: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
     """(distinct non-NULL keys, their payload bytes, largest rows per key) in one job."""
     per_key = source.where(_non_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     width = F.lit(0)
@@ -90,11 +90,13 @@ def merge_frames(
     keys: Sequence[str],
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
     check: bool = True,
+    stats: tuple[int, int, int] | None = None,
 ) -> DataFrame:
     """The target after upserting ``source`` on ``keys`` (columns in target order).
 
-    Runs one small aggregate over the source to size its key set (and, only when the
-    source repeats a key, one probe of the target to reject ambiguous matches).
+    Runs one small aggregate over the source to size its key set (skipped when the
+    caller passes ``stats`` from ``key_stats``), and, only when the source repeats a
+    key, one probe of the target to reject ambiguous matches.
     """
     keys = list(keys)
     if not keys:
@@ -104,7 +106,7 @@ def merge_frames(
         raise ValueError(f"key columns missing: {missing}")
     cols = target.columns
     src = conform(source, target.schema)
-    _, key_bytes, max_per_key = _key_stats(src, keys)
+    _, key_bytes, max_per_key = stats if stats is not None else key_stats(src, keys)
     small = 0 < broadcast_limit and key_bytes <= broadcast_limit
     if check and max_per_key > 1:
         _check_single_match(target, src, keys, small)

@@ -46,10 +46,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded
+from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
 from strata.operators.observe import observed
-from strata.operators.merge import conform, merge_frames
+from strata.operators.merge import conform, key_stats, merge_frames
 from strata.sinks.tables import SNAPSHOTS, _quote, _snapshot_root, replace_partition, table_location
 
 
@@ -92,15 +92,23 @@ def _stage_folder(spark: SparkSession, table: str) -> str:
     return f"{root}/{SNAPSHOTS}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
 
-def _history_hit(history: DataFrame, staged: DataFrame, keys: Sequence[str], limit: int) -> bool:
+def _history_hit(history: DataFrame, staged: DataFrame, keys: Sequence[str], small: bool) -> bool:
     """Does any change-set key equal a history key? (one key-column scan, no rewrite)"""
-    key_set = staged.select(*keys).where(F.col(keys[0]).isNotNull()).distinct()
-    for k in keys[1:]:
+    key_set = staged.select(*keys)
+    for k in keys:
         key_set = key_set.where(F.col(k).isNotNull())
-    key_set, _ = broadcast_if_bounded(key_set, limit)
+    key_set = key_set.distinct()
+    if small:
+        key_set = F.broadcast(key_set)
     return bool(history.select(*keys).join(key_set, list(keys), "left_semi").limit(1).collect())
 
 
+def _other_history_partitions(spark: SparkSession, history: str, base: str) -> bool:
+    """Metadata only: does the history hold a partition besides ``base``?"""
+    own = f"{BASE_COL}={base}"
+    return any(r[0] != own for r in spark.sql(f"SHOW PARTITIONS {history}").collect())
+
+
 def publish_dimension(
     spark: SparkSession,
     tables: DimensionTables,
@@ -116,14 +124,17 @@ def publish_dimension(
     history = spark.table(tables.history)
     base = base_token(table_location(spark, tables.active))
     staged = materialize(conform(changes, active.schema))
+    stats = key_stats(staged, keys)
+    small = 0 < broadcast_limit and stats[1] <= broadcast_limit
 
     # the base's own history partition is replaced below, so it cannot collide
-    others = history.where(F.col(BASE_COL) != F.lit(base))
-    if verify_history and _history_hit(others, staged, keys, broadcast_limit):
-        _rewrite_all(spark, tables, staged, keys, broadcast_limit)
-        return
+    if verify_history and _other_history_partitions(spark, tables.history, base):
+        others = history.where(F.col(BASE_COL) != F.lit(base))
+        if _history_hit(others, staged, keys, small):
+            _rewrite_all(spark, tables, staged, keys, broadcast_limit)
+            return
 
-    merged = merge_frames(active, staged, keys, broadcast_limit=broadcast_limit)
+    merged = merge_frames(active, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
     stage = _stage_folder(spark, tables.active)
     side = F.when(_is_active(), F.lit("a")).otherwise(F.lit("h"))
     observation = Observation(f"dimension_{uuid.uuid4().hex[:8]}")

@@ -67,6 +67,11 @@ def key_stats(source: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
     return int(row["keys"]), int(row["bytes"]), int(row["max_n"])
 
 
+def broadcast_fits(n_keys: int, key_bytes: int, limit: int) -> bool:
+    """The key set and the per-key hit counts (key + 8-byte count) fit the limit."""
+    return 0 < limit and key_bytes + 16 * n_keys <= limit
+
+
 def _check_single_match(target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool) -> None:
     dup_keys = (
         source.where(_non_null(keys))
@@ -106,8 +111,8 @@ def merge_frames(
         raise ValueError(f"key columns missing: {missing}")
     cols = target.columns
     src = conform(source, target.schema)
-    _, key_bytes, max_per_key = stats if stats is not None else key_stats(src, keys)
-    small = 0 < broadcast_limit and key_bytes <= broadcast_limit
+    n_keys, key_bytes, max_per_key = stats if stats is not None else key_stats(src, keys)
+    small = broadcast_fits(n_keys, key_bytes, broadcast_limit)
     if check and max_per_key > 1:
         _check_single_match(target, src, keys, small)
 

@@ -49,7 +49,7 @@ from pyspark.sql import types as T
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
 from strata.operators.observe import observed
-from strata.operators.merge import conform, key_stats, merge_frames
+from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
 from strata.sinks.tables import SNAPSHOTS, _quote, _snapshot_root, replace_partition, table_location
 
 
@@ -125,7 +125,7 @@ def publish_dimension(
     base = base_token(table_location(spark, tables.active))
     staged = materialize(conform(changes, active.schema))
     stats = key_stats(staged, keys)
-    small = 0 < broadcast_limit and stats[1] <= broadcast_limit
+    small = broadcast_fits(stats[0], stats[1], broadcast_limit)
 
     # the base's own history partition is replaced below, so it cannot collide
     if verify_history and _other_history_partitions(spark, tables.history, base):

@@ -13,7 +13,6 @@ Cluster rules followed here:
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -87,7 +86,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder name under the shared checkpoint folder (not created here)."""
     return "/".join([checkpoint_root(spark), "strata", *parts, uuid.uuid4().hex])
 
-
-def local_scratch_dir() -> str:
-    """Folder for local test sessions only (never used when a cluster sets one)."""
-    return os.environ.get("STRATA_LOCAL_SCRATCH", "/tmp")

@@ -28,6 +28,7 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
@@ -70,10 +71,7 @@ def replace_partition(
     types cast). It must not read ``table`` itself.
     """
     target = spark.table(table)
-    data_schema = [f for f in target.schema.fields if f.name != column]
-    from pyspark.sql import types as T
-
-    rows = conform(df, T.StructType(data_schema))
+    rows = conform(df, T.StructType([f for f in target.schema.fields if f.name != column]))
     view = f"_strata_src_{uuid.uuid4().hex}"
     rows.createOrReplaceTempView(view)
     try:

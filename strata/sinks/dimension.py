@@ -22,8 +22,9 @@ table only:
    slow path);
 3. ``merged = merge(active, changes)`` is written once into a staging folder split
    by ``current`` (``_part=a`` / ``_part=h``);
-4. the history partition of the *base* active snapshot is overwritten from
-   ``_part=h``;
+4. ``_part=h`` is registered as the history partition of the *base* active
+   snapshot (replacing a partition an earlier attempt on the same base registered),
+   so closed rows are written exactly once;
 5. the active table is switched to ``_part=a`` (a new base).
 
 A failure before step 5 leaves the old active table: rerunning computes against
@@ -50,7 +51,7 @@ from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
 from strata.operators.observe import observed
 from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
-from strata.sinks.tables import SNAPSHOTS, _quote, _snapshot_root, replace_partition, table_location
+from strata.sinks.tables import SNAPSHOTS, _quote, _snapshot_root, table_location
 
 
 BASE_COL = "base_snapshot"
@@ -140,18 +141,30 @@ def publish_dimension(
     observation = Observation(f"dimension_{uuid.uuid4().hex[:8]}")
     (
         merged.withColumn("_part", side)
-        .observe(observation, F.count(F.when(F.col("_part") == "a", 1)).alias("active"))
+        .observe(
+            observation,
+            F.count(F.when(F.col("_part") == "a", 1)).alias("active"),
+            F.count(F.when(F.col("_part") == "h", 1)).alias("closed"),
+        )
         .write.mode("errorifexists")
         .partitionBy("_part")
         .parquet(stage)
     )
-    split = spark.read.schema(T.StructType(active.schema.fields + [T.StructField("_part", T.StringType())]))
-    written = split.parquet(stage)
-    closed = written.where(F.col("_part") == "h").drop("_part")
-    replace_partition(spark, tables.history, closed, base, column=BASE_COL)
     metrics = observed(observation)
-    active_rows = metrics["active"] if metrics else written.where(F.col("_part") == "a").limit(1).count()
-    if not active_rows:
+    if metrics is None:
+        written = spark.read.schema(
+            T.StructType(active.schema.fields + [T.StructField("_part", T.StringType())])
+        ).parquet(stage)
+        metrics = {p: written.where(F.col("_part") == p[0]).limit(1).count() for p in ("active", "closed")}
+
+    # the closed rows were written once, into the folder that becomes the base's
+    # history partition (replacing what an earlier attempt on this base registered)
+    spec = f"PARTITION (`{BASE_COL}` = {_quote(base)})"
+    spark.sql(f"ALTER TABLE {tables.history} DROP IF EXISTS {spec}")
+    if metrics["closed"]:
+        spark.sql(f"ALTER TABLE {tables.history} ADD {spec} LOCATION {_quote(stage + '/_part=h')}")
+    spark.catalog.refreshTable(tables.history)
+    if not metrics["active"]:
         # no active row at all: the new active folder is an empty Parquet folder
         active.where(F.lit(False)).write.mode("errorifexists").parquet(f"{stage}/_part=a")
     _switch(spark, tables.active, f"{stage}/_part=a")

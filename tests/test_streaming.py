@@ -17,8 +17,14 @@ def test_scd2_stream_matches_batch_runs(spark, scratch_dir):
     db = f"s_{uuid.uuid4().hex[:8]}"
     ddl.create_silver_tables(spark, scratch_dir, db)
     inbox = os.path.join(scratch_dir, "inbox")
-    customers(spark, [(1, "CA", ts(1)), (2, "NY", ts(1))]).write.parquet(os.path.join(inbox, "a"))
-    customers(spark, [(1, "TX", ts(2)), (1, "WA", ts(3)), (3, "NV", ts(1))]).write.parquet(os.path.join(inbox, "b"))
+    # one file per batch, so each batch is exactly one micro-batch (maxFilesPerTrigger=1)
+    customers(spark, [(1, "CA", ts(1)), (2, "NY", ts(1))]).coalesce(1).write.parquet(os.path.join(inbox, "a"))
+    b = customers(spark, [(1, "TX", ts(2)), (1, "WA", ts(3)), (3, "NV", ts(1))])
+    b.coalesce(1).write.parquet(os.path.join(inbox, "b"))
+    # the file source orders by modification time: make file b strictly newer than a
+    later = os.path.getmtime(os.path.join(inbox, "a")) + 60
+    for name in os.listdir(os.path.join(inbox, "b")):
+        os.utime(os.path.join(inbox, "b", name), (later, later))
     stream = (
         spark.readStream.schema(CUSTOMER_BATCH)
         .option("recursiveFileLookup", "true")

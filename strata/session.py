@@ -60,10 +60,27 @@ def build_session(
     for key, value in confs.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+    if not shuffle_partitions:
+        size_shuffles(spark)
     checkpoint_root(spark)
     return spark
 
 
+def size_shuffles(spark: SparkSession, per_core: int = 4) -> int:
+    """Start every shuffle with enough partitions for the cluster; AQE coalesces.
+
+    Uses ``per_core`` partitions per task slot (at least ``spark.sql.shuffle.partitions``)
+    as AQE's initial partition number, so a multi-terabyte shuffle is not squeezed
+    into the default 200 partitions while small stages are merged back to the
+    advisory size (64 MB).
+    """
+    slots = spark.sparkContext.defaultParallelism
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = max(current, per_core * slots)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial))
+    return initial
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 

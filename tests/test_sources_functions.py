@@ -79,3 +79,19 @@ def test_bounded_broadcast_uses_row_hint_only_for_fixed_width(spark):
     assert small
     _, small = broadcast_if_bounded(ints, limit=239, max_rows=10)
     assert not small
+
+
+def test_size_shuffles_scales_with_task_slots(spark):
+    from strata.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        n = size_shuffles(spark, per_core=4)
+        assert n >= 4 * spark.sparkContext.defaultParallelism
+        assert spark.conf.get(key) == str(n)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

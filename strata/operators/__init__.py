@@ -6,7 +6,14 @@ from strata.operators.mart import build_mart, latest_partition
 from strata.operators.materialize import materialize
 from strata.operators.merge import MergeConflict, conform, merge_frames
 from strata.operators.quality import InvalidDataError, assert_quality, quality_report
-from strata.operators.scd2 import apply_scd2, classify, scd2_change_rows, scd2_changes, with_surrogate_key
+from strata.operators.scd2 import (
+    apply_scd2,
+    classify,
+    latest_per_key,
+    scd2_change_rows,
+    scd2_changes,
+    with_surrogate_key,
+)
 
 __all__ = [
     "DEFAULT_BROADCAST_LIMIT",
@@ -21,6 +28,7 @@ __all__ = [
     "conform",
     "footprint",
     "latest_partition",
+    "latest_per_key",
     "materialize",
     "merge_frames",
     "quality_report",

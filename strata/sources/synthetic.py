@@ -30,8 +30,9 @@ STATES = [
 ]
 
 
-def _pick(values: list[str], seed: int, tag: str, row: Column) -> Column:
-    idx = F.pmod(F.xxhash64(F.lit(seed), F.lit(tag), row), F.lit(len(values))) + 1
+def _pick(values: list[str], seed: int | Column, tag: str, row: Column) -> Column:
+    seed_col = seed if isinstance(seed, Column) else F.lit(seed)
+    idx = F.pmod(F.xxhash64(seed_col, F.lit(tag), row), F.lit(len(values))) + 1
     return F.element_at(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
 
 
@@ -49,24 +50,35 @@ def _as_of(as_of: datetime | str | None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+BASE_TIME = "2000-01-01 00:00:00"
+
+
 def synthetic_customers(
     spark: SparkSession,
     ids: DataFrame | int = 1000,
     seed: int = 0,
     as_of: datetime | str | None = None,
+    changed_share: float = 1.0,
 ) -> DataFrame:
     """One customer per id with random names and state; both timestamps = ``as_of``.
 
     ``ids`` is either a count (ids 0..n-1) or a DataFrame with an integer ``id`` column.
+    ``changed_share`` is the fraction of ids (chosen by a hash of the id, so the same
+    ids every run) that carry ``as_of``; the others carry a fixed base time and fixed
+    attributes, so from the second run on they are unchanged versions.
     """
     frame = spark.range(ids).select(F.col("id")) if isinstance(ids, int) else ids.select("id")
     row = F.col("id").cast("long")
-    ts = _as_of(as_of)
+    if not 0.0 <= changed_share <= 1.0:
+        raise ValueError("changed_share must be within [0, 1]")
+    changed = F.pmod(F.xxhash64(F.lit("changed"), row), F.lit(10_000)) < F.lit(int(round(changed_share * 10_000)))
+    row_seed = F.when(changed, F.lit(seed)).otherwise(F.lit(0))
+    ts = F.when(changed, _as_of(as_of)).otherwise(F.lit(BASE_TIME).cast("timestamp_ntz"))
     return frame.select(
         F.col("id").cast("int").alias("id"),
-        _pick(FIRST_NAMES, seed, "first", row).alias("first_name"),
-        _pick(LAST_NAMES, seed, "last", row).alias("last_name"),
-        _pick(STATES, seed, "state", row).alias("state_id"),
+        _pick(FIRST_NAMES, row_seed, "first", row).alias("first_name"),
+        _pick(LAST_NAMES, row_seed, "last", row).alias("last_name"),
+        _pick(STATES, row_seed, "state", row).alias("state_id"),
         ts.alias("datetime_created"),
         ts.alias("datetime_updated"),
     )

@@ -5,9 +5,9 @@ partition replace run once per micro-batch through ``foreachBatch``. Both are
 idempotent for a re-delivered epoch when the partition is derived from the epoch id.
 """
 
+from strata.operators.scd2 import latest_per_key
 from strata.streaming.microbatch import (
     epoch_partitions,
-    latest_per_key,
     replace_partition_sink,
     scd2_sink,
     start_available_now,

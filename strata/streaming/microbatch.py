@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.temporal import run_partition
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
-from strata.operators.scd2 import scd2_changes
+from strata.operators.scd2 import latest_per_key, scd2_changes
 from strata.session import scratch_path
 from strata.sinks.dimension import DimensionTables, publish_dimension
 from strata.sinks.tables import replace_partition, stamp
@@ -36,19 +36,6 @@ def epoch_partitions(start: datetime) -> PartitionFor:
     return lambda epoch_id: run_partition(start + timedelta(seconds=epoch_id))
 
 
-def latest_per_key(batch: DataFrame, key: str = "id", updated_at: str = "datetime_updated") -> DataFrame:
-    """Keep the newest row per key (ties: the greatest row), as a partial aggregate.
-
-    ``max(struct(updated_at, ...))`` is combined map-side, so a hot key costs one
-    row per task before the shuffle.
-    """
-    others = [c for c in batch.columns if c not in (key, updated_at)]
-    newest = F.max(F.struct(F.col(updated_at), *[F.col(c) for c in others])).alias("_v")
-    return batch.groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}") for c in [updated_at, *others]]).select(
-        *batch.columns
-    )
-
-
 def scd2_sink(
     dim_view: str,
     partition_for: PartitionFor,

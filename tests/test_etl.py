@@ -81,3 +81,16 @@ def test_partition_format_is_validated(spark):
     etl = SalesMartETL(spark, "nowhere")
     with pytest.raises(ValueError):
         etl.run("YYYY-MM-DD_HH")
+
+
+def test_changed_share_and_latest_only(spark, scratch_dir):
+    db, audit = fresh(spark, scratch_dir)
+    source = synthetic_source(400, 1000, changed_share=0.25)
+    for p in RUNS[:2]:
+        SalesMartETL(spark, db, bronze_source=source, latest_only=True).run(p)
+    dim = spark.table(f"{db}.dim_customer")
+    changed = dim.where(~F.col("current")).count()
+    # about a quarter of the customers got a second version in run 2
+    assert 50 <= changed <= 150
+    assert dim.count() == 400 + changed
+    assert dim.where("current").count() == 400

@@ -3,11 +3,13 @@
 A left join of the orders batch to the active dimension rows on
 ``customer_id = id``; no active row (or a NULL customer id) gives a NULL key.
 
-Scale notes: orders with a NULL customer id cannot match; a salt column spreads
-them over many shuffle partitions (``operators.skew``) instead of one. A hot
+Scale notes: when the active rows' measured size is within the broadcast limit
+they are broadcast and the orders are streamed past them without any shuffle (AQE
+could only switch to a broadcast after both sides were shuffled). Above the limit
+it is a shuffle join: orders with a NULL customer id cannot match and a salt column
+spreads them over many shuffle partitions (``operators.skew``) instead of one; a hot
 customer on the orders side is split by AQE skew-join handling (the left side of a
-left outer join can be split). The dimension side is broadcast only by AQE after
-its shuffle output was measured.
+left outer join can be split).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded
 from strata.operators.skew import SALT, with_null_salt, zero_salt
 from strata.schemas import ORDERS_BATCH
 
@@ -32,9 +35,13 @@ def build_fact(
     customer_key: str = "customer_id",
     dim_key: str = "id",
     sur_key: str = "customer_sur_id",
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """Order columns plus ``sur_key`` of the active customer version."""
     cols = [c for c in ORDER_COLUMNS if c in orders.columns]
+    small, fits = broadcast_if_bounded(active_keys(dim, dim_key, sur_key), broadcast_limit)
+    if fits:
+        return orders.select(*cols).join(small, F.col(customer_key) == F.col("_dim_id"), "left").select(*cols, sur_key)
     active = active_keys(dim, dim_key, sur_key).withColumn("_dim_salt", zero_salt("_dim_id"))
     salted = with_null_salt(orders.select(*cols), customer_key)
     cond = (F.col(customer_key) == F.col("_dim_id")) & (F.col(SALT) == F.col("_dim_salt"))

@@ -8,7 +8,8 @@ Plan: the fact is first reduced to counts per (delivery date, surrogate key) wit
 a map-side partial aggregate, so only those counts are shuffled and joined, and a
 customer holding a third of all orders becomes one row per date before any
 shuffle. The per-state counts are then summed, which equals counting the joined
-rows (the join multiplies counts exactly as it multiplies rows).
+rows (the join multiplies counts exactly as it multiplies rows). The active
+(key, state) rows are broadcast when their measured size is within the limit.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.temporal import deliver_date
+from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded
 
 
 def build_mart(
@@ -24,9 +26,11 @@ def build_mart(
     dim: DataFrame,
     sur_key: str = "customer_sur_id",
     delivered_on: str = "delivered_on",
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> DataFrame:
     """``deliver_date DATE, state_id STRING, num_orders BIGINT``."""
     active = dim.where(F.col("current")).select(F.col(sur_key).alias("_k"), F.col("state_id"))
+    active, _ = broadcast_if_bounded(active, broadcast_limit)
     per_key = fact.groupBy(deliver_date(delivered_on).alias("deliver_date"), F.col(sur_key).alias("_k")).agg(
         F.count(F.lit(1)).alias("_n")
     )

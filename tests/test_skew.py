@@ -29,6 +29,10 @@ def skew_conf(spark):
             spark.conf.set(k, v)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def skewed_orders(spark, n=30_000):
     third = F.pmod(F.col("id"), F.lit(3))
     customer = (
@@ -50,7 +54,7 @@ def test_skewed_fact_and_mart_are_exact_and_split(spark, skew_conf):
     customers = synthetic_customers(spark, 1000, seed=1, as_of="2024-01-01 00:00:00")
     dim = materialize(apply_scd2(customers, empty_dim(spark), "2024-01-01-00-00-00"))
     orders = materialize(skewed_orders(spark))
-    fact = build_fact(orders, dim)
+    fact = build_fact(orders, dim, broadcast_limit=0)  # the shuffle path
     fact_rows = fact.collect()  # runs this DataFrame's own adaptive plan (test-sized)
     final_plan = fact._jdf.queryExecution().executedPlan().toString()
     assert "_strata_salt" in final_plan
@@ -66,5 +70,12 @@ def test_skewed_fact_and_mart_are_exact_and_split(spark, skew_conf):
         assert sur is None or len(sur) == 32
     assert len(fact_rows) == 30_000
     assert sum(r["customer_sur_id"] is None for r in fact_rows) == 10_000
-    mart = {(str(r["deliver_date"]), r["state_id"]): r["num_orders"] for r in build_mart(fact, dim).collect()}
+    mart = {
+        (str(r["deliver_date"]), r["state_id"]): r["num_orders"]
+        for r in build_mart(fact, dim, broadcast_limit=0).collect()
+    }
     assert mart == expected
+    # the broadcast path gives the same result without shuffling the orders
+    small_fact = build_fact(orders, dim)
+    assert "BroadcastHashJoin" in plan_of(small_fact) and "_strata_salt" not in plan_of(small_fact)
+    assert sorted(map(tuple, small_fact.collect()), key=str) == sorted(map(tuple, fact_rows), key=str)

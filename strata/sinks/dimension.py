@@ -38,6 +38,7 @@ instead of a rewrite of the whole history.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from dataclasses import dataclass
@@ -59,8 +60,6 @@ BASE_COL = "base_snapshot"
 
 def base_token(location: str) -> str:
     """Stable token of an active snapshot folder."""
-    import hashlib
-
     return hashlib.md5(location.rstrip("/").encode()).hexdigest()[:16]
 
 
@@ -155,7 +154,8 @@ def publish_dimension(
         written = spark.read.schema(
             T.StructType(active.schema.fields + [T.StructField("_part", T.StringType())])
         ).parquet(stage)
-        metrics = {p: written.where(F.col("_part") == p[0]).limit(1).count() for p in ("active", "closed")}
+        sides = {"active": "a", "closed": "h"}
+        metrics = {name: written.where(F.col("_part") == side).limit(1).count() for name, side in sides.items()}
 
     # the closed rows were written once, into the folder that becomes the base's
     # history partition (replacing what an earlier attempt on this base registered)

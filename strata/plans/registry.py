@@ -33,7 +33,7 @@ from strata.plans.etl import SalesMartETL
 from strata.schemas import DIM_CUSTOMER, ETL_INSERTED_COL
 from strata.session import checkpoint_root, scratch_path
 from strata.sinks.tables import replace_partition, stamp
-from strata.sources.synthetic import synthetic_customers, synthetic_orders
+from strata.sources.synthetic import FIRST_NAMES, ITEMS, LAST_NAMES, STATES, synthetic_customers, synthetic_orders
 from strata.sources.testdata import customer_batch, load, orders_batch
 
 # Fixed run partitions of the two modelled runs.
@@ -488,3 +488,37 @@ union all select 'dup_keys', {_bigint('count(*) filter (where n > 1)')}
     ),
 }
 ORACLE_SQL["upsert_full_outer"] = ORACLE_SQL["upsert_multi_key"]
+
+
+def _sql_hash32(seed: str, tag: str, row: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', '{tag}', cast({row} as varchar))), 1, 8))::BIGINT"
+
+
+def _sql_pick(values: list[str], seed: str, tag: str, row: str) -> str:
+    items = ", ".join("'" + v + "'" for v in values)
+    return f"list_extract([{items}], cast({_sql_hash32(seed, tag, row)} % {len(values)} + 1 as int))"
+
+
+def _sql_uuid(seed: str, tag: str, row: str) -> str:
+    h = f"md5(concat_ws(':', '{seed}', '{tag}', cast({row} as varchar)))"
+    return (
+        f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+        f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12)"
+    )
+
+
+_GEN_TS = "timestamp '2024-06-01 00:00:00'"
+ORACLE_SQL["gen_customer"] = f"""select cast(c_custkey as int) id,
+       {_sql_pick(FIRST_NAMES, '7', 'first', 'c_custkey')} first_name,
+       {_sql_pick(LAST_NAMES, '7', 'last', 'c_custkey')} last_name,
+       {_sql_pick(STATES, '7', 'state', 'c_custkey')} state_id,
+       {_GEN_TS} datetime_created, {_GEN_TS} datetime_updated
+from customer"""
+_LO = "(select min(c_custkey) from customer)"
+_SPAN = "((select max(c_custkey) from customer) - (select min(c_custkey) from customer) + 1)"
+ORACLE_SQL["gen_orders"] = f"""select {_sql_uuid('7', 'order', 'id')} order_id,
+       cast({_sql_hash32('7', 'customer', 'id')} % {_SPAN} + {_LO} as int) customer_id,
+       {_sql_uuid('7', 'item', 'id')} item_id,
+       {_sql_pick(ITEMS, '7', 'item_name', 'id')} item_name,
+       {_GEN_TS} delivered_on, {_GEN_TS} datetime_order_placed
+from (select row_number() over () - 1 as id from orders) o"""

@@ -2,7 +2,9 @@
 
 Every value is a pure function of (seed, row id), so a batch is reproducible and a
 lost task recomputes the same rows. ``spark.range`` spreads the rows over tasks; no
-row list is built on the driver.
+row list is built on the driver. Random choices come from the first 32 bits of
+``md5("seed:tag:row")``, which plain SQL engines compute the same way, so generated
+batches can be checked against an SQL oracle.
 """
 
 from __future__ import annotations
@@ -30,14 +32,23 @@ STATES = [
 ]
 
 
+def _digest(seed: int | Column, tag: str, row: Column) -> Column:
+    seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat_ws(":", seed_col, F.lit(tag), row.cast("string")))
+
+
+def _hash32(seed: int | Column, tag: str, row: Column) -> Column:
+    """A non-negative 32-bit integer from the md5 of ``seed:tag:row``."""
+    return F.conv(F.substring(_digest(seed, tag, row), 1, 8), 16, 10).cast("long")
+
+
 def _pick(values: list[str], seed: int | Column, tag: str, row: Column) -> Column:
-    seed_col = seed if isinstance(seed, Column) else F.lit(seed)
-    idx = F.pmod(F.xxhash64(seed_col, F.lit(tag), row), F.lit(len(values))) + 1
+    idx = _hash32(seed, tag, row) % F.lit(len(values)) + 1
     return F.element_at(F.array(*[F.lit(v) for v in values]), idx.cast("int"))
 
 
 def _uuid(seed: int, tag: str, row: Column) -> Column:
-    h = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(tag), row.cast("string")))
+    h = _digest(seed, tag, row)
     return F.concat_ws(
         "-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
         F.substring(h, 17, 4), F.substring(h, 21, 12),
@@ -71,7 +82,7 @@ def synthetic_customers(
     row = F.col("id").cast("long")
     if not 0.0 <= changed_share <= 1.0:
         raise ValueError("changed_share must be within [0, 1]")
-    changed = F.pmod(F.xxhash64(F.lit("changed"), row), F.lit(10_000)) < F.lit(int(round(changed_share * 10_000)))
+    changed = _hash32(0, "changed", row) % F.lit(10_000) < F.lit(int(round(changed_share * 10_000)))
     row_seed = F.when(changed, F.lit(seed)).otherwise(F.lit(0))
     ts = F.when(changed, _as_of(as_of)).otherwise(F.lit(BASE_TIME).cast("timestamp_ntz"))
     return frame.select(
@@ -105,7 +116,7 @@ def synthetic_orders(
     frame = spark.range(0, num_orders, 1, partitions) if partitions else spark.range(num_orders)
     return frame.select(
         _uuid(seed, "order", row).alias("order_id"),
-        (F.pmod(F.xxhash64(F.lit(seed), F.lit("customer"), row), F.lit(span)) + low).cast("int").alias("customer_id"),
+        (_hash32(seed, "customer", row) % F.lit(span) + low).cast("int").alias("customer_id"),
         _uuid(seed, "item", row).alias("item_id"),
         _pick(ITEMS, seed, "item_name", row).alias("item_name"),
         ts.alias("delivered_on"),

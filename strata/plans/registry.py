@@ -376,6 +376,7 @@ from s2 where not exists (select 1 from dim1 d where d."current" and d.id = s2.i
        {_OPEN} valid_to
 from s2 join dim1 d on d."current" and d.id = s2.id
 where s2.datetime_updated > d.datetime_updated""",
+    "chg2": "select * from new2 union all select * from upd2 union all select * from closed2",
     "closed2": """select d.id, d.customer_sur_id, d.first_name, d.last_name, d.state_id, d.datetime_created,
        s2.datetime_updated, false as "current", d.valid_from, s2.datetime_updated valid_to
 from dim1 d join s2 on d."current" and d.id = s2.id
@@ -386,6 +387,7 @@ _DEPENDS = {
     "s1": ["b1"], "s2": ["b2"], "dim1": ["s1"], "dim2": ["s1", "s2"],
     "fct1": ["ord", "dim1"], "fct2": ["ord", "dim2"], "mart1": ["fct1", "dim1"], "mart2": ["fct2", "dim2"],
     "new2": ["s2", "dim1"], "upd2": ["s2", "dim1"], "closed2": ["s2", "dim1"],
+    "chg2": ["new2", "upd2", "closed2"],
 }
 
 
@@ -490,6 +492,30 @@ union all select 'dup_keys', {_bigint('count(*) filter (where n > 1)')}
 ORACLE_SQL["upsert_full_outer"] = ORACLE_SQL["upsert_multi_key"]
 
 
+def _audit_sql() -> str:
+    plain = ", ".join(
+        f"('{step}', '{status}')"
+        for step in ("run", "bronze", "silver", "gold")
+        for status in ("start", "end")
+    )
+    parts = []
+    for run_id in ("run-1", "run-2"):
+        parts.append(
+            f"select '{run_id}' run_id, 'sales_mart' pipeline_id, step, status, cast(null as bigint) \"rows\" "
+            f"from (values {plain}) t(step, status)"
+        )
+    published = {
+        "run-1": {"customer": "b1", "orders": "ord", "dim_customer": "b1", "fct_orders": "ord", "sales_mart": "mart1"},
+        "run-2": {"customer": "b2", "orders": "ord", "dim_customer": "chg2", "fct_orders": "ord", "sales_mart": "mart2"},
+    }
+    for run_id, tables in published.items():
+        for name, source in tables.items():
+            parts.append(
+                f"select '{run_id}', 'sales_mart', 'publish:{name}', 'end', (select count(*) from {source})"
+            )
+    return _with("\nunion all\n".join(parts), "b1", "b2", "ord", "mart1", "mart2", "chg2")
+
+
 def _sql_hash32(seed: str, tag: str, row: str) -> str:
     return f"('0x' || substr(md5(concat_ws(':', '{seed}', '{tag}', cast({row} as varchar))), 1, 8))::BIGINT"
 
@@ -507,6 +533,8 @@ def _sql_uuid(seed: str, tag: str, row: str) -> str:
     )
 
 
+ORACLE_SQL["run_audit"] = _audit_sql()
+
 _GEN_TS = "timestamp '2024-06-01 00:00:00'"
 ORACLE_SQL["gen_customer"] = f"""select cast(c_custkey as int) id,
        {_sql_pick(FIRST_NAMES, '7', 'first', 'c_custkey')} first_name,

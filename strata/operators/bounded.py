@@ -55,17 +55,23 @@ def fixed_width_bound(df: DataFrame, max_rows: int) -> int | None:
 
 
 def broadcast_if_bounded(
-    df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None
+    df: DataFrame,
+    limit: int = DEFAULT_BROADCAST_LIMIT,
+    max_rows: int | None = None,
+    max_bytes: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when its size is within ``limit``, else ``(df, False)``.
 
-    With ``max_rows`` (a proven upper bound on the rows, e.g. the observed row count
-    of the batch it is derived from) and only fixed-width columns, the bound is
-    computed without a Spark job; otherwise the size is measured.
+    A caller that already holds a proven upper bound passes it: ``max_bytes`` (e.g.
+    the measured footprint of a superset of the rows and columns), or ``max_rows``
+    (e.g. the observed row count of the batch it is derived from) for frames with only
+    fixed-width columns. Otherwise the size is measured with one aggregate.
     """
     if limit <= 0:
         return df, False
-    bound = fixed_width_bound(df, max_rows) if max_rows is not None else None
+    bound = max_bytes
+    if bound is None and max_rows is not None:
+        bound = fixed_width_bound(df, max_rows)
     if bound is None:
         bound = footprint(df).bytes
     if bound <= limit:

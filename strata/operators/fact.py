@@ -36,10 +36,14 @@ def build_fact(
     dim_key: str = "id",
     sur_key: str = "customer_sur_id",
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    dim_bytes: int | None = None,
 ) -> DataFrame:
-    """Order columns plus ``sur_key`` of the active customer version."""
+    """Order columns plus ``sur_key`` of the active customer version.
+
+    ``dim_bytes``: a known upper bound of the active rows' size (skips measuring).
+    """
     cols = [c for c in ORDER_COLUMNS if c in orders.columns]
-    small, fits = broadcast_if_bounded(active_keys(dim, dim_key, sur_key), broadcast_limit)
+    small, fits = broadcast_if_bounded(active_keys(dim, dim_key, sur_key), broadcast_limit, max_bytes=dim_bytes)
     if fits:
         return orders.select(*cols).join(small, F.col(customer_key) == F.col("_dim_id"), "left").select(*cols, sur_key)
     active = active_keys(dim, dim_key, sur_key).withColumn("_dim_salt", zero_salt("_dim_id"))

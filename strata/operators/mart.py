@@ -27,10 +27,14 @@ def build_mart(
     sur_key: str = "customer_sur_id",
     delivered_on: str = "delivered_on",
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    dim_bytes: int | None = None,
 ) -> DataFrame:
-    """``deliver_date DATE, state_id STRING, num_orders BIGINT``."""
+    """``deliver_date DATE, state_id STRING, num_orders BIGINT``.
+
+    ``dim_bytes``: a known upper bound of the active rows' size (skips measuring).
+    """
     active = dim.where(F.col("current")).select(F.col(sur_key).alias("_k"), F.col("state_id"))
-    active, _ = broadcast_if_bounded(active, broadcast_limit)
+    active, _ = broadcast_if_bounded(active, broadcast_limit, max_bytes=dim_bytes)
     per_key = fact.groupBy(deliver_date(delivered_on).alias("deliver_date"), F.col(sur_key).alias("_k")).agg(
         F.count(F.lit(1)).alias("_n")
     )

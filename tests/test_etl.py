@@ -94,3 +94,23 @@ def test_changed_share_and_latest_only(spark, scratch_dir):
     assert 50 <= changed <= 150
     assert dim.count() == 400 + changed
     assert dim.where("current").count() == 400
+
+
+def test_quality_gate_stops_the_run_before_fact_and_mart(spark, scratch_dir):
+    from strata.operators.quality import InvalidDataError
+    from tests.conftest import ts
+    from tests.frames import customers, orders
+
+    db, _ = fresh(spark, scratch_dir)
+
+    def source(s, ctx):
+        batch = customers(s, [(1, "CA", ts(1)), (1, "NY", ts(2)), (2, "TX", ts(1))])
+        return batch, orders(s, [("o1", 1, ts(3))])
+
+    with pytest.raises(InvalidDataError, match="multi_active_ids"):
+        SalesMartETL(spark, db, bronze_source=source, quality_gate=True, allow=()).run(RUNS[0])
+    # the dimension publish happened and is what the gate reported on ...
+    assert spark.table(f"{db}.dim_customer").where("id = 1 and current").count() == 2
+    # ... but no fact or mart partition was published for the run
+    assert spark.table(f"{db}.fct_orders").count() == 0
+    assert spark.table(f"{db}.sales_mart").count() == 0

@@ -38,15 +38,26 @@ def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
+def _initialize(spark: SparkSession, location: str, schema: T.StructType, partition: str | None) -> None:
+    """Create the table folder with an empty dataset of its schema, unless it exists
+    (an existing folder is re-attached untouched), so first reads find a folder."""
+    writer = spark.createDataFrame([], schema).write.mode("ignore")
+    if partition:
+        writer = writer.partitionBy(partition)
+    writer.parquet(location)
+
+
 def _create(spark: SparkSession, path: str, database: str, tables: dict) -> None:
     create_database(spark, database)
     for name, schema in tables.items():
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        column = PARTITION_OF.get(name, PARTITION_COL)
-        partitioned = "" if name in UNPARTITIONED else f"PARTITIONED BY (`{column}`)"
+        column = None if name in UNPARTITIONED else PARTITION_OF.get(name, PARTITION_COL)
+        location = f"{path.rstrip('/')}/{name}"
+        _initialize(spark, location, schema, column)
+        partitioned = f"PARTITIONED BY (`{column}`)" if column else ""
         spark.sql(
             f"CREATE TABLE {database}.{name} ({ddl_columns(schema)}) USING PARQUET "
-            f"{partitioned} LOCATION '{path.rstrip('/')}/{name}'"
+            f"{partitioned} LOCATION '{location}'"
         )
 
 
@@ -93,6 +104,7 @@ def create_interface_views(
 
 def create_audit_table(spark: SparkSession, path: str, database: str = "ecommerce", name: str = "run_metadata") -> str:
     create_database(spark, database)
+    _initialize(spark, f"{path.rstrip('/')}/{name}", RUN_METADATA, None)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl_columns(RUN_METADATA)}) "
         f"USING PARQUET LOCATION '{path.rstrip('/')}/{name}'"

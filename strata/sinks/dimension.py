@@ -125,6 +125,8 @@ def publish_dimension(
     base = base_token(table_location(spark, tables.active))
     staged = materialize(conform(changes, active.schema))
     stats = key_stats(staged, keys)
+    if stats[0] == 0 and not staged.limit(1).collect():
+        return  # an empty change set changes nothing (a rerun of a published batch)
     small = broadcast_fits(stats[0], stats[1], broadcast_limit)
 
     # the base's own history partition is replaced below, so it cannot collide

@@ -95,11 +95,14 @@ def upsert_table(
     keys: Sequence[str],
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> str:
-    """Upsert ``source`` into ``table`` on ``keys``; returns the new snapshot folder."""
+    """Upsert ``source`` into ``table`` on ``keys``; returns the table's snapshot folder
+    (unchanged when the source is empty)."""
     target = spark.table(table)
     staged = materialize(conform(source, target.schema))
-    merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit)
     location = table_location(spark, table)
+    if not staged.limit(1).collect():
+        return location  # nothing to upsert: the current snapshot stays
+    merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit)
     snapshot = f"{_snapshot_root(location)}/{SNAPSHOTS}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     parts = table_partition_columns(spark, table)
     writer = merged.write.mode("errorifexists")

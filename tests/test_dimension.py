@@ -51,8 +51,10 @@ def test_rerun_after_success_keeps_closed_rows(spark, scratch_dir):
     b2 = customers(spark, [(1, "TX", ts(2))])
     run(spark, tables, b2, P2)
     before = rows(spark.table(tables.view))
+    location = table_location(spark, tables.active)
     run(spark, tables, b2, P2)  # same run again: nothing changes, nothing is lost
     assert rows(spark.table(tables.view)) == before
+    assert table_location(spark, tables.active) == location  # and nothing was rewritten
     assert spark.table(tables.view).where(~F.col("current")).count() == 1
 
 

@@ -19,7 +19,6 @@ from datetime import datetime, timedelta
 from typing import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.temporal import run_partition

@@ -1,6 +1,5 @@
 """Registered queries against their DuckDB oracles on the smallest tables."""
 
-import hashlib
 
 import duckdb
 import pytest

@@ -1,6 +1,5 @@
 """Physical plans: pushdown, pruning, and the broadcast guards."""
 
-from pyspark.sql import functions as F
 
 from strata.operators import apply_scd2, build_fact, materialize, merge_frames, scd2_changes
 from tests.conftest import ts

@@ -122,3 +122,14 @@ def test_upsert_into_partitioned_table_on_declared_keys(spark, db):
     assert got == [(P1, 1, "CA"), (P1, 2, "NY"), (P2, 1, "CA"), (P2, 2, "TX"), (P2, 3, "WA")]
     # a partition pruned read sees only the new snapshot's files
     assert spark.table(t).where(F.col("partition") == P1).count() == 2
+
+
+def test_empty_upsert_source_keeps_the_snapshot(spark, db):
+    t = f"{db}.dim_customer_active"
+    rows = spark.createDataFrame(
+        [(1, "k1", "F", "L", "CA", ts(1), ts(1), True, ts(1), ts(9), P1)], spark.table(t).schema
+    )
+    upsert_table(spark, t, rows, ["customer_sur_id"])
+    before = table_location(spark, t)
+    assert upsert_table(spark, t, rows.where(F.lit(False)), ["customer_sur_id"]) == before
+    assert table_location(spark, t) == before and spark.table(t).count() == 1

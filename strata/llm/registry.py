@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import simhash
+from strata.llm import bpe, simhash
 from strata.llm.common import read_table
 
 
@@ -17,8 +17,25 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def tokenizer_path() -> str:
+    """The word-level tokenizer file of the installed public collection."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text decoded from them, as digests."""
+    path = tokenizer_path()
+    encoded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op7_bpe": op7_bpe,
 }
 
 # queries that SQL can express; the others are held against brute force in tests/llm

@@ -36,7 +36,8 @@ from pyspark.sql import types as T
 from strata.llm.common import pick, ship
 
 NO_RANK = np.iinfo(np.int64).max
-WHITE = r"\t-\r \x85\xa0  -     　"
+# the white space of Unicode, as the inside of a character class
+WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 BLOCK_CHARS = 1 << 20
 MEMO_WORDS = 250_000
 _block_end = regex.compile(r"[\t-\r ]")

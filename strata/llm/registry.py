@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, simhash
-from strata.llm.common import read_table
+from strata.llm import bpe, lm, simhash
+from strata.llm.common import fold_of, pick, read_table
+
+
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, learnt from the rows whose fold is not 1."""
+    docs = pick(read_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("held_out", fold_of("doc_id") == 1)
+    model = lm.fit(docs, ~F.col("held_out"))
+    scored = lm.score(docs, model, keep={"held_out": F.col("held_out")})
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
+    )
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +44,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_lm": op4_lm,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
 }

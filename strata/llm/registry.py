@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lm, simhash
+from strata.llm import bpe, lm, mixing, simhash
 from strata.llm.common import fold_of, pick, read_table
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, by weights 5, 2, 1 of the sources."""
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every text, learnt from the rows whose fold is not 1."""
     docs = pick(read_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("held_out", fold_of("doc_id") == 1)
@@ -44,10 +50,13 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op4_lm": op4_lm,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
 }
 
 # queries that SQL can express; the others are held against brute force in tests/llm
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_mixing": mixing.mix_sql(),
+}

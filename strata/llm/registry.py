@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lm, mixing, simhash
+from strata.llm import bpe, lm, mixing, pii, simhash
 from strata.llm.common import fold_of, pick, read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    found = pii.personal_data(read_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    digest = F.sha2(pii.span_text("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.span_text("spans").alias("spans"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, by weights 5, 2, 1 of the sources."""
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -50,6 +58,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
     "op4_lm": op4_lm,
     "op6_simhash": op6_simhash,

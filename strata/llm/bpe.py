@@ -39,7 +39,7 @@ NO_RANK = np.iinfo(np.int64).max
 # the white space of Unicode, as the inside of a character class
 WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 BLOCK_CHARS = 1 << 20
-MEMO_WORDS = 250_000
+MEMO_WORDS = 300_000
 _block_end = regex.compile(r"[\t-\r ]")
 
 
@@ -51,8 +51,15 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def _make_room(memo: dict[str, bytes], more: int) -> None:
+    """Halve a memo that would grow too large; what was met first is the common half."""
+    if len(memo) + more > MEMO_WORDS:
+        for key in list(memo)[MEMO_WORDS // 2 :]:
+            del memo[key]
+
+
 class WordBpe:
-    """Tables of one tokenizer, and a memo of word encodings (little-endian ids)."""
+    """Tables of one tokenizer, and memos of the encodings (little-endian ids) of chunks and words."""
 
     def __init__(self, source: str) -> None:
         spec = json.loads(source)
@@ -91,16 +98,14 @@ class WordBpe:
         self.pair_order = np.argsort(keys)
         self.pair_keys = keys[self.pair_order]
         self.pair_rank = dict(zip(keys.tolist(), range(len(keys))))
-        self.merged = {k: int(m) for k, m in zip(keys.tolist(), self._made(keys))}
+        self.made = np.argsort(self.rank)[-len(keys) :].tolist() if len(keys) else []  # by rank
+        self.byte_token = [self.inner[bytes([b])] for b in range(256)]
         self._drop_unreachable()
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        self.reach: dict[bytes, int] = {}  # longest token by its first two bytes
+        for raw in [*self.inner, *self.final]:
+            self.reach[raw[:2]] = max(self.reach.get(raw[:2], 1), len(raw))
         self.memo: dict[str, bytes] = {}
-
-    def _made(self, keys: np.ndarray) -> np.ndarray:
-        made = np.flatnonzero(self.rank >= 0)
-        out = np.empty(len(keys), np.int64)
-        out[self.rank[made]] = made
-        return out
+        self.word_memo: dict[str, bytes] = {}
 
     def _drop_unreachable(self) -> None:
         """Keep from proposals the tokens that merging their own bytes does not give back."""
@@ -147,12 +152,13 @@ class WordBpe:
     def propose(self, word: bytes) -> list[int] | None:
         """Greedy longest match; None where some byte has no token."""
         out, at, n = [], 0, len(word)
-        inner, final, longest = self.inner, self.final, self.longest
+        inner, final, reach = self.inner, self.final, self.reach
         while at < n:
-            token = final.get(word[at:]) if n - at <= longest else None
+            most = at + reach.get(word[at : at + 2], 1)
+            token = final.get(word[at:]) if most >= n else None
             stop = n
             if token is None:
-                for stop in range(min(n - 1, at + longest), at, -1):
+                for stop in range(min(n - 1, most), at, -1):
                     token = inner.get(word[at:stop])
                     if token is not None:
                         break
@@ -165,44 +171,59 @@ class WordBpe:
     def merge(self, word: bytes) -> list[int]:
         """Exact merging: lowest rank first, leftmost among equals."""
         last = self.final if self.suffix else self.inner
-        parts = [self.inner[word[k : k + 1]] for k in range(len(word) - 1)] + [last[word[-1:]]]
-        size, rank = self.size, self.pair_rank
-        while len(parts) > 1:
-            best, keys = None, [a * size + b for a, b in zip(parts, parts[1:])]
-            best = min(keys, key=lambda k: rank.get(k, NO_RANK))
-            if best not in rank:
+        size, rank_of, made = self.size, self.pair_rank.get, self.made
+        parts = [*map(self.byte_token.__getitem__, word[:-1]), last[word[-1:]]]
+        ranks = [rank_of(a * size + b, NO_RANK) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            lowest = min(ranks)
+            if lowest == NO_RANK:
                 break
-            made, out, k = self.merged[best], [], 0
-            while k < len(parts):
-                if k < len(keys) and keys[k] == best:
-                    out.append(made)
-                    k += 2
-                else:
-                    out.append(parts[k])
-                    k += 1
-            parts = out
+            k = ranks.index(lowest)
+            parts[k] = token = made[lowest]
+            del parts[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = rank_of(parts[k - 1] * size + token, NO_RANK)
+            if k < len(ranks):
+                ranks[k] = rank_of(token * size + parts[k + 1], NO_RANK)
         return parts
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode new words into the memo: speculate, verify all pairs at once, repair."""
-        words = list(words)
-        if len(self.memo) + len(words) > MEMO_WORDS:
-            self.memo.clear()
+    def encode_words(self, words: list[str]) -> None:
+        """Encode new words into ``word_memo``: speculate, verify all pairs at once, repair."""
+        _make_room(self.word_memo, len(words))
         raw = [w.encode("utf-8", "replace") for w in words]
         guesses = [self.propose(w) for w in raw]
-        counts = np.array([len(g) if g else 0 for g in guesses])
+        counts = np.array([len(g) if g else 0 for g in guesses], np.int64)
         flat = np.array([t for g in guesses if g for t in g], np.int64)
         owner = np.repeat(np.arange(len(words)), counts)
-        inside = np.flatnonzero(owner[1:] == owner[:-1]) if len(owner) else np.empty(0, np.int64)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, back = np.unique(flat[inside] * self.size + flat[inside + 1], return_inverse=True)
         good = self.compatible(pairs // self.size, pairs % self.size)[back]
         wrong = set(owner[inside[~good]].tolist())
-        for k, (word, guess) in enumerate(zip(words, guesses)):
-            ids = self.merge(raw[k]) if guess is None or k in wrong else guess
-            self.memo[word] = np.array(ids, "<u4").tobytes()
+        packed, ends = flat.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+        start = 0
+        for k, (word, end) in enumerate(zip(words, ends)):
+            if guesses[k] is None or k in wrong:
+                self.word_memo[word] = np.array(self.merge(raw[k]), "<u4").tobytes()
+            else:
+                self.word_memo[word] = packed[start:end]
+            start = end
+
+    def learn(self, chunks: Iterable[str]) -> None:
+        """Encode new white-space-free chunks into ``memo``, by their words."""
+        chunks = list(chunks)
+        _make_room(self.memo, len(chunks))
+        split = list(map(self.words.findall, chunks))
+        known = self.word_memo
+        fresh = {w for words in split for w in words if w not in known}
+        if fresh:
+            kept = {w: known[w] for words in split for w in words if w in known} if len(known) + len(fresh) > MEMO_WORDS else {}
+            self.encode_words(list(fresh))
+            known.update(kept)
+        for chunk, words in zip(chunks, split):
+            self.memo[chunk] = b"".join([known[w] for w in words])
 
     def pieces(self, text: str) -> Iterator[list[str] | int]:
-        """Words of the text in blocks (lists), and special tokens (ids), in order."""
+        """White-space-free chunks of the text in blocks (lists), and special tokens (ids), in order."""
         parts = self.special_split.split(text) if self.special_split else [text]
         for k, part in enumerate(parts):
             if k % 2:
@@ -215,14 +236,16 @@ class WordBpe:
                 block = part[start:stop]
                 if not block.isascii():
                     block = unicodedata.normalize("NFC", block).replace("Σ", "σ")
-                yield self.words.findall(block.lower())
+                block = block.lower()
+                # str.split also cuts at four control characters that are no white space here
+                yield block.split() if not any(c in block for c in "\x1c\x1d\x1e\x1f") else self.words.findall(block)
                 start = stop
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
         split = [list(self.pieces(t)) for t in texts]
-        memo = self.memo
-        fresh = {w for parts in split for p in parts if not isinstance(p, int) for w in p if w not in memo}
+        fresh = {c for parts in split for p in parts if not isinstance(p, int) for c in p}
+        fresh.difference_update(self.memo)
         if fresh:
             self.learn(fresh)
         return [self._joined(parts) for parts in split]
@@ -235,7 +258,7 @@ class WordBpe:
                 continue
             try:
                 out.append(b"".join(map(self.memo.__getitem__, part)))
-            except KeyError:  # the memo was cleared since these words were in it
+            except KeyError:  # chunks have left the memo since
                 self.learn(set(part))
                 out.append(b"".join(map(self.memo.__getitem__, part)))
         return b"".join(out)

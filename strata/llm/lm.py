@@ -107,6 +107,24 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_counter(), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list:
+    """At most ``most`` rows of the most frequent words: all above a count that a histogram gives.
+
+    The histogram has a row per eighth of a doubling of the count; only the chosen rows
+    reach the driver, however many partitions the table has.
+    """
+    words = counts.where(F.octet_length("token") > 0).withColumn("step", F.floor(F.log2("n") * 8).cast("int"))
+    least, kept = None, 0
+    for row in sorted(words.groupBy("step").count().collect(), reverse=True):
+        if kept + row["count"] > most:
+            break
+        least, kept = row["step"], kept + row["count"]
+    if least is None:
+        return []
+    rows = words.where(F.col("step") >= least).select("token", "n").collect()
+    return sorted(rows, key=lambda r: (-r["n"], bytes(r["token"])))
+
+
 class _Lexicon:
     """Class and word number of every token, from the bounded list of frequent words."""
 
@@ -236,7 +254,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", config: LmConfig
     texts = docs.where(train).select(F.col(text_col).cast("binary").alias("t"))
     counts = staged(token_counts(texts))
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.where(F.octet_length("token") > 0).orderBy(F.desc("n"), "token").limit(config.local).collect()
+    top = frequent_words(counts, config.local)
     words, word_counts = [bytes(r["token"]) for r in top], np.array([r["n"] for r in top], np.int64)
 
     # words and types of each class; the shortlist's part is taken off its buckets

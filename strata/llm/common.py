@@ -129,5 +129,25 @@ def _is_forest(edges: DataFrame) -> bool:
     return per_node.where("up > 1 or (up > 0 and down > 0)").limit(1).count() == 0
 
 
+CHUNK = 256
+
+
+def array_sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda total, x: total + x)
+
+
+def chunk_sums(numbers: Column) -> Column:
+    """Sums of each CHUNK numbers of an array, for :func:`sum_before`; null for an empty array."""
+    count = F.ceil(F.size(numbers) / CHUNK).cast("int")
+    sums = F.transform(F.sequence(F.lit(0), count - 1), lambda b: array_sum(F.slice(numbers, b * CHUNK + 1, F.lit(CHUNK))))
+    return F.when(F.size(numbers) > 0, sums)
+
+
+def sum_before(numbers: Column, sums: Column, at: Column) -> Column:
+    """Sum of the first ``at`` numbers: whole chunks, then the rest."""
+    whole = F.floor(at / CHUNK).cast("int")
+    return array_sum(F.slice(sums, F.lit(1), whole)) + array_sum(F.slice(numbers, whole * CHUNK + 1, at - whole * CHUNK))
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import pick, staged
+from strata.llm.common import chunk_sums, pick, staged, sum_before
 
 
 @dataclass(frozen=True)
@@ -147,7 +147,6 @@ LABELERS = ("format", "valid", "gazetteer", "cue", "counter", "borders")
 ABSTAIN, NO, YES = 0, 1, 2
 CONTEXT = 32  # code points before a candidate that cue labelers see
 SHAPES = 8
-_CHUNK = 256
 
 
 def _yes_no(hit: Column) -> Column:
@@ -188,16 +187,6 @@ def _passes(kind: Kind, value: Column) -> Column:
     return F.lit(kind.base)
 
 
-def _sum(lengths: Column) -> Column:
-    return F.aggregate(lengths, F.lit(0), lambda total, x: total + x)
-
-
-def _sums_before(lengths: Column, blocks: Column, at: Column) -> Column:
-    """Sum of the first ``at`` lengths: whole blocks of _CHUNK, then the rest."""
-    whole = F.floor(at / _CHUNK).cast("int")
-    return _sum(F.slice(blocks, F.lit(1), whole)) + _sum(F.slice(lengths, whole * _CHUNK + 1, at - whole * _CHUNK))
-
-
 def with_candidates(docs: DataFrame, text_col: str = "text", out: str = "candidates") -> DataFrame:
     """``docs`` with an array of candidates: kind (number), start, end, ok (passes the base check), votes, shape."""
     frame = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit(""))).withColumn("_digits", F.col("_text").rlike("[0-9]"))
@@ -222,12 +211,10 @@ def _find(frame: DataFrame, number: int, kind: Kind) -> DataFrame:
     frame = frame.withColumn(f"_piece{number}", F.when(open_, F.split("_text", kind.pattern, -1)))
     each = F.zip_with(match, F.slice(piece, F.lit(1), F.size(match)), lambda a, b: F.length(a) + F.length(b))
     frame = frame.withColumn(f"_length{number}", F.when(open_, each))
-    count = F.ceil(F.size(length) / _CHUNK).cast("int")
-    sums = F.transform(F.sequence(F.lit(0), count - 1), lambda b: _sum(F.slice(length, b * _CHUNK + 1, F.lit(_CHUNK))))
-    frame = frame.withColumn(f"_block{number}", F.when(open_ & (F.size(length) > 0), sums))
+    frame = frame.withColumn(f"_block{number}", F.when(open_, chunk_sums(length)))
 
     def candidate(value: Column, i: Column) -> Column:
-        start = _sums_before(length, block, i) + F.length(F.get(piece, i))
+        start = sum_before(length, block, i) + F.length(F.get(piece, i))
         left, after = F.right(F.get(piece, i), F.lit(CONTEXT)), F.left(F.get(piece, i + 1), F.lit(1))
         ok = _passes(kind, value)
         long = F.length(value)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, lm, mixing, pii, simhash
+from strata.llm import bpe, licenses, lm, mixing, pii, simhash
 from strata.llm.common import fold_of, pick, read_table
 
 
@@ -25,6 +25,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels of every document, and the places of the base phrases."""
+    found = licenses.scan(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score",
+    )
+
+
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every text, learnt from the rows whose fold is not 1."""
     docs = pick(read_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("held_out", fold_of("doc_id") == 1)
@@ -60,6 +69,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
+    "op3_licenses": op3_licenses,
     "op4_lm": op4_lm,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,

@@ -75,6 +75,19 @@ def fold_of(id_column: str, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds
 
 
+def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows`` (one per key), or about nine tenths of ``most`` of them, chosen by a hash of the key.
+
+    Keys are kept by a hash below a threshold that one count gives, so nothing is sorted
+    or gathered, and a rerun chooses the same keys.
+    """
+    n = rows.count()
+    if n <= most:
+        return rows
+    slots = 1 << 30
+    return rows.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(slots)) < int(slots * 0.9 * most / n))
+
+
 def word_blocks(text: bytes | None, size: int = BLOCK) -> Iterator[list[bytes]]:
     """Words of a whole text, A-Z lower-cased, as lists from about ``size`` bytes each.
 

@@ -381,6 +381,10 @@ def find_spans(docs: DataFrame, text_col: str = "text", threshold: float = 0.5,
     return found.withColumn("spans", spans).drop("_candidates", "_scored")
 
 
+def count_spans(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_text(spans: str) -> Column:
     """kind:start:end of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, licenses, lm, mixing, pii, simhash
+from strata.llm import bpe, licenses, lm, mixing, pii, simhash, toxicity
 from strata.llm.common import fold_of, pick, read_table
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of the base spans, and all spans."""
     found = pii.personal_data(read_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    counts = [pii.count_spans("base", kind).alias(f"n_{kind}") for kind in pii.BASE]
     digest = F.sha2(pii.span_text("base"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, digest, pii.span_text("spans").alias("spans"))
 
@@ -66,6 +66,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from labelled rows whose fold is not 0."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold_of("doc_id") != 0)
+    scored = toxicity.score(pick(docs, "doc_id", "text"), model, keep={"doc_id": F.col("doc_id")})
+    return scored.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_lm": op4_lm,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
 }
 
 # queries that SQL can express; the others are held against brute force in tests/llm

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, licenses, lm, mixing, pii, simhash, toxicity
+from strata.llm import ann, bpe, licenses, lm, mixing, pii, simhash, topk, toxicity
 from strata.llm.common import fold_of, pick, read_table
 
 
@@ -74,6 +74,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest found of every 50th vector."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every 100th vector."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -82,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_ann": op9_ann,
+    "op10_topk": op10_topk,
 }
 
 # queries that SQL can express; the others are held against brute force in tests/llm

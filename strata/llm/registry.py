@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, licenses, lm, mixing, pii, simhash, topk, toxicity
+from strata.llm import ann, bpe, licenses, lm, mixing, pii, quality, simhash, topk, toxicity
 from strata.llm.common import fold_of, pick, read_table
 
 
@@ -44,6 +44,21 @@ def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade of every document, learnt from labelled rows whose fold is not 0.
+
+    Grades: 0 poor quality, 1 good but toxic, 2 good; ``tail`` is the probability of 1 or more.
+    """
+    docs, labels = read_table(spark, sf_dir, "documents"), pick(read_table(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
+    model = quality.fit(docs, labels, grade, fold_of("doc_id") != 0, levels=3)
+    graded = quality.grade_rows(pick(docs, "doc_id", "text"), model, keep={"doc_id": F.col("doc_id")})
+    return graded.select(
+        "doc_id", (fold_of("doc_id") == 0).alias("held_out"), "expected_grade", "tail",
+        F.col("tail").alias("score"), (F.col("tail") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: 4-word shingles, at most 4 differing bits."""
     groups = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -89,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_licenses": op3_licenses,
     "op4_lm": op4_lm,
+    "op5_quality": op5_quality,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,

@@ -284,20 +284,24 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id, ``n_tokens`` and ``ids`` (binary: little-endian unsigned 32-bit) of every row."""
+def encode(
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Id, the ``keep`` columns, ``n_tokens`` and ``ids`` (binary: little-endian unsigned 32-bit) of every row."""
     ship(docs.sparkSession)
     source = docs.sparkSession.sparkContext.broadcast(load(tokenizer_path))
-    rows = pick(docs, id_col, text_col).select(id_col, F.coalesce(text_col, F.lit("")).alias("t"))
-    schema = T.StructType([rows.schema[id_col], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    rows = pick(docs, id_col, *keep, text_col)
+    rows = rows.select(id_col, *keep, F.coalesce(text_col, F.lit("")).alias("t"))
+    heads = [rows.schema[c] for c in (id_col, *keep)]
+    schema = T.StructType([*heads, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(source.value)
         for batch in batches:
             for part in _slices(batch):
-                ids = model.encode_all(part.column(1).to_pylist())
+                ids = model.encode_all(part.columns[-1].to_pylist())
                 counts = pa.array([len(i) // 4 for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), counts, pa.array(ids, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], counts, pa.array(ids, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

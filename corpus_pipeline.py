@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the pattern grammar scores 0.5 or more go; all others stay as they are."""
     docs = pick(docs, *COLUMNS)
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold_of("doc_id") != 0)
-    scored = toxicity.score(docs, model, keep={c: F.col(c) for c in COLUMNS})
+    scored = toxicity.score(docs, model, keep=COLUMNS)
     return scored.where(F.col("score") < 0.5).select(*COLUMNS)
 
 

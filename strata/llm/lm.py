@@ -247,11 +247,13 @@ def _class_blocks(lexicon: _Lexicon, text: bytes | None):
 _MATRICES = ("context", "target", "first", "second", "bias")
 
 
-def fit(docs: DataFrame, train: Column, text_col: str = "text", config: LmConfig = LmConfig()) -> LmModel:
-    """Count all words of the rows where ``train`` holds, and train the class model on them."""
+def fit(
+    docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", config: LmConfig = LmConfig()
+) -> LmModel:
+    """Count all words of the rows where ``train`` (a condition on the id) holds, and train the class model on them."""
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.where(train).select(F.col(text_col).cast("binary").alias("t"))
+    texts = pick(docs, id_col, text_col).where(train).select(F.col(text_col).cast("binary").alias("t"))
     counts = staged(token_counts(texts))
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = frequent_words(counts, config.local)
@@ -359,22 +361,18 @@ def _scorer(key: str, shared) -> _Scorer:
     return _Scorer(shared.value)
 
 
-def score(docs: DataFrame, model: LmModel, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
-    """Id, the ``keep`` columns, n_tokens, n_known, base_score and score (log10) of every row."""
+def score(docs: DataFrame, model: LmModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Id, n_tokens, n_known, base_score and score (log10) of every row."""
     spark = docs.sparkSession
     ship(spark)
-    kept = keep or {}
     end = model.counts.where(F.octet_length("token") == 0).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     state = (
         model.key, model.config, model.words, model.word_counts, model.class_n, model.class_v,
         model.tokens, model.types, int(end), model.params,
     )
     shared, key = spark.sparkContext.broadcast(state), model.key
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("_row"),
-        F.col(id_col).alias("_id"),
-        *(c.alias(f"_keep_{name}") for name, c in kept.items()),
-        F.col(text_col).cast("binary").alias("_text"),
+    rows = pick(docs, id_col, text_col).select(
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")
     )
     heads = rows.schema.fields[:-1]
     schema = T.StructType(
@@ -409,7 +407,6 @@ def score(docs: DataFrame, model: LmModel, id_col: str = "doc_id", text_col: str
     more = F.coalesce("log_count", F.lit(0.0))
     return local.drop("rare", "times").join(joined, "_row", "left").select(
         F.col("_id").alias(id_col),
-        *(F.col(f"_keep_{name}").alias(name) for name in kept),
         F.col("n").alias("n_tokens"),
         (F.col("known") + F.coalesce("joined_known", F.lit(0))).alias("n_known"),
         (F.col("base") + more).alias("base_score"),

@@ -200,10 +200,12 @@ def fit(
     return fit_ordinal(sparse, np.array([r["grade"] for r in found], np.int64), levels, config)
 
 
-def grade_rows(docs: DataFrame, model: OrdinalModel, keep: dict[str, Column], text_col: str = "text", least_grade: int = 1) -> DataFrame:
+def grade_rows(
+    docs: DataFrame, model: OrdinalModel, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", least_grade: int = 1
+) -> DataFrame:
     """The ``keep`` columns, ``expected_grade`` and ``tail`` = P(grade >= ``least_grade``) of every row."""
     ship(docs.sparkSession)
-    rows = docs.select(*(c.alias(name) for name, c in keep.items()), F.col(text_col).cast("binary").alias("_text"))
+    rows = pick(docs, *dict.fromkeys([*keep, text_col])).select(*keep, F.col(text_col).cast("binary").alias("_text"))
     doubles = [T.StructField(n, T.DoubleType()) for n in ("expected_grade", "tail")]
     schema = T.StructType([*rows.schema.fields[:-1], *doubles])
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -36,12 +36,13 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every text, learnt from the rows whose fold is not 1."""
-    docs = pick(read_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("held_out", fold_of("doc_id") == 1)
-    model = lm.fit(docs, ~F.col("held_out"))
-    scored = lm.score(docs, model, keep={"held_out": F.col("held_out")})
-    return scored.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"
-    )
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = fold_of("doc_id") == 1
+    model = lm.fit(docs, ~held_out)
+    return lm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), pick(read_table(spark, sf_dir, "labels"), "doc_id", "quality", "toxic")
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(F.col("quality") == 1, 2)
     model = quality.fit(docs, labels, grade, fold_of("doc_id") != 0, levels=3)
-    graded = quality.grade_rows(pick(docs, "doc_id", "text"), model, keep={"doc_id": F.col("doc_id")})
+    graded = quality.grade_rows(docs, model)
     return graded.select(
         "doc_id", (fold_of("doc_id") == 0).alias("held_out"), "expected_grade", "tail",
         F.col("tail").alias("score"), (F.col("tail") >= 0.5).cast("int").alias("predicted"),
@@ -85,7 +86,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from labelled rows whose fold is not 0."""
     docs = read_table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold_of("doc_id") != 0)
-    scored = toxicity.score(pick(docs, "doc_id", "text"), model, keep={"doc_id": F.col("doc_id")})
+    scored = toxicity.score(docs, model)
     return scored.select("doc_id", (fold_of("doc_id") == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

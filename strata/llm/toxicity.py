@@ -146,10 +146,10 @@ def fit(
     return ToxicModel(learn_stems(rows, config), fit_weights(features, np.array([r["toxic"] for r in found], float)))
 
 
-def score(docs: DataFrame, model: ToxicModel, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: ToxicModel, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The ``keep`` columns, ``patterns`` (weight of each pattern) and ``score`` (0 to 1) of every row."""
     ship(docs.sparkSession)
-    rows = docs.select(*(c.alias(name) for name, c in keep.items()), F.col(text_col).alias("_text"))
+    rows = pick(docs, *dict.fromkeys([*keep, text_col])).select(*keep, F.col(text_col).alias("_text"))
     scored = _features(rows, model.stems)
     bias, *weights = (F.lit(w) for w in model.weights)
     logit = bias

@@ -4,12 +4,13 @@ The mart joins the fact to the *active* dimension rows on the surrogate key (no
 match or a NULL key gives a NULL state) and counts rows per (delivery date, state);
 NULL is a group of its own.
 
-Plan: the fact is first reduced to counts per (delivery date, surrogate key) with
-a map-side partial aggregate, so only those counts are shuffled and joined, and a
-customer holding a third of all orders becomes one row per date before any
-shuffle. The per-state counts are then summed, which equals counting the joined
-rows (the join multiplies counts exactly as it multiplies rows). The active
-(key, state) rows are broadcast when their measured size is within the limit.
+Plan: when the active (key, state) rows are within the broadcast limit (measured),
+they are broadcast, the fact streams past them, and one exchange moves the partial
+counts per (delivery date, state), a handful per task. Above the limit the fact is
+first reduced to counts per (delivery date, surrogate key) with a map-side partial
+aggregate, so that a customer holding a third of all orders becomes one row per date
+before any shuffle; these counts are joined and summed per state, which equals counting
+the joined rows (the join multiplies counts exactly as it multiplies rows).
 """
 
 from __future__ import annotations
@@ -34,10 +35,12 @@ def build_mart(
     ``dim_bytes``: a known upper bound of the active rows' size (skips measuring).
     """
     active = dim.where(F.col("current")).select(F.col(sur_key).alias("_k"), F.col("state_id"))
-    active, _ = broadcast_if_bounded(active, broadcast_limit, max_bytes=dim_bytes)
-    per_key = fact.groupBy(deliver_date(delivered_on).alias("deliver_date"), F.col(sur_key).alias("_k")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    active, small = broadcast_if_bounded(active, broadcast_limit, max_bytes=dim_bytes)
+    date = deliver_date(delivered_on).alias("deliver_date")
+    if small:
+        joined = fact.select(date, F.col(sur_key).alias("_k")).join(active, "_k", "left")
+        return joined.groupBy("deliver_date", "state_id").agg(F.count(F.lit(1)).alias("num_orders"))
+    per_key = fact.groupBy(date, F.col(sur_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     return (
         per_key.join(active, "_k", "left")
         .groupBy("deliver_date", "state_id")

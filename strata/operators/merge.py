@@ -11,8 +11,11 @@ Two physical paths, chosen from a measured size:
   are broadcast; the target is split with a broadcast anti join (rows kept) and a
   broadcast semi join (how many target rows each source key replaces). The target
   is scanned twice and **never shuffled**; only the matched-key counts move.
-* **large source key set**: one full outer join of target and source on the keys,
-  shuffling both sides; AQE splits skewed partitions.
+* **large source key set**: rows with a NULL key, on either side, never match and go
+  around the join by union, so they are not shuffled at all. The others are joined
+  twice on the keys: target left join source (replaced or kept rows) and source anti
+  join target (inserted rows). AQE can split the left side of both, so a hot key is
+  spread over tasks; it cannot split a full outer join.
 """
 
 from __future__ import annotations
@@ -129,10 +132,15 @@ def merge_frames(
         )
         return kept.unionByName(upserted)
 
-    t = target.withColumn("_strata_t", F.lit(True)).alias("t")
-    s = src.withColumn("_strata_s", F.lit(True)).alias("s")
-    joined = t.join(s, key_condition(keys, "t", "s"), "full_outer")
+    keyed_target, keyed_source = target.where(_non_null(keys)), src.where(_non_null(keys))
+    t = keyed_target.alias("t")
+    s = keyed_source.withColumn("_strata_s", F.lit(True)).alias("s")
     from_source = F.col("s._strata_s").isNotNull()
-    return joined.select(
+    updated = t.join(s, key_condition(keys, "t", "s"), "left").select(
         *[F.when(from_source, F.col(f"s.`{c}`")).otherwise(F.col(f"t.`{c}`")).alias(c) for c in cols]
     )
+    inserted = keyed_source.alias("s").join(
+        keyed_target.select(*keys).alias("t"), key_condition(keys, "t", "s"), "left_anti"
+    )
+    around = target.where(~_non_null(keys)).unionByName(src.where(~_non_null(keys)))
+    return updated.unionByName(inserted.select(*cols)).unionByName(around)

@@ -3,8 +3,9 @@
 Counts the conditions the SCD2 rules let through silently: NULL ids, NULL
 surrogate keys, ids with more than one active version, duplicated surrogate keys,
 and rows whose validity interval is reversed. The report is a small long-format
-frame (``check``, ``value``) built from three aggregates; ``assert_quality`` raises
-before a bad dimension is published.
+frame (``check``, ``value``) built from three aggregates. ``assert_quality`` raises when
+a check fails; as the ``gate`` of a dimension publish it sees the rows the publish wrote
+(the new active rows and the rows it closed) before they are committed.
 """
 
 from __future__ import annotations

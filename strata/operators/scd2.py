@@ -98,14 +98,14 @@ def classify(
 def latest_per_key(batch: DataFrame, key: str = "id", updated_at: str = "datetime_updated") -> DataFrame:
     """Keep the newest row per key (ties: the greatest row), as a partial aggregate.
 
-    ``max(struct(updated_at, ...))`` is combined map-side, so a hot key costs one
+    Rows with a NULL key are all kept: none is a version of another. ``max(struct(updated_at, ...))`` is combined map-side, so a hot key costs one
     row per task before the shuffle.
     """
     others = [c for c in batch.columns if c not in (key, updated_at)]
     newest = F.max(F.struct(F.col(updated_at), *[F.col(c) for c in others])).alias("_v")
-    return batch.groupBy(key).agg(newest).select(key, *[F.col(f"_v.{c}") for c in [updated_at, *others]]).select(
-        *batch.columns
-    )
+    keyed = batch.where(F.col(key).isNotNull()).groupBy(key).agg(newest)
+    keyed = keyed.select(key, *[F.col(f"_v.{c}") for c in [updated_at, *others]]).select(*batch.columns)
+    return keyed.unionByName(batch.where(F.col(key).isNull()))
 
 
 def _version(

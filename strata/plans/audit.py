@@ -1,31 +1,29 @@
-"""Run audit log: one appended row per step start and end.
+"""Run audit log: a row per step start, end or failure, and per published table.
 
-Each row carries the run context (run id, pipeline id), the step name, its
-parameters as text, the status, the rows the step published and its duration.
-Rows are appended to a Parquet catalog table with ``insertInto``; the audit never
-reads pipeline data, so it costs one tiny write per step.
+Each row carries the run context (run id, pipeline id), the step, its parameters as text,
+the status, the rows the step published and its duration. Rows are held until the layer
+ends and appended to a Parquet catalog table in one write, so a run makes at most one
+write per layer and one at its end. The audit never reads pipeline data.
 """
 
 from __future__ import annotations
 
 import functools
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from typing import Any, Callable
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.schemas import RUN_METADATA
 
-_WRITTEN = T.StructType([f for f in RUN_METADATA.fields if f.name != "timestamp_inserted"])
-
 
 @dataclass
 class RunAudit:
     spark: SparkSession
     table: str
+    held: list[tuple] = field(default_factory=list)
 
     def record(
         self,
@@ -37,42 +35,56 @@ class RunAudit:
         rows: int | None = None,
         seconds: float | None = None,
     ) -> None:
-        text = str({k: v for k, v in (params or {}).items()})
-        row = (run_id, pipeline_id, text, step, status, rows, seconds)
-        (
-            self.spark.createDataFrame([row], _WRITTEN)
-            .withColumn("timestamp_inserted", F.current_timestamp())
-            .write.insertInto(self.table)
-        )
+        """Hold a row, with the time of the call."""
+        now = datetime.now(timezone.utc)
+        self.held.append((run_id, pipeline_id, str(dict(params or {})), step, status, rows, seconds, now))
+
+    def flush(self) -> None:
+        """Append the held rows in one write (a few rows per layer, so one file)."""
+        if self.held:
+            self.spark.createDataFrame(self.held, RUN_METADATA).coalesce(1).write.insertInto(self.table)
+            self.held = []
+
 
+def _text(value: Any) -> str | None:
+    """A parameter as audit text: plain values as they are, datasets by name, frames left out."""
+    if isinstance(value, dict):
+        return ", ".join(sorted(map(str, value)))
+    return str(value) if isinstance(value, (str, int, float, bool)) else None
 
-def audited(step: str) -> Callable:
+
+def audited(step: str, flush: bool = False) -> Callable:
     """Decorator for pipeline methods: audit rows before and after the call.
 
-    The instance must expose ``audit`` (a ``RunAudit`` or None) and the call must
-    receive a ``ctx`` keyword or positional argument with ``run_id``, ``pipeline_id``
-    and ``partition``.
+    The instance must expose ``audit`` (a ``RunAudit`` or None) and the call must receive
+    an argument with ``run_id``, ``pipeline_id`` and ``partition``. With ``flush`` the
+    held rows are written when the call ends; a failure always writes them.
     """
 
     def wrap(func: Callable) -> Callable:
+        names = func.__code__.co_varnames[1 : func.__code__.co_argcount]
+
         @functools.wraps(func)
         def inner(self, *args, **kwargs):
             audit: RunAudit | None = getattr(self, "audit", None)
-            ctx = kwargs.get("ctx") or next((a for a in args if hasattr(a, "run_id")), None)
-            run_id = getattr(ctx, "run_id", None)
-            pipeline_id = getattr(ctx, "pipeline_id", None)
-            params = {"function": func.__name__, "partition": getattr(ctx, "partition", None)}
-            if audit:
-                audit.record(run_id, pipeline_id, step, "start", params)
+            if audit is None:
+                return func(self, *args, **kwargs)
+            given = dict(zip(names, args)) | kwargs
+            context = next((v for v in given.values() if hasattr(v, "run_id")), None)
+            ids = getattr(context, "run_id", None), getattr(context, "pipeline_id", None)
+            params = {"function": func.__name__, "partition": getattr(context, "partition", None)}
+            params |= {k: text for k, v in given.items() if (text := _text(v)) is not None}
+            audit.record(*ids, step, "start", params)
             started = time.monotonic()
             try:
                 result = func(self, *args, **kwargs)
             except Exception:
-                if audit:
-                    audit.record(run_id, pipeline_id, step, "failed", params, seconds=time.monotonic() - started)
+                audit.record(*ids, step, "failed", params, seconds=time.monotonic() - started)
+                audit.flush()
                 raise
-            if audit:
-                audit.record(run_id, pipeline_id, step, "end", params, seconds=time.monotonic() - started)
+            audit.record(*ids, step, "end", params, seconds=time.monotonic() - started)
+            if flush:
+                audit.flush()
             return result
 
         return inner

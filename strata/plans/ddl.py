@@ -1,15 +1,22 @@
-"""Databases, tables and the BI view.
+"""Databases, tables and the BI view, and their launcher.
 
-Tables are external Parquet tables with an explicit LOCATION, so dropping and
-re-creating one re-attaches the files already there. ``partition`` is always a
-STRING partition column. The dimension ``dim_customer`` is a view over its active
-table (unpartitioned) and its history table (partitioned by the closing run), see
-``strata.sinks.dimension``. Databases are dropped once, last, after every object.
+Tables are external Parquet tables with an explicit location. Creating what exists
+changes nothing; creating a table again after a drop attaches the newest rows under its
+folder (``strata.sinks.tables.attach``, and for the dimension its newest marked commit).
+Dropping never deletes files; ``purge_layer`` does. Every layer can be created, dropped
+and purged alone; a database goes when its last object has gone.
+
+    python -m strata.plans.ddl create --path s3a://bucket/warehouse
+    python -m strata.plans.ddl drop --layer silver
+    python -m strata.plans.ddl purge --path s3a://bucket/warehouse --layer silver
 """
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import (
@@ -22,110 +29,176 @@ from strata.schemas import (
     SALES_MART,
     ddl_columns,
 )
+from strata.sinks import files
+from strata.sinks.dimension import DimensionTables, last_marker, show_commit
+from strata.sinks.tables import attach, quoted
 
-BRONZE = {"customer": CUSTOMER_TABLE, "orders": ORDERS_TABLE}
-BASE_COL = "base_snapshot"
-DIM_HISTORY = T.StructType(list(DIM_CUSTOMER.fields) + [T.StructField(BASE_COL, T.StringType())])
-SILVER = {"dim_customer_active": DIM_CUSTOMER, "dim_customer_history": DIM_HISTORY, "fct_orders": FCT_ORDERS}
-GOLD = {"sales_mart": SALES_MART}
-UNPARTITIONED = {"dim_customer_active"}
-PARTITION_OF = {"dim_customer_history": BASE_COL}
+DATABASE, BI_DATABASE = "ecommerce", "businessintelligence"
 DIMENSION_VIEW = "dim_customer"
+DIM_STORE = T.StructType(
+    list(DIM_CUSTOMER.fields) + [T.StructField("part", T.StringType()), T.StructField("commit", T.LongType())]
+)
 VIEW = "sales_mart"
+AUDIT = "run_metadata"
+
+LAYERS: dict[str, dict[str, T.StructType]] = {
+    "bronze": {"customer": CUSTOMER_TABLE, "orders": ORDERS_TABLE},
+    "silver": {f"{DIMENSION_VIEW}_store": DIM_STORE, "fct_orders": FCT_ORDERS},
+    "gold": {"sales_mart": SALES_MART},
+}
 
 
 def create_database(spark: SparkSession, database: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
 
-def _initialize(spark: SparkSession, location: str, schema: T.StructType, partition: str | None) -> None:
-    """Create the table folder with an empty dataset of its schema, unless it exists
-    (an existing folder is re-attached untouched), so first reads find a folder."""
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: tuple[str, ...] = (PARTITION_COL,)
+) -> bool:
+    """Create ``table`` unless it exists; returns whether it did. The folder is made if need be."""
+    if spark.catalog.tableExists(table):
+        return False
     writer = spark.createDataFrame([], schema).write.mode("ignore")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.parquet(location)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(location)
+    columns = ", ".join(f"`{c}`" for c in partition_by)
+    partitioned = f"PARTITIONED BY ({columns})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {table} ({ddl_columns(schema)}) USING PARQUET {partitioned} LOCATION {quoted(location)}")
+    return True
 
 
-def _create(spark: SparkSession, path: str, database: str, tables: dict) -> None:
+def _create_layer(spark: SparkSession, layer: str, path: str, database: str) -> None:
     create_database(spark, database)
-    for name, schema in tables.items():
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        column = None if name in UNPARTITIONED else PARTITION_OF.get(name, PARTITION_COL)
+    for name, schema in LAYERS[layer].items():
         location = f"{path.rstrip('/')}/{name}"
-        _initialize(spark, location, schema, column)
-        partitioned = f"PARTITIONED BY (`{column}`)" if column else ""
-        spark.sql(
-            f"CREATE TABLE {database}.{name} ({ddl_columns(schema)}) USING PARQUET "
-            f"{partitioned} LOCATION '{location}'"
-        )
+        if schema is DIM_STORE:
+            if create_table(spark, f"{database}.{name}", schema, location, ("part", "commit")):
+                spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
+        elif create_table(spark, f"{database}.{name}", schema, location):
+            attach(spark, f"{database}.{name}")
 
 
-def _drop(spark: SparkSession, database: str, tables: dict) -> None:
-    for name in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-
-
-def create_bronze_tables(spark: SparkSession, path: str, database: str = "ecommerce") -> None:
-    _create(spark, path, database, BRONZE)
+def create_bronze_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
+    _create_layer(spark, "bronze", path, database)
 
 
-def create_silver_tables(spark: SparkSession, path: str, database: str = "ecommerce") -> None:
-    spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
-    _create(spark, path, database, SILVER)
-    dim_columns = ", ".join(f"`{f.name}`" for f in DIM_CUSTOMER.fields)
-    spark.sql(
-        f"""CREATE OR REPLACE VIEW {database}.{DIMENSION_VIEW} AS
-            SELECT * FROM {database}.{DIMENSION_VIEW}_active
-            UNION ALL
-            SELECT {dim_columns} FROM {database}.{DIMENSION_VIEW}_history"""
-    )
+def create_silver_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
+    _create_layer(spark, "silver", path, database)
+    tables = DimensionTables.of(database, DIMENSION_VIEW)
+    if not spark.catalog.tableExists(tables.view):
+        show_commit(spark, tables, last_marker(spark, tables))
 
 
-def create_gold_tables(spark: SparkSession, path: str, database: str = "ecommerce") -> None:
-    _create(spark, path, database, GOLD)
+def create_gold_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
+    _create_layer(spark, "gold", path, database)
 
 
 def create_interface_views(
-    spark: SparkSession, database: str = "businessintelligence", src_database: str = "ecommerce"
+    spark: SparkSession, database: str = BI_DATABASE, src_database: str = DATABASE, partition: str | None = None
 ) -> None:
     """The BI view: newest run of the mart, ``deliver_date`` renamed ``delivery_date``.
 
-    The newest run is a scalar subquery so the scan is pruned to one partition.
+    With ``partition`` the view names the run, so a reader plans one partition and runs
+    nothing else (``point_interface_views`` finds it after a publish). Without, the
+    newest run is a scalar subquery.
     """
     create_database(spark, database)
+    newest = quoted(partition) if partition else f"(SELECT max(`{PARTITION_COL}`) FROM {src_database}.sales_mart)"
     spark.sql(
         f"""CREATE OR REPLACE VIEW {database}.{VIEW} AS
             SELECT state_id, deliver_date AS delivery_date, num_orders
             FROM {src_database}.sales_mart
-            WHERE `{PARTITION_COL}` = (SELECT max(`{PARTITION_COL}`) FROM {src_database}.sales_mart)"""
+            WHERE `{PARTITION_COL}` = {newest}"""
     )
 
 
-def create_audit_table(spark: SparkSession, path: str, database: str = "ecommerce", name: str = "run_metadata") -> str:
+def point_interface_views(spark: SparkSession, database: str, src_database: str) -> str | None:
+    """Let the BI view name the newest run that has rows, from the catalog's list of partitions."""
+    known = sorted((r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {src_database}.sales_mart").collect()), reverse=True)
+    mart = spark.table(f"{src_database}.sales_mart")
+    newest = next((p for p in known if mart.where(F.col(PARTITION_COL) == p).limit(1).count()), None)
+    create_interface_views(spark, database, src_database, newest)
+    return newest
+
+
+def create_audit_table(spark: SparkSession, path: str, database: str = DATABASE, name: str = AUDIT) -> str:
     create_database(spark, database)
-    _initialize(spark, f"{path.rstrip('/')}/{name}", RUN_METADATA, None)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({ddl_columns(RUN_METADATA)}) "
-        f"USING PARQUET LOCATION '{path.rstrip('/')}/{name}'"
-    )
+    create_table(spark, f"{database}.{name}", RUN_METADATA, f"{path.rstrip('/')}/{name}", ())
     return f"{database}.{name}"
 
 
-def create_all(
-    spark: SparkSession, path: str, database: str = "ecommerce", bi_database: str = "businessintelligence"
-) -> None:
+def create_all(spark: SparkSession, path: str, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
     create_bronze_tables(spark, path, database)
     create_silver_tables(spark, path, database)
     create_gold_tables(spark, path, database)
-    create_interface_views(spark, bi_database, database)
-
-
-def drop_all(
-    spark: SparkSession, database: str = "ecommerce", bi_database: str = "businessintelligence"
-) -> None:
-    spark.sql(f"DROP VIEW IF EXISTS {bi_database}.{VIEW}")
-    spark.sql(f"DROP DATABASE IF EXISTS {bi_database}")
-    spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
-    _drop(spark, database, {**BRONZE, **SILVER, **GOLD, "run_metadata": None})
-    spark.sql(f"DROP DATABASE IF EXISTS {database}")
+    if not spark.catalog.tableExists(f"{bi_database}.{VIEW}"):
+        create_interface_views(spark, bi_database, database)
+
+
+def _drop_database_if_empty(spark: SparkSession, database: str) -> None:
+    if spark.catalog.databaseExists(database) and not spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").count():
+        spark.sql(f"DROP DATABASE {database}")
+
+
+def drop_layer(spark: SparkSession, layer: str, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
+    """Drop the catalog objects of one layer (bronze, silver, gold, interface or audit); files stay."""
+    if layer == "interface":
+        if spark.catalog.databaseExists(bi_database):
+            spark.sql(f"DROP VIEW IF EXISTS {bi_database}.{VIEW}")
+        _drop_database_if_empty(spark, bi_database)
+        return
+    if not spark.catalog.databaseExists(database):
+        return
+    if layer == "silver":
+        spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
+    for name in (AUDIT,) if layer == "audit" else LAYERS[layer]:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    _drop_database_if_empty(spark, database)
+
+
+def drop_all(spark: SparkSession, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
+    for layer in ("interface", "gold", "silver", "bronze", "audit"):
+        drop_layer(spark, layer, database, bi_database)
+
+
+def purge_layer(spark: SparkSession, layer: str, path: str, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
+    """Drop one layer and delete its files: nothing of it can be attached again."""
+    drop_layer(spark, layer, database, bi_database)
+    names = {"interface": (), "audit": (AUDIT,)}.get(layer) if layer in ("interface", "audit") else tuple(LAYERS[layer])
+    for name in names:
+        files.delete(spark, f"{path.rstrip('/')}/{name}")
+
+
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
+    layers = [*LAYERS, "interface", "audit"]
+    parser = argparse.ArgumentParser(description="Create, drop or purge the tables.")
+    parser.add_argument("action", choices=["create", "drop", "purge"])
+    parser.add_argument("--path", help="folder of the tables (for create and purge)")
+    parser.add_argument("--layer", choices=[*layers, "all"], default="all")
+    parser.add_argument("--database", default=DATABASE)
+    parser.add_argument("--bi-database", default=BI_DATABASE)
+    args = parser.parse_args(argv)
+    if args.action != "drop" and not args.path:
+        parser.error("--path is needed")
+    if spark is None:
+        from strata.session import build_session
+
+        spark = build_session(app_name="strata-ddl")
+    chosen = layers if args.layer == "all" else [args.layer]
+    create = {
+        "bronze": lambda: create_bronze_tables(spark, args.path, args.database),
+        "silver": lambda: create_silver_tables(spark, args.path, args.database),
+        "gold": lambda: create_gold_tables(spark, args.path, args.database),
+        "interface": lambda: create_interface_views(spark, args.bi_database, args.database),
+        "audit": lambda: create_audit_table(spark, args.path, args.database),
+    }
+    for layer in chosen if args.action == "create" else reversed(chosen):
+        if args.action == "create":
+            create[layer]()
+        elif args.action == "drop":
+            drop_layer(spark, layer, args.database, args.bi_database)
+        else:
+            purge_layer(spark, layer, args.path, args.database, args.bi_database)
+
+
+if __name__ == "__main__":
+    main()

@@ -3,7 +3,8 @@
 Inputs are the given TPC-H-like tables; the bronze batches are derived from them
 (``sources.testdata``), so every query's work grows with the tables. Two runs are
 modelled: run 1 publishes customer batch 1, run 2 customer batch 2, both with the
-full orders batch.
+full customer and orders tables. The queries about customers that the dimension does not
+know (``scd2_new``, ``fct_orders_unmatched``) start from the held-back batch instead.
 
 Queries that write tables share one two-run ETL per session and input folder; its
 tables live in a scratch folder under the session's checkpoint folder. The SCD2
@@ -34,7 +35,16 @@ from strata.schemas import DIM_CUSTOMER, ETL_INSERTED_COL
 from strata.session import checkpoint_root, scratch_path
 from strata.sinks.tables import replace_partition, stamp
 from strata.sources.synthetic import FIRST_NAMES, ITEMS, LAST_NAMES, STATES, synthetic_customers, synthetic_orders
-from strata.sources.testdata import customer_batch, load, orders_batch
+from strata.sources.testdata import (
+    EDGE_HOT,
+    EDGE_NEW,
+    HELD_BACK,
+    customer_batch,
+    edge_batch,
+    held_back_batch,
+    load,
+    orders_batch,
+)
 
 # Fixed run partitions of the two modelled runs.
 RUN1 = "2024-06-01-00-00-00"
@@ -76,6 +86,16 @@ def _dims(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return _memo(spark, sf, "dims", build)
 
 
+def _held_back_dim(spark: SparkSession, sf: str) -> DataFrame:
+    """Dimension after a first run without every tenth customer (checkpointed, shared)."""
+
+    def build():
+        empty = spark.createDataFrame([], DIM_CUSTOMER)
+        return materialize(apply_scd2(held_back_batch(spark, sf), empty, RUN1))
+
+    return _memo(spark, sf, "held_back_dim", build)
+
+
 def _warehouse(spark: SparkSession, sf: str) -> dict[str, str]:
     """Two ETL runs over the fixture batches, published to scratch tables."""
 
@@ -89,9 +109,10 @@ def _warehouse(spark: SparkSession, sf: str) -> dict[str, str]:
         def source(version):
             return lambda s, ctx: (customer_batch(s, sf, version), orders_batch(s, sf))
 
-        SalesMartETL(spark, db, audit=audit, bronze_source=source(1)).run(RUN1, run_id="run-1")
-        SalesMartETL(spark, db, audit=audit, bronze_source=source(2)).run(RUN2, run_id="run-2")
-        return {"db": db, "bi": bi, "audit": audit.table}
+        for version, partition in ((1, RUN1), (2, RUN2)):
+            etl = SalesMartETL(spark, db, audit=audit, bronze_source=source(version), bi_database=bi)
+            etl.run(partition, run_id=f"run-{version}")
+        return {"db": db, "bi": bi, "audit": audit.table, "path": base}
 
     return _memo(spark, sf, "warehouse", build)
 
@@ -147,7 +168,8 @@ def _run2_changes(spark, sf):
 
 
 def q_scd2_new(spark, sf):
-    return _run2_changes(spark, sf).where(F.col("change") == NEW).drop("change")
+    changes = scd2_change_rows(_b2(spark, sf), _held_back_dim(spark, sf))
+    return changes.where(F.col("change") == NEW).drop("change")
 
 
 def q_scd2_updated(spark, sf):
@@ -162,6 +184,12 @@ def q_scd2_changes(spark, sf):
     return _run2_changes(spark, sf).drop("change")
 
 
+def q_scd2_edge(spark, sf):
+    """Every case of the rules: equal, older, newer and NULL timestamps, NULL ids, two
+    versions of an unknown id, and one unknown id that a third of the rows share."""
+    return scd2_change_rows(edge_batch(spark, sf), _dims(spark, sf)[0])
+
+
 def q_scd2_unchanged(spark, sf):
     pairs = classify(_b2(spark, sf), _dims(spark, sf)[0])
     return pairs.where(F.col("change") == UNCHANGED).select("id", "customer_sur_id", "datetime_updated")
@@ -172,7 +200,7 @@ def q_fct_orders(spark, sf):
 
 
 def q_fct_orders_unmatched(spark, sf):
-    return build_fact(_orders(spark, sf), _dims(spark, sf)[0])
+    return build_fact(_orders(spark, sf), _held_back_dim(spark, sf))
 
 
 def q_sales_mart(spark, sf):
@@ -199,6 +227,15 @@ def q_upsert_full_outer(spark, sf):
     return merge_frames(_b1(spark, sf), _b2(spark, sf), ["id", "state_id"], broadcast_limit=0)
 
 
+def _third_null(batch: DataFrame) -> DataFrame:
+    return batch.withColumn("id", F.when(F.col("id") % 3 != 0, F.col("id")))
+
+
+def q_upsert_hot_null(spark, sf):
+    """Upsert through the shuffle path with a third of the keys NULL on both sides."""
+    return merge_frames(_third_null(_b1(spark, sf)), _third_null(_b2(spark, sf)), ["id"], broadcast_limit=0)
+
+
 def q_quality_report(spark, sf):
     return quality_report(_dims(spark, sf)[1]).withColumnRenamed("check", "metric")
 
@@ -259,6 +296,23 @@ def q_table_counts(spark, sf):
     )
 
 
+def q_recreate_tables(spark, sf):
+    """Rows per table and run after the tables were created again over the same folders."""
+    w = _warehouse(spark, sf)
+    db = f"strata_{uuid.uuid4().hex[:10]}"
+    create_all(spark, w["path"], db, f"{db}_bi")
+    create_all(spark, w["path"], db, f"{db}_bi")  # a second time: nothing changes
+    names = ["customer", "orders", "dim_customer", "fct_orders", "sales_mart"]
+    counts = [
+        spark.table(f"{db}.{n}").groupBy("partition").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "partition", "n_rows")
+        for n in names
+    ]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.union(more)
+    return out
+
+
 def q_run_audit(spark, sf):
     return spark.table(_warehouse(spark, sf)["audit"]).select("run_id", "pipeline_id", "step", "status", "rows")
 
@@ -289,6 +343,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_closed": q_scd2_closed,
     "scd2_unchanged": q_scd2_unchanged,
     "scd2_changes": q_scd2_changes,
+    "scd2_edge": q_scd2_edge,
     "fct_orders": q_fct_orders,
     "fct_orders_unmatched": q_fct_orders_unmatched,
     "sales_mart": q_sales_mart,
@@ -296,6 +351,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_multi_key": q_upsert_multi_key,
     "upsert_null_key": q_upsert_null_key,
     "upsert_full_outer": q_upsert_full_outer,
+    "upsert_hot_null": q_upsert_hot_null,
     "quality_report": q_quality_report,
     "replace_partition": q_replace_partition,
     "replace_partition_empty": q_replace_partition_empty,
@@ -306,6 +362,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "max_partition": q_max_partition,
     "partition_list": q_partition_list,
     "table_counts": q_table_counts,
+    "recreate_tables": q_recreate_tables,
     "run_audit": q_run_audit,
     "gen_customer": q_gen_customer,
     "gen_orders": q_gen_orders,
@@ -318,18 +375,26 @@ _OPEN = "timestamp '2099-01-01 12:00:00'"
 
 CTES: dict[str, str] = {
     "b1": """select cast(c_custkey as int) id, 'Customer' first_name, substring(c_name, 10) last_name,
-       n_name state_id, mn datetime_created, mn datetime_updated
-from customer
-join nation on c_nationkey = n_nationkey
-join (select o_custkey, min(o_orderdate) mn from orders group by o_custkey) o
-  on o_custkey = c_custkey
-where c_custkey % 10 <> 9""",
+       (select n_name from nation where n_nationkey = c_nationkey) state_id,
+       (select min(o_orderdate) from orders where o_custkey = c_custkey) datetime_created,
+       (select min(o_orderdate) from orders where o_custkey = c_custkey) datetime_updated
+from customer""",
     "b2": """select cast(c_custkey as int) id, 'Customer' first_name, substring(c_name, 10) last_name,
-       n_name state_id, mn datetime_created, mx datetime_updated
-from customer
-join nation on (case when c_custkey % 5 = 0 then (c_nationkey + 1) % 25 else c_nationkey end) = n_nationkey
-join (select o_custkey, min(o_orderdate) mn, max(o_orderdate) mx from orders group by o_custkey) o
-  on o_custkey = c_custkey""",
+       (select n_name from nation
+        where n_nationkey = case when c_custkey % 5 = 0 then (c_nationkey + 1) % (select count(*) from nation)
+                                 else c_nationkey end) state_id,
+       (select min(o_orderdate) from orders where o_custkey = c_custkey) datetime_created,
+       (select max(o_orderdate) from orders where o_custkey = c_custkey) datetime_updated
+from customer""",
+    "held": f"select * from b1 where id % {HELD_BACK} <> {HELD_BACK - 1}",
+    "edge": f"""select id, first_name, last_name, state_id, datetime_created, datetime_updated from b1 where id % 9 = 0
+union all select id, first_name, last_name, state_id, datetime_created, datetime_updated - interval 1 hour from b1 where id % 9 = 1
+union all select id, first_name, last_name, state_id, datetime_created, null from b1 where id % 9 = 2
+union all select null, first_name, last_name, state_id, datetime_created, datetime_updated from b1 where id % 9 = 3
+union all select id + {EDGE_NEW}, first_name, last_name, state_id, datetime_created, datetime_updated from b1 where id % 9 = 4
+union all select id + {EDGE_NEW}, first_name, last_name, state_id, datetime_created, datetime_updated + interval 1 hour from b1 where id % 9 = 4
+union all select id, first_name, last_name, state_id, datetime_created, datetime_updated + interval 1 hour from b1 where id % 9 = 5
+union all select {EDGE_HOT}, first_name, last_name, state_id, datetime_created, datetime_updated from b1 where id % 9 >= 6""",
     "ord": """select cast(o_orderkey as varchar) order_id, cast(o_custkey as int) customer_id,
        cast(pk as varchar) item_id, p_name item_name,
        sd delivered_on, o_orderdate datetime_order_placed
@@ -339,6 +404,8 @@ left join (select l_orderkey, min(l_partkey) pk, max(l_shipdate) sd
 left join part on p_partkey = pk""",
     "s1": f"select *, {_SUR} sur from b1",
     "s2": f"select *, {_SUR} sur from b2",
+    "sh": f"select *, {_SUR} sur from held",
+    "se": f"select *, {_SUR} sur from edge",
     "dim1": f"""select id, sur customer_sur_id, first_name, last_name, state_id, datetime_created,
        datetime_updated, true as "current", datetime_updated valid_from, {_OPEN} valid_to,
        '{RUN1}' as "partition"
@@ -359,6 +426,7 @@ from s1 join s2 on s1.id = s2.id""",
 from ord o left join (select * from dim1 where "current") k on o.customer_id = k.id""",
     "fct2": """select o.*, k.customer_sur_id
 from ord o left join (select * from dim2 where "current") k on o.customer_id = k.id""",
+    "fcth": """select o.*, k.sur customer_sur_id from ord o left join sh k on o.customer_id = k.id""",
     "mart1": """select cast(f.delivered_on as date) deliver_date, k.state_id, count(*) num_orders
 from fct1 f left join (select customer_sur_id, state_id from dim1 where "current") k
   on f.customer_sur_id = k.customer_sur_id
@@ -376,6 +444,20 @@ from s2 where not exists (select 1 from dim1 d where d."current" and d.id = s2.i
        {_OPEN} valid_to
 from s2 join dim1 d on d."current" and d.id = s2.id
 where s2.datetime_updated > d.datetime_updated""",
+    "newh": f"""select s2.id, s2.sur customer_sur_id, s2.first_name, s2.last_name, s2.state_id,
+       s2.datetime_created, s2.datetime_updated, true as "current", s2.datetime_updated valid_from,
+       {_OPEN} valid_to
+from s2 where not exists (select 1 from sh where sh.id = s2.id)""",
+    "chge": f"""select se.id, se.sur customer_sur_id, se.first_name, se.last_name, se.state_id, se.datetime_created,
+       se.datetime_updated, true as "current", se.datetime_updated valid_from, {_OPEN} valid_to,
+       case when d.id is null then 'new' else 'updated' end as change
+from se left join dim1 d on d."current" and d.id = se.id
+where d.id is null or se.datetime_updated > d.datetime_updated
+union all
+select d.id, d.customer_sur_id, d.first_name, d.last_name, d.state_id, d.datetime_created,
+       se.datetime_updated, false, d.valid_from, se.datetime_updated, 'closed'
+from dim1 d join se on d."current" and d.id = se.id
+where se.datetime_updated > d.datetime_updated""",
     "chg2": "select * from new2 union all select * from upd2 union all select * from closed2",
     "closed2": """select d.id, d.customer_sur_id, d.first_name, d.last_name, d.state_id, d.datetime_created,
        s2.datetime_updated, false as "current", d.valid_from, s2.datetime_updated valid_to
@@ -384,7 +466,8 @@ where s2.datetime_updated > d.datetime_updated""",
 }
 
 _DEPENDS = {
-    "s1": ["b1"], "s2": ["b2"], "dim1": ["s1"], "dim2": ["s1", "s2"],
+    "held": ["b1"], "edge": ["b1"], "sh": ["held"], "se": ["edge"], "fcth": ["ord", "sh"],
+    "newh": ["s2", "sh"], "chge": ["se", "dim1"], "s1": ["b1"], "s2": ["b2"], "dim1": ["s1"], "dim2": ["s1", "s2"],
     "fct1": ["ord", "dim1"], "fct2": ["ord", "dim2"], "mart1": ["fct1", "dim1"], "mart2": ["fct2", "dim2"],
     "new2": ["s2", "dim1"], "upd2": ["s2", "dim1"], "closed2": ["s2", "dim1"],
     "chg2": ["new2", "upd2", "closed2"],
@@ -420,7 +503,8 @@ ORACLE_SQL: dict[str, str] = {
     "scd2_run1": _with("select * from dim1", "dim1"),
     "scd2_run2": _with("select * from dim2", "dim2"),
     "current_dim": _with('select * from dim2 where "current"', "dim2"),
-    "scd2_new": _with("select * from new2", "new2"),
+    "scd2_new": _with("select * from newh", "newh"),
+    "scd2_edge": _with("select * from chge", "chge"),
     "scd2_updated": _with("select * from upd2", "upd2"),
     "scd2_closed": _with("select * from closed2", "closed2"),
     "scd2_unchanged": _with(
@@ -434,7 +518,7 @@ where not coalesce(s2.datetime_updated > d.datetime_updated, false)""",
         "new2", "upd2", "closed2",
     ),
     "fct_orders": _with("select * from fct2", "fct2"),
-    "fct_orders_unmatched": _with("select * from fct1", "fct1"),
+    "fct_orders_unmatched": _with("select * from fcth", "fcth"),
     "sales_mart": _with("select * from mart2", "mart2"),
     "upsert": _with(
         "select * from b2 union all select * from b1 where not exists (select 1 from b2 where b2.id = b1.id)",
@@ -478,8 +562,34 @@ union all select 'dup_keys', {_bigint('count(*) filter (where n > 1)')}
         "mart1", "mart2",
     ),
     "latest_mart": _with("select state_id, deliver_date delivery_date, num_orders from mart2", "mart2"),
-    "max_partition": f"select max(p) max_partition from (values ('{RUN1}'), ('{RUN2}')) t(p)",
-    "partition_list": f"select p as \"partition\" from (values ('{RUN1}'), ('{RUN2}')) t(p)",
+    "max_partition": _with(
+        f"""select max(p) max_partition
+from (select '{RUN1}' p from mart1 union all select '{RUN2}' from mart2) t""",
+        "mart1", "mart2",
+    ),
+    "partition_list": _with(
+        f"""select distinct p as "partition"
+from (select '{RUN1}' p from mart1 union all select '{RUN2}' from mart2) t""",
+        "mart1", "mart2",
+    ),
+    "recreate_tables": _with(
+        "\nunion all\n".join(
+            [
+                f"""select '{name}' as name, '{run}' as "partition", {_bigint('count(*)')} n_rows from {cte} having count(*) > 0"""
+                for name, ctes in (("customer", "b1 b2"), ("orders", "ord ord"), ("fct_orders", "fct1 fct2"), ("sales_mart", "mart1 mart2"))
+                for run, cte in zip((RUN1, RUN2), ctes.split())
+            ]
+            + [f"""select 'dim_customer', "partition", {_bigint('count(*)')} from dim2 group by 2"""]
+        ),
+        "b1", "b2", "ord", "fct1", "fct2", "mart1", "mart2", "dim2",
+    ),
+    "upsert_hot_null": _with(
+        """select * exclude id, case when id % 3 <> 0 then id end id from b2
+union all
+select * exclude id, case when id % 3 <> 0 then id end id from b1
+where id % 3 = 0 or not exists (select 1 from b2 where b2.id = b1.id and b2.id % 3 <> 0)""",
+        "b1", "b2",
+    ),
     "table_counts": _with(
         """select (select count(*) from mart2) mart_view_rows,
        (select count(*) from dim2) dim_rows,
@@ -495,7 +605,7 @@ ORACLE_SQL["upsert_full_outer"] = ORACLE_SQL["upsert_multi_key"]
 def _audit_sql() -> str:
     plain = ", ".join(
         f"('{step}', '{status}')"
-        for step in ("run", "bronze", "silver", "gold")
+        for step in ("run", "bronze", "silver", "dim_customer", "fct_orders", "gold", "sales_mart")
         for status in ("start", "end")
     )
     parts = []

@@ -58,12 +58,10 @@ DIM_CUSTOMER = T.StructType(
         T.StructField(PARTITION_COL, T.StringType()),
     ]
 )
-DIM_COLUMNS = [f.name for f in DIM_CUSTOMER.fields if f.name != PARTITION_COL]
 
 FCT_ORDERS = T.StructType(
     list(ORDERS_BATCH.fields) + [T.StructField("customer_sur_id", T.StringType())] + _AUDIT
 )
-FACT_COLUMNS = [f.name for f in FCT_ORDERS.fields if f.name not in (ETL_INSERTED_COL, PARTITION_COL)]
 
 SALES_MART = T.StructType(
     [

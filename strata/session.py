@@ -84,8 +84,9 @@ def size_shuffles(spark: SparkSession, per_core: int = 4) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    Read from the SparkContext or ``spark.checkpoint.dir``; only when neither is set
-    (a bare local session) a folder under the warehouse directory is chosen.
+    Read from the SparkContext or ``spark.checkpoint.dir``. Only a local master may
+    have neither: then a folder under the warehouse directory is chosen. On a cluster
+    that folder could be on one machine, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -93,6 +94,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
         configured = warehouse.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)

@@ -1,9 +1,16 @@
 """Write modes on plain Parquet catalog tables: replace one run partition, upsert by key,
-and the SCD2 dimension layout (active table + history table + view)."""
-
-from strata.sinks.dimension import DimensionTables, publish_dimension
+and the SCD2 dimension (one store, read through one view)."""
 
+from strata.sinks.dimension import (
+    DimensionTables,
+    active_rows,
+    history_rows,
+    publish_dimension,
+    remove_old_commits,
+)
 from strata.sinks.tables import (
+    attach,
+    remove_unused,
     replace_partition,
     stamp,
     table_location,
@@ -13,4 +20,15 @@ from strata.sinks.tables import (
 
 __all__ = [
     "DimensionTables",
-    "publish_dimension","replace_partition", "stamp", "table_location", "table_partition_columns", "upsert_table"]
+    "active_rows",
+    "attach",
+    "history_rows",
+    "publish_dimension",
+    "remove_old_commits",
+    "remove_unused",
+    "replace_partition",
+    "stamp",
+    "table_location",
+    "table_partition_columns",
+    "upsert_table",
+]

@@ -1,73 +1,53 @@
-"""SCD2 dimension stored as active rows + history, exposed as one view.
-
-Layout (all Parquet catalog objects):
-
-* ``<name>_active``  - rows with ``current = true``; unpartitioned; replaced per run by
-  a snapshot switch. Its size follows the number of customers, not of runs.
-* ``<name>_history`` - closed rows, partitioned by ``base_snapshot``: a token of the
-  active snapshot the change set was computed against. Only that partition is
-  overwritten by a publish.
-* ``<name>``         - view ``active UNION ALL history`` (without ``base_snapshot``):
-  the logical dimension.
-
-Publishing a change set (rows stamped with the run partition) is the MERGE of the
-change set into the dimension on the surrogate key, computed against the active
-table only:
-
-1. the change set is checkpointed (it was computed from the active table);
-2. exactness check: no change-set key may equal a history key outside the base's
-   own partition (a closed row is never updated by the SCD2 rules, but MERGE would
-   update it); a broadcast or shuffle semi join over the history's key column. If
-   one does, the whole dimension is merged and both tables are rewritten (exact,
-   slow path);
-3. ``merged = merge(active, changes)`` is written once into a staging folder split
-   by ``current`` (``_part=a`` / ``_part=h``);
-4. ``_part=h`` is registered as the history partition of the *base* active
-   snapshot (replacing a partition an earlier attempt on the same base registered),
-   so closed rows are written exactly once;
-5. the active table is switched to ``_part=a`` (a new base).
-
-A failure before step 5 leaves the old active table: rerunning computes against
-the same base and overwrites the same history partition, so closed rows are
-neither lost nor duplicated. Rerunning a batch after success computes against the
-new base, whose history partition is still empty. (The exact slow path replaces
-both tables with two location switches and is not crash-atomic.)
-Per run, the work is O(active + changes) writes plus one key-column scan of history,
-instead of a rewrite of the whole history.
+"""SCD2 dimension: one store of active and closed rows, read through one view.
+
+Layout (Parquet catalog objects):
+
+* ``<name>_store`` is partitioned by ``part`` ('a' active, 'h' history) and ``commit``.
+  Publish number n writes all rows that are active after it to ``part=a/commit=n`` and
+  the rows it closed to ``part=h/commit=n``, in one job.
+* ``<name>`` is the dimension: a view that names a commit, i.e. the active rows of n and
+  the closed rows up to n. Replacing the view is the only step that readers see, so a
+  publish that stops anywhere leaves them with the old or with the new dimension.
+
+Closed rows are written once and never again; active rows of older commits can be removed
+at any time without touching history (``remove_old_commits``). Between the write and the
+view, a marker file ``_commits/<n>`` is written, from which a view that was dropped is
+created again.
+
+Publishing a change set (rows stamped with the run partition) is the MERGE of the change
+set into the dimension on the surrogate key, computed against the active rows only. That
+is exact unless a change-set key equals the key of a closed row, which MERGE would update.
+Keys are hashes of id and timestamp, so such a row has the same ``valid_from``: the check
+reads only the history between the change set's least and greatest ``valid_from``, which
+reaches the Parquet scan. If there is one, the whole dimension is merged and the commit
+starts a new history; it is committed by the same view.
 """
 
 from __future__ import annotations
 
-import hashlib
-import time
-import uuid
+import json
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
-from strata.operators.observe import observed
 from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
-from strata.sinks.tables import SNAPSHOTS, _quote, _snapshot_root, table_location
+from strata.schemas import DIM_CUSTOMER
+from strata.sinks import files
+from strata.sinks.tables import quoted, table_location
 
-
-BASE_COL = "base_snapshot"
-
-
-def base_token(location: str) -> str:
-    """Stable token of an active snapshot folder."""
-    return hashlib.md5(location.rstrip("/").encode()).hexdigest()[:16]
+ACTIVE, HISTORY = "a", "h"
+COLUMNS = [f.name for f in DIM_CUSTOMER.fields]
+_PROPERTY = "strata.commit"
 
 
 @dataclass(frozen=True)
 class DimensionTables:
     view: str
-    active: str
-    history: str
+    store: str
 
     @classmethod
     def of(cls, database: str, name: str = "dim_customer") -> "DimensionTables":
@@ -75,38 +55,76 @@ class DimensionTables:
 
     @classmethod
     def from_view(cls, view: str) -> "DimensionTables":
-        return cls(view, f"{view}_active", f"{view}_history")
+        return cls(view, f"{view}_store")
+
+
+@dataclass(frozen=True)
+class Commit:
+    """What a view shows: active rows of ``number``, closed rows of ``floor`` + 1 to ``number``.
+
+    ``epochs`` holds, per stream, the last epoch that was published.
+    """
 
+    number: int = 0
+    floor: int = 0
+    epochs: tuple[tuple[str, int], ...] = ()
 
-def _is_active() -> F.Column:
-    return F.coalesce(F.col("current"), F.lit(False))
+    def text(self) -> str:
+        return json.dumps({"number": self.number, "floor": self.floor, "epochs": dict(self.epochs)})
 
+    @classmethod
+    def parse(cls, text: str) -> "Commit":
+        found = json.loads(text)
+        return cls(found["number"], found["floor"], tuple(sorted(found["epochs"].items())))
+
+
+def current_commit(spark: SparkSession, tables: DimensionTables) -> Commit:
+    """The commit that the view shows."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {tables.view} ({quoted(_PROPERTY)})").collect()
+    return Commit.parse(rows[0]["value"])
+
+
+def show_commit(spark: SparkSession, tables: DimensionTables, commit: Commit) -> None:
+    """Replace the view, the commit point for readers."""
+    columns = ", ".join(f"`{c}`" for c in COLUMNS)
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {tables.view}
+            TBLPROPERTIES ({quoted(_PROPERTY)} = {quoted(commit.text())}) AS
+            SELECT {columns} FROM {tables.store}
+            WHERE (`part` = '{ACTIVE}' AND `commit` = {commit.number})
+               OR (`part` = '{HISTORY}' AND `commit` > {commit.floor} AND `commit` <= {commit.number})"""
+    )
 
-def _switch(spark: SparkSession, table: str, location: str) -> None:
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {_quote(location)}")
-    spark.catalog.refreshTable(table)
 
+def last_marker(spark: SparkSession, tables: DimensionTables) -> Commit:
+    """The newest marked commit under the store's folder; commit 0 when there is none."""
+    found = files.listed(spark, f"{table_location(spark, tables.store)}/_commits/*")
+    return Commit.parse(files.read_text(spark, found[-1])) if found else Commit()
 
-def _stage_folder(spark: SparkSession, table: str) -> str:
-    root = _snapshot_root(table_location(spark, table))
-    return f"{root}/{SNAPSHOTS}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
+def _part(spark: SparkSession, tables: DimensionTables, part: str, low: int, high: int) -> DataFrame:
+    rows = spark.table(tables.store).where((F.col("part") == part) & F.col("commit").between(low, high))
+    return rows.select(*COLUMNS)
 
-def _history_hit(history: DataFrame, staged: DataFrame, keys: Sequence[str], small: bool) -> bool:
-    """Does any change-set key equal a history key? (one key-column scan, no rewrite)"""
-    key_set = staged.select(*keys)
-    for k in keys:
-        key_set = key_set.where(F.col(k).isNotNull())
-    key_set = key_set.distinct()
-    if small:
-        key_set = F.broadcast(key_set)
-    return bool(history.select(*keys).join(key_set, list(keys), "left_semi").limit(1).collect())
 
+def active_rows(spark: SparkSession, tables: DimensionTables) -> DataFrame:
+    """The active rows of the commit that the view shows now."""
+    number = current_commit(spark, tables).number
+    return _part(spark, tables, ACTIVE, number, number)
 
-def _other_history_partitions(spark: SparkSession, history: str, base: str) -> bool:
-    """Metadata only: does the history hold a partition besides ``base``?"""
-    own = f"{BASE_COL}={base}"
-    return any(r[0] != own for r in spark.sql(f"SHOW PARTITIONS {history}").collect())
+
+def history_rows(spark: SparkSession, tables: DimensionTables) -> DataFrame:
+    """The closed rows of the commit that the view shows now."""
+    commit = current_commit(spark, tables)
+    return _part(spark, tables, HISTORY, commit.floor + 1, commit.number)
+
+
+def colliding_history(history: DataFrame, staged: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Keys of closed rows that equal a change-set key, read only where ``valid_from`` can be equal."""
+    bounds = staged.agg(F.min("valid_from").alias("low"), F.max("valid_from").alias("high")).first()
+    key_set = staged.select(*keys).dropna().distinct()
+    near = history.select(*keys, "valid_from").where(F.col("valid_from").between(F.lit(bounds["low"]), F.lit(bounds["high"])))
+    return near.join(F.broadcast(key_set) if small else key_set, list(keys), "left_semi")
 
 
 def publish_dimension(
@@ -116,83 +134,81 @@ def publish_dimension(
     partition: str,
     keys: Sequence[str] = ("customer_sur_id",),
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-    verify_history: bool = True,
-) -> None:
-    """Merge ``changes`` (already stamped with ``partition``) into the dimension."""
+    gate: Callable[[DataFrame], object] | None = None,
+    epoch: tuple[str, int] | None = None,
+) -> int:
+    """Merge ``changes`` (already stamped with ``partition``) into the dimension; returns their rows.
+
+    ``gate`` gets the rows that the publish wrote, before they are committed; when it
+    raises, the dimension stays as it was. ``epoch`` (stream, number) makes a replayed
+    epoch do nothing. Keys must determine ``valid_from``, as the surrogate key does.
+    """
     keys = list(keys)
-    active = spark.table(tables.active)
-    history = spark.table(tables.history)
-    base = base_token(table_location(spark, tables.active))
-    staged = materialize(conform(changes, active.schema))
+    before = current_commit(spark, tables)
+    if epoch is not None and epoch[1] <= dict(before.epochs).get(epoch[0], -1):
+        return 0
+    epochs = tuple(sorted((dict(before.epochs) | dict([epoch])).items())) if epoch else before.epochs
+    staged = materialize(conform(changes, DIM_CUSTOMER))
+    rows = staged.count()
+    if not rows:
+        return 0  # an empty change set (a published batch again) changes nothing
     stats = key_stats(staged, keys)
-    if stats[0] == 0 and not staged.limit(1).collect():
-        return  # an empty change set changes nothing (a rerun of a published batch)
     small = broadcast_fits(stats[0], stats[1], broadcast_limit)
 
-    # the base's own history partition is replaced below, so it cannot collide
-    if verify_history and _other_history_partitions(spark, tables.history, base):
-        others = history.where(F.col(BASE_COL) != F.lit(base))
-        if _history_hit(others, staged, keys, small):
-            _rewrite_all(spark, tables, staged, keys, broadcast_limit)
-            return
-
-    merged = merge_frames(active, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
-    stage = _stage_folder(spark, tables.active)
-    side = F.when(_is_active(), F.lit("a")).otherwise(F.lit("h"))
-    observation = Observation(f"dimension_{uuid.uuid4().hex[:8]}")
+    number, floor, base = before.number + 1, before.floor, active_rows(spark, tables)
+    if stats[0] and before.number > before.floor:
+        if colliding_history(history_rows(spark, tables), staged, keys, small).limit(1).collect():
+            base, floor = spark.table(tables.view), before.number
+    merged = merge_frames(base, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
+    _write(spark, tables, merged, number)
+    if gate is not None:
+        gate(spark.table(tables.store).where(F.col("commit") == number).select(*COLUMNS))
+    commit = Commit(number, floor, epochs)
+    files.write_text(spark, f"{table_location(spark, tables.store)}/_commits/{number:012d}", commit.text())
+    show_commit(spark, tables, commit)
+    return rows
+
+
+def _write(spark: SparkSession, tables: DimensionTables, rows: DataFrame, number: int) -> None:
+    """Write commit ``number``, in place of what a publish that stopped may have left of it."""
+    root = table_location(spark, tables.store)
+    _forget(spark, tables, root, ACTIVE, number)
+    _forget(spark, tables, root, HISTORY, number)
+    files.delete(spark, f"{root}/_commits/{number:012d}")
+    side = F.when(F.coalesce(F.col("current"), F.lit(False)), ACTIVE).otherwise(HISTORY)
     (
-        merged.withColumn("_part", side)
-        .observe(
-            observation,
-            F.count(F.when(F.col("_part") == "a", 1)).alias("active"),
-            F.count(F.when(F.col("_part") == "h", 1)).alias("closed"),
-        )
-        .write.mode("errorifexists")
-        .partitionBy("_part")
-        .parquet(stage)
+        rows.withColumns({"part": side, "commit": F.lit(number).cast("long")})
+        # the write sorts by part and commit anyway; valid_from next keeps the ranges of
+        # history files narrow for the collision check
+        .sortWithinPartitions("part", "commit", "valid_from")
+        .write.mode("append")
+        .partitionBy("part", "commit")
+        .parquet(root)
     )
-    metrics = observed(observation)
-    if metrics is None:
-        written = spark.read.schema(
-            T.StructType(active.schema.fields + [T.StructField("_part", T.StringType())])
-        ).parquet(stage)
-        sides = {"active": "a", "closed": "h"}
-        metrics = {name: written.where(F.col("_part") == side).limit(1).count() for name, side in sides.items()}
-
-    # the closed rows were written once, into the folder that becomes the base's
-    # history partition (replacing what an earlier attempt on this base registered)
-    spec = f"PARTITION (`{BASE_COL}` = {_quote(base)})"
-    spark.sql(f"ALTER TABLE {tables.history} DROP IF EXISTS {spec}")
-    if metrics["closed"]:
-        spark.sql(f"ALTER TABLE {tables.history} ADD {spec} LOCATION {_quote(stage + '/_part=h')}")
-    spark.catalog.refreshTable(tables.history)
-    if not metrics["active"]:
-        # no active row at all: the new active folder is an empty Parquet folder
-        active.where(F.lit(False)).write.mode("errorifexists").parquet(f"{stage}/_part=a")
-    _switch(spark, tables.active, f"{stage}/_part=a")
-
-
-def _rewrite_all(
-    spark: SparkSession, tables: DimensionTables, staged: DataFrame, keys: list[str], limit: int
-) -> None:
-    """Exact slow path: merge into the whole dimension and rewrite both tables.
-
-    The history is overwritten as a whole (static overwrite of every partition) from
-    the checkpointed merge; its rows get a token no active snapshot can have.
+    for part in (ACTIVE, HISTORY):
+        if files.exists(spark, f"{root}/part={part}/commit={number}"):
+            spark.sql(f"ALTER TABLE {tables.store} ADD PARTITION (`part` = '{part}', `commit` = {number})")
+    spark.catalog.refreshTable(tables.store)
+
+
+def _forget(spark: SparkSession, tables: DimensionTables, root: str, part: str, number: int) -> None:
+    spark.sql(f"ALTER TABLE {tables.store} DROP IF EXISTS PARTITION (`part` = '{part}', `commit` = {number})")
+    files.delete(spark, f"{root}/part={part}/commit={number}")
+
+
+def remove_old_commits(spark: SparkSession, tables: DimensionTables) -> int:
+    """Remove what the view does not show: older active rows, replaced history, stopped publishes.
+
+    Not for use while a publish or a long-running reader is at work.
     """
-    merged = materialize(merge_frames(spark.table(tables.view), staged, keys, broadcast_limit=limit))
-    active_stage = f"{_stage_folder(spark, tables.active)}/_part=a"
-    merged.where(_is_active()).write.mode("errorifexists").parquet(active_stage)
-    history_schema = spark.table(tables.history).schema
-    closed = conform(merged.where(~_is_active()).withColumn(BASE_COL, F.lit(base_token(active_stage + "#rewrite"))), history_schema)
-    view = f"_strata_history_{uuid.uuid4().hex}"
-    closed.createOrReplaceTempView(view)
-    mode_key = "spark.sql.sources.partitionOverwriteMode"
-    previous = spark.conf.get(mode_key, "static")
-    spark.conf.set(mode_key, "static")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {tables.history} SELECT * FROM {view}")
-    finally:
-        spark.conf.set(mode_key, previous)
-        spark.catalog.dropTempView(view)
-    _switch(spark, tables.active, active_stage)
+    commit, root = current_commit(spark, tables), table_location(spark, tables.store)
+    removed = 0
+    for row in spark.sql(f"SHOW PARTITIONS {tables.store}").collect():
+        part, number = (x.split("=", 1)[1] for x in row[0].split("/"))
+        number = int(number)
+        shown = number == commit.number if part == ACTIVE else commit.floor < number <= commit.number
+        if not shown:
+            _forget(spark, tables, root, part, number)
+            removed += 1
+    spark.catalog.refreshTable(tables.store)
+    return removed

@@ -1,23 +1,18 @@
 """Publishing to catalog tables without a transactional table format.
 
-**Replace one partition** is ``INSERT OVERWRITE t PARTITION (partition = 'v')
-SELECT ...``: exactly that partition is replaced, other partitions are untouched,
-a rerun is idempotent and an empty batch clears the partition. (Writer options such
-as ``replaceWhere`` are ignored by Parquet and would overwrite the whole table, and
-dynamic partition overwrite keeps the old partition when the batch is empty.)
-
-**Upsert** writes a new snapshot of the table and then points the table at it:
-
-1. the source is checkpointed (it often reads the target itself, e.g. the SCD2
-   change set reads the dimension), which also cuts its lineage;
-2. the merged rows (``strata.operators.merge``) are written to a fresh folder
-   ``<root>/_snapshots/<token>``; Spark ignores ``_``-prefixed folders when the
-   older root location is listed;
-3. only after the write job committed, ``ALTER TABLE ... SET LOCATION`` switches the
-   table and its cached listing is refreshed.
-
-A failed or killed job leaves the previous snapshot in place. One writer per table
-at a time; the switch is not atomic across engines.
+Every write goes to a fresh folder ``<root>/_v/<token>`` and becomes visible with one
+catalog call after its job committed. A failed or killed job leaves readers with the old
+rows and an unused folder behind.
+
+* **Replace one partition** writes ``_v/<token>/<column>=<value>`` and points that
+  partition at it; other partitions are untouched, a rerun replaces the same partition,
+  and an empty batch leaves an empty folder there.
+* **Upsert** checkpoints the source (it often reads the target itself), writes the merged
+  rows as a new snapshot of the table, and points the table at it.
+
+Tokens sort by time, and a folder whose job committed holds ``_SUCCESS``; so a table that
+is dropped and created again finds its newest folders (``attach``), and folders that no
+partition points at can be removed (``remove_unused``). One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +20,7 @@ from __future__ import annotations
 import time
 import uuid
 from typing import Sequence
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +30,9 @@ from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
 from strata.operators.merge import conform, merge_frames
 from strata.schemas import ETL_INSERTED_COL, PARTITION_COL
+from strata.sinks import files
 
-SNAPSHOTS = "_snapshots"
+VERSIONS = "_v"
 
 
 def stamp(df: DataFrame, partition: str) -> DataFrame:
@@ -45,9 +42,10 @@ def stamp(df: DataFrame, partition: str) -> DataFrame:
     )
 
 
-def _describe(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return {r["col_name"]: r["data_type"] for r in rows}
+def _describe(spark: SparkSession, statement: str) -> dict[str, str]:
+    """The rows of DESCRIBE; a partition's own entries come before those of its table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {statement}").collect()
+    return {r["col_name"]: r["data_type"] for r in reversed(rows)}
 
 
 def table_location(spark: SparkSession, table: str) -> str:
@@ -58,34 +56,45 @@ def table_partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def _quote(value: str) -> str:
+def quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _root(location: str) -> str:
+    return location.split(f"/{VERSIONS}/")[0].rstrip("/")
+
+
+def _fresh(root: str) -> str:
+    return f"{root}/{VERSIONS}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def _spec(column: str, value: str) -> str:
+    return f"PARTITION (`{column}` = {quoted(value)})"
+
+
+def _point(spark: SparkSession, table: str, column: str, value: str, folder: str) -> None:
+    """Let the partition be the rows of ``folder`` (one catalog call either way)."""
+    known = spark.sql(f"SHOW PARTITIONS {table} {_spec(column, value)}").limit(1).collect()
+    if known:
+        spark.sql(f"ALTER TABLE {table} {_spec(column, value)} SET LOCATION {quoted(folder)}")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD {_spec(column, value)} LOCATION {quoted(folder)}")
+    spark.catalog.refreshTable(table)
+
+
 def replace_partition(
     spark: SparkSession, table: str, df: DataFrame, partition: str, column: str = PARTITION_COL
-) -> None:
-    """Overwrite exactly the rows of ``table`` where ``column = partition``.
+) -> int:
+    """Replace exactly the rows of ``table`` where ``column = partition``; returns the rows written.
 
-    ``df`` is projected onto the table's other columns (extra columns dropped,
-    types cast). It must not read ``table`` itself.
+    ``df`` is projected onto the table's other columns (extra columns dropped, types
+    cast). The old rows stay visible until the new ones are written.
     """
-    target = spark.table(table)
-    rows = conform(df, T.StructType([f for f in target.schema.fields if f.name != column]))
-    view = f"_strata_src_{uuid.uuid4().hex}"
-    rows.createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{column}` = {_quote(partition)}) "
-            f"SELECT * FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
-
-
-def _snapshot_root(location: str) -> str:
-    marker = f"/{SNAPSHOTS}/"
-    return location.split(marker)[0] if marker in location else location.rstrip("/")
+    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name != column])
+    folder = f"{_fresh(_root(table_location(spark, table)))}/{column}={quote(partition, safe='')}"
+    conform(df, schema).write.mode("errorifexists").parquet(folder)
+    _point(spark, table, column, partition, folder)
+    return spark.read.schema(schema).parquet(folder).count()  # from the file footers
 
 
 def upsert_table(
@@ -94,23 +103,86 @@ def upsert_table(
     source: DataFrame,
     keys: Sequence[str],
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-) -> str:
-    """Upsert ``source`` into ``table`` on ``keys``; returns the table's snapshot folder
-    (unchanged when the source is empty)."""
+) -> int:
+    """Upsert ``source`` into ``table`` on ``keys``; returns the source's rows.
+
+    An empty source leaves the current snapshot.
+    """
     target = spark.table(table)
     staged = materialize(conform(source, target.schema))
-    location = table_location(spark, table)
-    if not staged.limit(1).collect():
-        return location  # nothing to upsert: the current snapshot stays
+    rows = staged.count()
+    if not rows:
+        return 0
     merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit)
-    snapshot = f"{_snapshot_root(location)}/{SNAPSHOTS}/{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    snapshot = _fresh(_root(table_location(spark, table)))
     parts = table_partition_columns(spark, table)
     writer = merged.write.mode("errorifexists")
-    if parts:
-        writer = writer.partitionBy(*parts)
-    writer.parquet(snapshot)
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {_quote(snapshot)}")
-    if parts:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    if not parts:
+        writer.parquet(snapshot)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(snapshot)}")
+        spark.catalog.refreshTable(table)
+        return rows
+    # a partitioned table changes partition by partition, as the merge rewrote each of them
+    (column,) = parts
+    writer.partitionBy(column).parquet(snapshot)
+    for folder in files.listed(spark, f"{snapshot}/{column}=*"):
+        _point(spark, table, column, unquote(folder.rsplit("=", 1)[1]), folder)
+    return rows
+
+
+def _committed(spark: SparkSession, folder: str) -> bool:
+    """Whether the job that wrote the folder (of a partition, or above it) has committed."""
+    return files.exists(spark, f"{folder}/_SUCCESS") or files.exists(spark, f"{folder.rsplit('/', 1)[0]}/_SUCCESS")
+
+
+def attach(spark: SparkSession, table: str) -> None:
+    """Point a table that was just created at the newest committed folders under its root."""
+    root = _root(table_location(spark, table))
+    parts = table_partition_columns(spark, table)
+    if not parts:
+        found = [f for f in files.listed(spark, f"{root}/{VERSIONS}/*") if files.exists(spark, f"{f}/_SUCCESS")]
+        if found:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(found[-1])}")
+        spark.catalog.refreshTable(table)
+        return
+    (column,) = parts
+    newest: dict[str, str] = {}
+    for folder in files.listed(spark, f"{root}/{VERSIONS}/*/{column}=*"):  # oldest first
+        if _committed(spark, folder):
+            newest[unquote(folder.rsplit("=", 1)[1])] = folder
+    if newest:
+        added = " ".join(f"{_spec(column, value)} LOCATION {quoted(folder)}" for value, folder in sorted(newest.items()))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
     spark.catalog.refreshTable(table)
-    return snapshot
+
+
+def remove_unused(spark: SparkSession, table: str) -> int:
+    """Remove the version folders that the table does not point at; returns how many went.
+
+    Not for use while a writer or a long-running reader of the table is at work.
+    """
+    root = _root(table_location(spark, table))
+    parts = table_partition_columns(spark, table)
+    removed = 0
+    if not parts:
+        used = _tail(table_location(spark, table))
+        for folder in files.listed(spark, f"{root}/{VERSIONS}/*"):
+            if _tail(folder) != used:
+                files.delete(spark, folder)
+                removed += 1
+        return removed
+    (column,) = parts
+    used = set()
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = unquote(row[0].split("=", 1)[1])
+        used.add(_tail(_describe(spark, f"{table} {_spec(column, value)}")["Location"]))
+    for folder in files.listed(spark, f"{root}/{VERSIONS}/*/{column}=*"):
+        if _tail(folder) not in used:
+            files.delete(spark, folder)
+            removed += 1
+    return removed
+
+
+def _tail(location: str) -> str:
+    """The part of a version folder's path from its token on, however the path is spelled."""
+    return unquote(location.rstrip("/").rsplit(f"/{VERSIONS}/", 1)[-1])

@@ -1,4 +1,4 @@
-"""Reads of published tables."""
+"""Reads of published folders by path (catalog tables are read with ``spark.table``)."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, name: str) -> DataFrame:
-    """Current snapshot of a catalog table (upserts switch the table's location)."""
-    return spark.read.table(name)
-
-
 def read_path(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A published folder read with its declared schema.
 

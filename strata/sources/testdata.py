@@ -3,10 +3,13 @@
 The three batches are deterministic, so the same rows can be produced by Spark and
 by plain SQL in another engine:
 
-* customer batch 1: every customer except one in ten, both timestamps at the
-  customer's first order date;
+* customer batch 1: every customer, both timestamps at the customer's first order
+  date (NULL for a customer without orders);
 * customer batch 2: every customer, updated at the last order date, every fifth
   customer moved to the next nation;
+* held-back batch: batch 1 without one customer in ten, for the queries whose
+  feature is a customer that the dimension does not know yet;
+* edge batch: every case of the SCD2 rules, see ``edge_batch``;
 * orders: one row per order; item = lowest part key among its line items,
   delivered_on = last ship date (NULL for orders without line items).
 
@@ -48,28 +51,31 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def customer_batch(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFrame:
-    """Customer batch ``version`` 1 or 2 (schema ``schemas.CUSTOMER_BATCH``)."""
+    """Customer batch ``version`` 1 or 2 (schema ``schemas.CUSTOMER_BATCH``).
+
+    Left joins keep every customer: without orders the timestamps are NULL, without a
+    nation the state is NULL.
+    """
     if version not in (1, 2):
         raise ValueError("version must be 1 or 2")
     customer = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    nation = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations = load(spark, sf_dir, "nation")
+    nation = nations.select("n_nationkey", "n_name")
     first_last = (
         load(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(F.min("o_orderdate").alias("mn"), F.max("o_orderdate").alias("mx"))
     )
     if version == 1:
-        customer = customer.where(F.col("c_custkey") % 10 != 9)
-        nation_key = F.col("c_nationkey")
-        updated = F.col("mn")
+        nation_key, updated = F.col("c_nationkey"), F.col("mn")
     else:
-        nation_key = F.when(F.col("c_custkey") % 5 == 0, (F.col("c_nationkey") + 1) % 25).otherwise(
-            F.col("c_nationkey")
-        )
+        count = nations.select(F.count(F.lit(1))).scalar()
+        nation_key = F.when(F.col("c_custkey") % 5 == 0, (F.col("c_nationkey") + 1) % count).otherwise(F.col("c_nationkey"))
         updated = F.col("mx")
     return (
-        customer.join(nation, nation_key == F.col("n_nationkey"))
-        .join(first_last, F.col("o_custkey") == F.col("c_custkey"))
+        customer.withColumn("nation_key", nation_key)
+        .join(nation, F.col("nation_key") == F.col("n_nationkey"), "left")
+        .join(first_last, F.col("o_custkey") == F.col("c_custkey"), "left")
         .select(
             F.col("c_custkey").cast("int").alias("id"),
             F.lit("Customer").alias("first_name"),
@@ -81,6 +87,46 @@ def customer_batch(spark: SparkSession, sf_dir: str, version: int = 1) -> DataFr
     )
 
 
+HELD_BACK = 10  # the held-back batch lacks one customer in so many
+
+
+def held_back_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 1 without every tenth customer: these are new in batch 2, and their orders find no customer."""
+    return customer_batch(spark, sf_dir, 1).where(F.col("id") % HELD_BACK != HELD_BACK - 1)
+
+
+EDGE_NEW = 1_000_000_000  # added to an id to make it unknown
+EDGE_HOT = 2_000_000_000  # the id that a third of all rows share
+
+
+def edge_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 1 with every customer turned into a case of the SCD2 rules by its id modulo 9.
+
+    0: equal timestamp, 1: an hour older, 2: a NULL timestamp, 3: a NULL id, 4: two
+    versions of an unknown id, 5: a newer version, 6 to 8: one hot unknown id.
+    """
+    case = F.col("id") % 9
+    hour = F.expr("interval 1 hour")
+    times = (
+        F.when(case == 1, F.array(F.col("datetime_updated") - hour))
+        .when(case == 2, F.array(F.lit(None).cast("timestamp_ntz")))
+        .when(case == 4, F.array(F.col("datetime_updated"), F.col("datetime_updated") + hour))
+        .when(case == 5, F.array(F.col("datetime_updated") + hour))
+        .otherwise(F.array(F.col("datetime_updated")))
+    )
+    new_id = (
+        F.when(case == 3, F.lit(None).cast("int"))
+        .when(case == 4, F.col("id") + EDGE_NEW)
+        .when(case >= 6, F.lit(EDGE_HOT))
+        .otherwise(F.col("id"))
+    )
+    rows = customer_batch(spark, sf_dir, 1).withColumn("_time", F.explode(times)).withColumn("_id", new_id)
+    return rows.select(
+        F.col("_id").cast("int").alias("id"), "first_name", "last_name", "state_id", "datetime_created",
+        F.col("_time").alias("datetime_updated"),
+    )
+
+
 def orders_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders batch (schema ``schemas.ORDERS_BATCH``)."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

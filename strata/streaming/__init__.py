@@ -1,8 +1,8 @@
 """Structured Streaming wiring for the batch operators.
 
 The original job is batch only; these adapters let the same SCD2 upsert and
-partition replace run once per micro-batch through ``foreachBatch``. Both are
-idempotent for a re-delivered epoch when the partition is derived from the epoch id.
+partition replace run once per micro-batch through ``foreachBatch``. A re-delivered epoch
+changes nothing (see ``microbatch``).
 """
 
 from strata.operators.scd2 import latest_per_key

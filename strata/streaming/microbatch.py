@@ -1,16 +1,17 @@
 """foreachBatch adapters.
 
-* ``scd2_sink``: each micro-batch of customer rows is one SCD2 run against the
-  dimension (change set -> active table switch + history partition). Re-applying an epoch changes
-  nothing, because equal timestamps are not newer.
+* ``scd2_sink``: each micro-batch of customer rows is one SCD2 run against the dimension.
+  The commit remembers the last epoch of each stream by the stream's name, so a
+  re-delivered epoch changes nothing, rows with a NULL id included.
 * ``replace_partition_sink``: each micro-batch replaces its own run partition, so a
   re-delivered epoch overwrites what its first delivery wrote.
 
-Epoch partitions come from ``epoch_partitions(start)``: the start time plus the epoch
-id in seconds, so they are deterministic and sort in epoch order.
+``epoch_partitions(start)`` names partitions by the start time plus the epoch id in
+seconds: they sort in epoch order. ``start`` belongs to the stream and must be the same
+after a restart; two streams into one table need starts whose epochs do not meet.
 
 Streaming queries run in a cloned session; other sessions that cached the tables
-see the switched snapshots after ``spark.catalog.refreshTable``.
+see the new commits after ``spark.catalog.refreshTable``.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.temporal import run_partition
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
+from strata.operators.materialize import materialize
 from strata.operators.scd2 import latest_per_key, scd2_changes
 from strata.session import scratch_path
-from strata.sinks.dimension import DimensionTables, publish_dimension
+from strata.sinks.dimension import DimensionTables, active_rows, publish_dimension
 from strata.sinks.tables import replace_partition, stamp
 
 PartitionFor = Callable[[int], str]
@@ -38,11 +40,12 @@ def epoch_partitions(start: datetime) -> PartitionFor:
 def scd2_sink(
     dim_view: str,
     partition_for: PartitionFor,
+    stream: str = "customers",
     dedupe: bool = True,
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function applying each micro-batch to the dimension ``dim_view``
-    (its active and history tables) as one SCD2 run.
+    """foreachBatch function applying each micro-batch to the dimension ``dim_view`` as
+    one SCD2 run of the named ``stream``.
 
     With ``dedupe`` the batch keeps the newest row per id first (several newer
     versions of one known id in a batch would otherwise be an ambiguous upsert).
@@ -51,10 +54,12 @@ def scd2_sink(
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         tables = DimensionTables.from_view(dim_view)
-        source = latest_per_key(batch) if dedupe else batch
-        changes = scd2_changes(source, spark.table(tables.active), prefilter_limit=broadcast_limit)
+        source = materialize(latest_per_key(batch) if dedupe else batch)  # read by two jobs
+        changes = scd2_changes(source, active_rows(spark, tables), prefilter_limit=broadcast_limit)
         partition = partition_for(epoch_id)
-        publish_dimension(spark, tables, stamp(changes, partition), partition, ["customer_sur_id"], broadcast_limit)
+        publish_dimension(
+            spark, tables, stamp(changes, partition), partition, ["customer_sur_id"], broadcast_limit, epoch=(stream, epoch_id)
+        )
 
     return apply
 

@@ -8,7 +8,8 @@ from pyspark.sql import Window
 
 from strata.plans import ddl
 from strata.plans.audit import RunAudit
-from strata.plans.etl import Dataset, LayeredETL, SalesMartETL, synthetic_source
+from strata.plans import etl as etl_module
+from strata.plans.etl import Dataset, LayeredETL, MissingInputs, SalesMartETL, synthetic_source
 from strata.sources import customer_batch, orders_batch
 from tests.conftest import SF_SMALL
 
@@ -65,8 +66,9 @@ def test_fixture_runs_keep_scd2_invariants_and_rerun_is_stable(spark, scratch_di
 
 
 def test_required_inputs_and_skip_write(spark):
-    with pytest.raises(ValueError, match="Missing required datasets: customer, orders"):
+    with pytest.raises(MissingInputs) as found:
         LayeredETL.check_required_inputs({}, ["orders", "customer"])
+    assert found.value.names == ["customer", "orders"]
 
     class Probe(SalesMartETL):
         pass
@@ -96,21 +98,80 @@ def test_changed_share_and_latest_only(spark, scratch_dir):
     assert dim.where("current").count() == 400
 
 
-def test_quality_gate_stops_the_run_before_fact_and_mart(spark, scratch_dir):
+def test_quality_gate_leaves_everything_as_it_was(spark, scratch_dir):
     from strata.operators.quality import InvalidDataError
     from tests.conftest import ts
     from tests.frames import customers, orders
 
     db, _ = fresh(spark, scratch_dir)
 
-    def source(s, ctx):
-        batch = customers(s, [(1, "CA", ts(1)), (1, "NY", ts(2)), (2, "TX", ts(1))])
-        return batch, orders(s, [("o1", 1, ts(3))])
+    def source(rows):
+        return lambda s, ctx: (customers(s, rows), orders(s, [("o1", 1, ts(3))]))
 
+    good = [(1, "CA", ts(1)), (2, "TX", ts(1))]
+    SalesMartETL(spark, db, bronze_source=source(good), quality_gate=True).run(RUNS[0])
+    before = sorted(map(tuple, spark.table(f"{db}.dim_customer").collect()), key=str)
+    bad = [(1, "CA", ts(1)), (3, "NY", ts(2)), (3, "TX", ts(1))]
     with pytest.raises(InvalidDataError, match="multi_active_ids"):
-        SalesMartETL(spark, db, bronze_source=source, quality_gate=True, allow=()).run(RUNS[0])
-    # the dimension publish happened and is what the gate reported on ...
-    assert spark.table(f"{db}.dim_customer").where("id = 1 and current").count() == 2
-    # ... but no fact or mart partition was published for the run
-    assert spark.table(f"{db}.fct_orders").count() == 0
-    assert spark.table(f"{db}.sales_mart").count() == 0
+        SalesMartETL(spark, db, bronze_source=source(bad), quality_gate=True).run(RUNS[1])
+    # the failed run changed neither the dimension nor fact and mart
+    assert sorted(map(tuple, spark.table(f"{db}.dim_customer").collect()), key=str) == before
+    assert spark.table(f"{db}.fct_orders").where(F.col("partition") == RUNS[1]).count() == 0
+    assert spark.table(f"{db}.sales_mart").where(F.col("partition") == RUNS[1]).count() == 0
+
+
+def test_audit_has_all_steps_with_parameters_in_few_writes(spark, scratch_dir, monkeypatch):
+    db, audit = fresh(spark, scratch_dir)
+    writes = []
+    flush = RunAudit.flush
+    monkeypatch.setattr(RunAudit, "flush", lambda self: (writes.append(len(self.held)) if self.held else None, flush(self)))
+    SalesMartETL(spark, db, audit=audit, bronze_source=synthetic_source(50, 200)).run(RUNS[0])
+    assert len(writes) <= 4
+    found = spark.table(audit.table).collect()
+    assert len(found) == sum(writes)
+    steps = {r["step"] for r in found}
+    assert {"run", "bronze", "silver", "gold", "dim_customer", "fct_orders", "sales_mart"} <= steps
+    params = {r["step"]: r["run_params"] for r in found if r["status"] == "end"}
+    assert f"{db}.fct_orders" in params["fct_orders"] and RUNS[0] in params["fct_orders"]
+    assert "customer, orders" in params["silver"]
+
+
+def test_failed_step_is_audited(spark, scratch_dir):
+    db, audit = fresh(spark, scratch_dir)
+
+    def broken(s, ctx):
+        raise RuntimeError("no source today")
+
+    with pytest.raises(RuntimeError):
+        SalesMartETL(spark, db, audit=audit, bronze_source=broken).run(RUNS[0])
+    failed = {r["step"] for r in spark.table(audit.table).where("status = 'failed'").collect()}
+    assert failed == {"bronze", "run"}
+
+
+def test_default_run_shows_every_state(spark, scratch_dir):
+    db, _ = fresh(spark, scratch_dir)
+    SalesMartETL(spark, db, bronze_source=synthetic_source(1000, 10_000)).run(RUNS[0])
+    view = spark.table(f"{db}_bi.sales_mart")
+    assert view.select("state_id").distinct().count() == 59
+
+
+def test_launchers_create_run_and_drop(spark, scratch_dir):
+    db = f"l_{uuid.uuid4().hex[:8]}"
+    names = ["--database", db, "--bi-database", f"{db}_bi"]
+    ddl.main(["create", "--path", scratch_dir, *names], spark)
+    etl_module.main([*names, "--partition", RUNS[0], "--customers", "50", "--orders", "300"], spark)
+    etl_module.main([*names, "--partition", RUNS[1], "--customers", "50", "--orders", "200"], spark)
+    view = spark.table(f"{db}_bi.sales_mart")
+    assert view.agg(F.sum("num_orders")).first()[0] == 200
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert RUNS[1] in plan and "Subquery" not in plan  # the view names the newest run
+    assert spark.table(f"{db}.run_metadata").count() > 20
+    ddl.main(["drop", "--layer", "silver", *names], spark)
+    assert not spark.catalog.tableExists(f"{db}.fct_orders") and spark.catalog.tableExists(f"{db}.orders")
+    ddl.main(["create", "--layer", "silver", "--path", scratch_dir, *names], spark)
+    assert spark.table(f"{db}.dim_customer").count() == 100
+    ddl.main(["purge", "--layer", "silver", "--path", scratch_dir, *names], spark)
+    ddl.main(["create", "--layer", "silver", "--path", scratch_dir, *names], spark)
+    assert spark.table(f"{db}.dim_customer").count() == 0
+    ddl.main(["drop", *names], spark)
+    assert not spark.catalog.databaseExists(db) and not spark.catalog.databaseExists(f"{db}_bi")

@@ -1,7 +1,7 @@
 """Physical plans: pushdown, pruning, and the broadcast guards."""
 
 
-from strata.operators import apply_scd2, build_fact, materialize, merge_frames, scd2_changes
+from strata.operators import apply_scd2, build_fact, build_mart, materialize, merge_frames, scd2_changes
 from tests.conftest import ts
 from tests.frames import customers, empty_dim, orders
 
@@ -22,7 +22,8 @@ def test_guards_decline_broadcast_above_the_limit(spark):
     changes = materialize(scd2_changes(batch, dim))
     assert "BroadcastExchange" in plan(merge_frames(dim, changes, ["customer_sur_id"]))
     full = plan(merge_frames(dim, changes, ["customer_sur_id"], broadcast_limit=0))
-    assert "BroadcastExchange" not in full and "FullOuter" in full
+    assert "BroadcastExchange" not in full and "FullOuter" not in full
+    assert "LeftOuter" in full and "LeftAnti" in full
 
 
 def test_active_filter_and_columns_reach_the_scan(spark, scratch_dir):
@@ -39,3 +40,15 @@ def test_null_keys_are_a_join_key_not_a_filter(spark):
     fact_plan = plan(build_fact(orders(spark, [("a", None, ts(3))]), dim_of(spark), broadcast_limit=0))
     join_line = next(line for line in fact_plan.splitlines() if "Join" in line)
     assert "_strata_salt" in join_line
+
+
+def test_broadcast_mart_moves_the_fact_once(spark):
+    dim = dim_of(spark)
+    fact = materialize(build_fact(orders(spark, [("a", 1, ts(3)), ("b", None, ts(3))]), dim))
+    small = plan(build_mart(fact, dim))
+    assert small.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in small
+    large = plan(build_mart(fact, dim, broadcast_limit=0))
+    assert "BroadcastExchange" not in large
+    assert sorted(map(tuple, build_mart(fact, dim).collect()), key=str) == sorted(
+        map(tuple, build_mart(fact, dim, broadcast_limit=0).collect()), key=str
+    )

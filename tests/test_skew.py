@@ -79,3 +79,23 @@ def test_skewed_fact_and_mart_are_exact_and_split(spark, skew_conf):
     small_fact = build_fact(orders, dim)
     assert "BroadcastHashJoin" in plan_of(small_fact) and "_strata_salt" not in plan_of(small_fact)
     assert sorted(map(tuple, small_fact.collect()), key=str) == sorted(map(tuple, fact_rows), key=str)
+
+
+def test_upsert_with_a_third_of_keys_null_has_no_hot_task(spark, skew_conf):
+    """Rows per task of the written upsert: none far above the mean, NULL keys on both sides."""
+    from strata.operators import merge_frames
+
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+
+    def side(n, shift):
+        key = F.when(F.pmod("id", F.lit(3)) != 0, F.col("id") + shift)
+        return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").cast("string").alias("v"))
+
+    target, source = materialize(side(60_000, 0)), materialize(side(60_000, 30_000))
+    merged = merge_frames(target, source, ["k"], broadcast_limit=0)
+    per_task = [r[0] for r in merged.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    # 20,000 NULL keys a side, 40,000 keys a side of which a share meets
+    assert sum(per_task) == merged.count()
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert max(per_task) < 2 * sum(per_task) / len(per_task)

@@ -95,3 +95,40 @@ def test_size_shuffles_scales_with_task_slots(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def test_batches_keep_every_customer(spark):
+    from strata.sources import customer_batch, edge_batch, held_back_batch, load
+    from tests.conftest import SF_SMALL
+
+    n = load(spark, SF_SMALL, "customer").count()
+    assert customer_batch(spark, SF_SMALL, 1).count() == customer_batch(spark, SF_SMALL, 2).count() == n
+    assert 0 < held_back_batch(spark, SF_SMALL).count() < n
+    edge = edge_batch(spark, SF_SMALL)
+    assert edge.where("id is null").count() > 0 and edge.where("datetime_updated is null").count() > 0
+    assert edge.groupBy("id").count().where("id is not null").agg(F.max("count")).first()[0] > n // 4
+
+
+def test_cluster_without_shared_checkpoint_folder_is_an_error():
+    import pytest
+
+    from strata.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

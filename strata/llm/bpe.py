@@ -39,7 +39,7 @@ NO_RANK = np.iinfo(np.int64).max
 # the white space of Unicode, as the inside of a character class
 WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 BLOCK_CHARS = 1 << 20
-MEMO_WORDS = 300_000
+MEMO_WORDS = 200_000
 _block_end = regex.compile(r"[\t-\r ]")
 
 

@@ -19,16 +19,21 @@ from strata.session import scratch_path
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK = 1 << 20
+BATCH_ROWS = 512
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per application.
+    """Give the executors' Python workers this package, once per application, and bound their batches.
 
     The source files go out through ``addPyFile``, i.e. Spark sends them from the driver
-    to every executor; nothing is expected to be installed there.
+    to every executor; nothing is expected to be installed there. Arrow batches are
+    counted in rows, and rows here are whole texts: the default of 10,000 would keep tens
+    of megabytes per batch on both sides of the pipe, so it is lowered to ``BATCH_ROWS``.
     """
     context = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     package = Path(strata.__file__).parent
     if context.applicationId in _shipped or not package.is_dir():
         return

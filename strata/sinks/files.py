@@ -26,15 +26,19 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     fs, hadoop_path = _open(spark, path)
     out = fs.create(hadoop_path, True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, hadoop_path = _open(spark, path)
     size = fs.getFileStatus(hadoop_path).getLen()

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import io
 import re
-import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 import strata
 from strata.operators.materialize import materialize
 from strata.session import scratch_path
+from strata.sinks.files import write_bytes
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BLOCK = 1 << 20
@@ -26,8 +26,8 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application, and bound their batches.
 
-    The source files go out through ``addPyFile``, i.e. Spark sends them from the driver
-    to every executor; nothing is expected to be installed there. Arrow batches are
+    The source files go out through ``addPyFile`` by way of the shared checkpoint folder;
+    nothing is expected to be installed on the executors. Arrow batches are
     counted in rows, and rows here are whole texts: the default of 10,000 would keep tens
     of megabytes per batch on both sides of the pipe, so it is lowered to ``BATCH_ROWS``.
     """
@@ -37,10 +37,12 @@ def ship(spark: SparkSession) -> None:
     package = Path(strata.__file__).parent
     if context.applicationId in _shipped or not package.is_dir():
         return
-    archive = os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata_package.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as out:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
+    archive = f"{scratch_path(spark, 'ship')}/strata_package.zip"
+    write_bytes(spark, archive, buffer.getvalue())
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
 

@@ -116,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # queries that SQL can express; the others are held against brute force in tests/llm
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": mixing.mix_sql(),
+    "op10_topk": topk.top_k_sql(),
 }

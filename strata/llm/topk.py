@@ -213,3 +213,23 @@ def top_k(
     """query_id, rank, vec_id, score: the ``k`` highest inner products of every query. ``is_query`` is a condition on ``id``."""
     packed = pack(vectors, id_col, vector_col, nonzero=False)
     return search_blocks(packed, is_query, inner_product_search(config, k), k, "long", config.shard_rows, config.query_rows)
+
+
+def top_k_sql(config: TopkConfig = TopkConfig(), k: int = 10, every: int = 100, vectors: str = "embeddings") -> str:
+    """The result for every ``every``-th id as one SQL statement for DuckDB (float64 sums, exact below 2**53)."""
+    return f"""
+with usable as (
+  select vec_id, list_transform(embedding, x -> floor({config.scale} * cast(x as double))) as z
+  from {vectors}
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+width as (
+  select len(z) as n from usable group by 1 order by count(*) desc, n limit 1),
+fit as (
+  select vec_id, z from usable where len(z) = (select n from width)),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.z, c.z) as bigint) as score
+  from (select distinct vec_id, z from fit where vec_id % {every} = 0) q join fit c on c.vec_id <> q.vec_id),
+ranked as (
+  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= {k}"""

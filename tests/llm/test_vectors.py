@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,13 @@ def test_top_k_is_exact_on_the_given_table(spark):
     assert found == {int(ids[q]): exact_top(ids, z, q, 10) for q in np.flatnonzero(ids % 100 == 0)}
 
 
+def test_top_k_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{SF}/embeddings.parquet')")
+    expected = sorted(con.execute(topk.top_k_sql()).fetchall())
+    assert sorted(tuple(r) for r in op10_topk(spark, SF).collect()) == expected
+
+
 def test_recall_and_scores_on_the_given_table(spark):
     ids, e = table(spark)
     x = e / np.sqrt((e**2).sum(1, keepdims=True))

@@ -43,10 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids (little-endian unsigned 32-bit) of every row, with digests of the ids and of the decoded text."""
-    path = tokenizer_path()
-    encoded = bpe.encode(pick(docs, *COLUMNS), path, keep=("source",))
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    encoded = bpe.encode(pick(docs, *COLUMNS), tokenizer_path(), keep=("source",), decoded_col="decoded")
+    return encoded.select(
         "doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

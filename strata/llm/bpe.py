@@ -284,26 +284,43 @@ def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def encode(
-    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()
-) -> DataFrame:
-    """Id, the ``keep`` columns, ``n_tokens`` and ``ids`` (binary: little-endian unsigned 32-bit) of every row."""
-    ship(docs.sparkSession)
-    source = docs.sparkSession.sparkContext.broadcast(load(tokenizer_path))
-    rows = pick(docs, id_col, *keep, text_col)
-    rows = rows.select(id_col, *keep, F.coalesce(text_col, F.lit("")).alias("t"))
-    heads = [rows.schema[c] for c in (id_col, *keep)]
-    schema = T.StructType([*heads, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+def _run(model_source, columns: list[str], with_text: bool):
+    """mapInArrow function: the columns of a row but its last (the text), then n_tokens, ids and, if asked for, the decoded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _model(source.value)
+        model = _model(model_source.value)
         for batch in batches:
             for part in _slices(batch):
                 ids = model.encode_all(part.columns[-1].to_pylist())
-                counts = pa.array([len(i) // 4 for i in ids], pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], counts, pa.array(ids, pa.binary())], names=schema.names)
+                made = [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if with_text:
+                    made.append(pa.array([model.decode(i) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names=columns)
+
+    return run
 
-    return rows.mapInArrow(run, schema)
+
+def encode(
+    docs: DataFrame,
+    tokenizer_path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: tuple[str, ...] = (),
+    decoded_col: str | None = None,
+) -> DataFrame:
+    """Id, the ``keep`` columns, ``n_tokens`` and ``ids`` (binary: little-endian unsigned 32-bit) of every row.
+
+    With ``decoded_col`` the text decoded from the ids is the last column, from the same pass.
+    """
+    ship(docs.sparkSession)
+    source = docs.sparkSession.sparkContext.broadcast(load(tokenizer_path))
+    rows = pick(docs, id_col, *keep, text_col)
+    rows = rows.select(id_col, *keep, F.coalesce(text_col, F.lit("")).alias("t"))
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    if decoded_col:
+        made.append(T.StructField(decoded_col, T.StringType()))
+    schema = T.StructType([*(rows.schema[c] for c in (id_col, *keep)), *made])
+    return rows.mapInArrow(_run(source, schema.names, bool(decoded_col)), schema)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

@@ -75,8 +75,7 @@ def tokenizer_path() -> str:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text decoded from them, as digests."""
-    path = tokenizer_path()
-    encoded = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    encoded = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_path(), decoded_col="decoded")
     return encoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -219,10 +219,10 @@ def top_k_sql(config: TopkConfig = TopkConfig(), k: int = 10, every: int = 100,
     """The result for every ``every``-th id as one SQL statement for DuckDB (float64 sums, exact below 2**53)."""
     return f"""
 with usable as (
-  select vec_id, list_transform(embedding, x -> floor({config.scale} * cast(x as double))) as z
+  select vec_id, list_transform(embedding, lambda x: floor({config.scale} * cast(x as double))) as z
   from {vectors}
   where vec_id is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 width as (
   select len(z) as n from usable group by 1 order by count(*) desc, n limit 1),
 fit as (

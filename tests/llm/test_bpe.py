@@ -71,4 +71,6 @@ def test_edge_rows(spark):
     found = bpe.decode(bpe.encode(clashing(edge_docs(spark)), path), path).collect()
     assert len(found) == len(edge_rows())
     assert all(r.n_tokens == 0 and r.decoded == "" for r in found if r.doc_id in (0, 1, 2))
+    both = bpe.encode(clashing(edge_docs(spark)), path, decoded_col="decoded").collect()
+    assert sorted(map(str, both)) == sorted(map(str, found))
     assert bpe.encode(empty_docs(spark), path).count() == 0

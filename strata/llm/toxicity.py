@@ -5,7 +5,8 @@ document's features are the summed weights of its matched patterns, and a logist
 regression on them gives the score. Besides the written word lists the grammar knows
 stems learnt from labels: words and word beginnings that labelled toxic documents hold
 much more often than others. Labels come from a bounded sample of the labelled training
-rows (``sample`` rows, chosen by a hash of the id). The regression is fitted on one half
+rows (``sample`` rows, chosen by a hash of the id, near copies once, so that the words of a
+much copied text do not pass for marks of toxicity). The regression is fitted on one half
 with stems from the other, so that it sees stems at their worth for new texts; the model
 then takes the stems of both halves. Labels, language, source and id are never inputs of a score.
 
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import bounded_sample, pick, ship
+from strata.llm.common import bounded_sample, pick, ship, staged
 from strata.llm.toxic_grammar import PATTERNS, TOKEN, Lexicon, pattern_weights, word_features
 
 # bias, then one weight per pattern, in force until labels say otherwise
@@ -40,8 +41,10 @@ class ToxicConfig:
     sample: int = 20_000  # labelled rows at most
     stems: int = 3_000  # learnt words and stems at most
     least_odds: float = 3.0  # log-odds of a learnt stem
-    least_share: float = 0.005  # of the sample's toxic rows that must hold it
+    least_share: float = 0.02  # of the toxic rows that must hold it
+    residual_share: float = 0.1  # of the toxic rows without any match that must hold it
     least_rows: int = 4
+    sketch: int = 4  # least word hashes that near copies share
 
 
 @dataclass
@@ -73,7 +76,20 @@ def _stem_counts(limit: int = 200_000):
 
 
 def learn_stems(rows: DataFrame, config: ToxicConfig) -> dict[str, float]:
-    """Weights of words and stems, from rows (text, toxic)."""
+    """Weights of words and stems, from rows (text, toxic).
+
+    The second round looks only at toxic rows that hold neither a written insult or
+    threat nor a stem of the first, where a rarer mark stands out.
+    """
+    first = _associated(rows, config, config.least_share)
+    matched = _features(rows.select("toxic", F.col("text").alias("kept"), "text"), first)
+    free = F.aggregate("patterns", F.lit(0.0), lambda total, x: total + x) == 0
+    rest = matched.where((F.col("toxic") == 0) | free).select("toxic", F.col("kept").alias("text"))
+    return _associated(rest, config, config.residual_share) | first
+
+
+def _associated(rows: DataFrame, config: ToxicConfig, least_share: float) -> dict[str, float]:
+    """Words and stems that toxic rows hold much more often than others."""
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -83,13 +99,20 @@ def learn_stems(rows: DataFrame, config: ToxicConfig) -> dict[str, float]:
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
     chosen = (
         counts.withColumn("odds", odds)
-        .where((F.col("odds") >= config.least_odds) & (F.col("toxic") >= max(config.least_rows, config.least_share * toxic)))
+        .where((F.col("odds") >= config.least_odds) & (F.col("toxic") >= max(config.least_rows, least_share * toxic)))
         .orderBy(F.desc("toxic"), "stem")
         .limit(config.stems)
     )
     return {r["stem"]: min(1.0, r["odds"] / 6.0) for r in chosen.collect()}
 
 
+def _without_near_copies(rows: DataFrame, size: int) -> DataFrame:
+    """One of all rows that share the ``size`` least hashes of their words, and the label."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"))
+    sketch = F.slice(F.array_sort(F.transform(words, lambda w: F.xxhash64(w))), 1, size)
+    return rows.withColumn("sketch", sketch).dropDuplicates(["toxic", "sketch"]).drop("sketch")
+
+
 def _features(rows: DataFrame, stems: dict[str, float]) -> DataFrame:
     """The first columns of ``rows`` and, instead of its last column (the text), the array of pattern weights."""
     shared = rows.sparkSession.sparkContext.broadcast(stems)
@@ -140,6 +163,7 @@ def fit(
     # the sample's size has a bound, so it is sent to every task and no text is shuffled
     rows = pick(docs, id_col, text_col).join(F.broadcast(marks), id_col)
     rows = rows.select(half.alias("half"), "toxic", F.col(text_col).alias("text"))
+    rows = staged(_without_near_copies(rows, config.sketch))
     some = learn_stems(rows.where("half = 0"), config)
     found = _features(rows.where("half = 1").select("toxic", "text"), some).collect()  # bounded like the sample
     features = np.array([r["patterns"] for r in found], float).reshape(len(found), len(PATTERNS))

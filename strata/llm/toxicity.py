@@ -18,7 +18,6 @@ others; very long texts are read whole; other columns are not looked at.
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field

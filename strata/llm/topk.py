@@ -101,6 +101,8 @@ class DualSearch:
 
     def run(self, skip) -> list[tuple[np.ndarray, np.ndarray]]:
         """(row indexes, scores) of each query; ``skip(query, rows)`` marks rows that are not its candidates."""
+        every = np.arange(len(self.d))
+        skipped = self._most_skipped(np.array([np.count_nonzero(skip(q, every)) for q in range(len(self.q))], np.int64))
         last_q, last_d = len(self.tree_q.centres) - 1, len(self.tree_d.centres) - 1
         pair_q, pair_d = np.zeros(1, np.int64), np.zeros(1, np.int64)
         level_q = level_d = 0
@@ -111,7 +113,7 @@ class DualSearch:
             if level_d < last_d:
                 pair_d, pair_q = _expand(pair_d, pair_q, self.tree_d.children(level_d))
                 level_d += 1
-            pair_q, pair_d = self._prune(level_q, pair_q, level_d, pair_d)
+            pair_q, pair_d = self._prune(level_q, pair_q, level_d, pair_d, skipped[level_q])
         bound = self.bounds(last_q, pair_q, last_d, pair_d)
         results: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, self.q.dtype))] * len(self.q)
         order = np.lexsort((-bound, pair_q))
@@ -122,12 +124,21 @@ class DualSearch:
             self._group(asked, leaves, tops, results, skip)
         return results
 
-    def _prune(self, level_q: int, pair_q: np.ndarray, level_d: int, pair_d: np.ndarray):
+    def _most_skipped(self, counts: np.ndarray) -> list[np.ndarray]:
+        """By level, the most rows that one query under each query node skips."""
+        out = [np.array([counts[m].max() for m in self.tree_q.members])]
+        for level in range(len(self.tree_q.centres) - 1, 0, -1):
+            above = np.zeros(len(self.tree_q.centres[level - 1]), np.int64)
+            np.maximum.at(above, self.tree_q.parents[level], out[0])
+            out.insert(0, above)
+        return out
+
+    def _prune(self, level_q: int, pair_q: np.ndarray, level_d: int, pair_d: np.ndarray, skipped: np.ndarray):
         """Drop node pairs that cannot reach the kth best lower bound of their query node.
 
         A data node with n rows holds n inner products of at least 2 <c, d> - bound; the
         kth of these, over all data nodes paired with a query node, is below its worst kth
-        score. One more row than ``k`` is asked for, as a query may be among the rows.
+        score. As many more rows than ``k`` are asked for as a query under the node skips.
         """
         bound = self.bounds(level_q, pair_q, level_d, pair_d)
         c, d = self.tree_q.centres[level_q][pair_q], self.tree_d.centres[level_d][pair_d]
@@ -139,7 +150,7 @@ class DualSearch:
         held = np.cumsum(sizes[order])
         first = np.searchsorted(ordered, np.arange(len(self.tree_q.centres[level_q])))
         base = np.concatenate([[0], held])[first]
-        enough = held - base[ordered] > self.k
+        enough = held - base[ordered] >= self.k + skipped[ordered]
         worst = np.full(len(first), -np.inf)
         at = np.flatnonzero(enough)
         np.maximum.at(worst, ordered[at], low[order][at])

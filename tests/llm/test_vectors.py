@@ -101,6 +101,23 @@ def test_dual_tree_prunes_and_stays_exact():
     assert sum(compared) < 0.5 * len(rows) * len(rows[::40])
 
 
+def test_dual_tree_with_repeated_query_ids(spark, scratch_dir):
+    rng = np.random.default_rng(9)
+    rows = [(k, [float(np.float32(v)) for v in rng.standard_normal(4)], 0) for k in range(1, 600) if k % 100]
+    rows += [(100, [50.0, 40.0, -30.0, 20.0], 0)] * 40  # an outlier: all of a leaf, its products with itself the highest
+    centre = np.array([-3.0, 2.0, 1.0, -2.0])
+    rows += [(2001 + k, [float(np.float32(v)) for v in centre + 1e-4 * rng.standard_normal(4)], 0) for k in range(9)]
+    rows += [(200, centre.tolist(), 0)] * 2  # a tight cluster of eleven rows
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.write.parquet(f"{scratch_dir}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{scratch_dir}/embeddings.parquet/*.parquet')")
+    expected = sorted(con.execute(topk.top_k_sql()).fetchall())
+    assert {q for q, *_ in expected} == {100, 200} and len(expected) == 20
+    for config in (topk.TopkConfig(leaf=1), topk.TopkConfig(leaf=1, shard_rows=200)):
+        assert sorted(tuple(r) for r in topk.top_k(df, F.col("id") % 100 == 0, 10, config=config).collect()) == expected
+
+
 def test_cover_tree_invariants():
     points = np.random.default_rng(1).standard_normal((300, 3))
     tree = topk.CoverTree(points, 4)

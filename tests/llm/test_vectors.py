@@ -161,6 +161,32 @@ def test_ann_ties_odd_rows_and_shards(spark):
         assert all(abs(s - 1) < 1e-12 for _, _, s in found[2100])
 
 
+def nearest_by_brute_force(ids, x, query, k):
+    cosines = (x * x[query]).sum(1)
+    return [int(ids[j]) for j in np.lexsort((ids, -cosines)) if ids[j] != ids[query]][:k]
+
+
+def test_ann_finds_neighbours_of_a_repeated_query_id(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.standard_normal(8).astype(np.float32).astype(float).tolist(), 0) for k in range(1, 150)]
+    rows += [(200, [1.0, -1.0, 0.5, 0.25, 2.0, 1.0, 0.0, -0.5], 0)] * 300  # more rows than are reranked
+    ids, x = np.array([r[0] for r in rows]), ann.unit(np.array([r[1] for r in rows]))
+    found = grouped(ann.nearest(spark.createDataFrame(rows, SCHEMA), F.col("id") == 200))
+    assert [v for _, v, _ in found[200]] == nearest_by_brute_force(ids, x, len(ids) - 1, 5)
+
+
+def test_ann_equal_vectors_take_one_place_of_the_share():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((150, 8))
+    scales = np.concatenate([np.ones(150), np.full(300, 1.0), np.full(300, 3.0)])  # the last 600 rows have one direction
+    x = np.concatenate([x, np.repeat(x[:1], 600, axis=0)]) * scales[:, None]
+    ids, points = np.arange(len(x)), ann.unit(x)
+    search = ann.cosine_search(ann.choose_pivots(points, 8), ann.AnnConfig(pivots=8, prefix=4), 5)
+    at, found, _ = search(ids[1:150], x[1:150], ids, x)
+    for q in range(149):
+        assert set(found[at == q].tolist()) - set(range(150, 750)) == set(nearest_by_brute_force(ids, points, q + 1, 5)) - set(range(150, 750))
+
+
 def test_few_and_no_candidates(spark):
     two = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0)], SCHEMA)
     assert [(r.query_id, r["rank"], r.vec_id) for r in ann.nearest(two, F.col("id") == 0).collect()] == [(0, 1, 1)]

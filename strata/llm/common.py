@@ -95,6 +95,31 @@ def bounded_sample(rows: DataFrame, key: str, most: int) -> DataFrame:
     return rows.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(slots)) < int(slots * 0.9 * most / n))
 
 
+def bounded_rows(rows: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """``rows`` of at most ``most`` keys, or, if there are more than ``most`` rows, about that many at most.
+
+    Then equal texts of a key count once, and all keys get the same limit: one with no
+    more texts keeps them all, others about as many as the limit, chosen by a hash of the text.
+    """
+    if rows.count() <= most:
+        return rows
+    mark, texts, number = unique_name("mark"), unique_name("texts"), unique_name("number")
+    marked = rows.withColumn(mark, F.xxhash64(F.col(text), F.lit("rows")))
+    sizes = staged(marked.select(key, mark).distinct().groupBy(key).agg(F.count("*").alias(texts)))
+    counts = {r[texts]: r[number] for r in sizes.groupBy(texts).agg(F.count("*").alias(number)).collect()}
+    limit, above = 1, max(counts, default=1)
+    while limit < above:  # the largest limit that holds the bound
+        middle = (limit + above + 1) // 2
+        if sum(n * min(size, middle) for size, n in counts.items()) <= 0.9 * most:
+            limit = middle
+        else:
+            above = middle - 1
+    slots = 1 << 30
+    # one row per key, of which there are at most ``most``
+    kept = marked.join(F.broadcast(sizes), key).where(F.pmod(mark, F.lit(slots)) * F.col(texts) < F.lit(slots * limit))
+    return kept.dropDuplicates([key, mark]).select(*rows.columns)
+
+
 def word_blocks(text: bytes | None, size: int = BLOCK) -> Iterator[list[bytes]]:
     """Words of a whole text, A-Z lower-cased, as lists from about ``size`` bytes each.
 

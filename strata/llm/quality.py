@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import bounded_sample, pick, ship
+from strata.llm.common import bounded_rows, bounded_sample, pick, ship
 
 
 @dataclass(frozen=True)
@@ -182,7 +182,7 @@ def fit(
     marks = marks.where(F.col("grade").between(0, levels - 1)).groupBy(id_col).agg(F.min("grade").alias("grade"))
     marks = bounded_sample(marks, id_col, config.sample)
     # the sample's size has a bound, so it is sent to every task and no text is shuffled
-    rows = pick(docs, id_col, text_col).join(F.broadcast(marks), id_col)
+    rows = bounded_rows(pick(docs, id_col, text_col).join(F.broadcast(marks), id_col), id_col, text_col, config.sample)
     rows = rows.select(id_col, "grade", F.col(text_col).cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

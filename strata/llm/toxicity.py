@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import bounded_sample, pick, ship, staged
+from strata.llm.common import bounded_rows, bounded_sample, pick, ship, staged
 from strata.llm.toxic_grammar import PATTERNS, TOKEN, Lexicon, pattern_weights, word_features
 
 # bias, then one weight per pattern, in force until labels say otherwise
@@ -160,7 +160,7 @@ def fit(
     marks = bounded_sample(marks, id_col, config.sample)
     half = F.pmod(F.xxhash64(F.col(id_col), F.lit("half")), F.lit(2))
     # the sample's size has a bound, so it is sent to every task and no text is shuffled
-    rows = pick(docs, id_col, text_col).join(F.broadcast(marks), id_col)
+    rows = bounded_rows(pick(docs, id_col, text_col).join(F.broadcast(marks), id_col), id_col, text_col, config.sample)
     rows = rows.select(half.alias("half"), "toxic", F.col(text_col).alias("text"))
     rows = staged(_without_near_copies(rows, config.sketch))
     some = learn_stems(rows.where("half = 0"), config)

@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from strata.llm import quality
+from strata.llm import quality, toxicity
+from strata.llm.common import bounded_rows
 from strata.llm.registry import op5_quality
 from tests.llm.cases import clashing, edge_docs, edge_rows, empty_docs
 
@@ -56,3 +57,22 @@ def test_edge_rows(spark):
     none = quality.fit(docs, ratings.where("false"), F.col("g"), F.lit(True), levels=3)
     assert not none.weights.any()
     assert quality.grade_rows(empty_docs(spark), none).count() == 0
+
+
+def test_rows_of_one_id_are_bounded(spark, monkeypatch):
+    def text(k):
+        return f"text {k} " + " ".join(f"w{k * 7 % m}" for m in range(2, 9))
+
+    rows = [(k, text(k)) for k in range(1, 40)] + [(100, text(1000 + k)) for k in range(2000)] + [(101, "one copy")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, k % 2) for k in [*range(1, 40), 100, 101]], "doc_id long, toxic int")
+    seen = []
+    fit_ordinal, features = quality.fit_ordinal, toxicity._without_near_copies
+    monkeypatch.setattr(quality, "fit_ordinal", lambda sparse, *rest: (seen.append(len(sparse)), fit_ordinal(sparse, *rest))[1])
+    monkeypatch.setattr(toxicity, "_without_near_copies", lambda found, size: (seen.append(found.count()), features(found, size))[1])
+    quality.fit(docs, marks, F.col("toxic"), F.lit(True), 2, config=quality.QualityConfig(bits=8, epochs=2, sample=200))
+    toxicity.fit(docs, marks, F.lit(True), config=toxicity.ToxicConfig(sample=200))
+    assert all(100 < n <= 200 for n in seen) and len(seen) == 2
+    chosen = bounded_rows(docs, "doc_id", "text", 200)
+    assert {r.doc_id: r["count"] for r in chosen.where("doc_id <> 100").groupBy("doc_id").count().collect()} == dict.fromkeys([*range(1, 40), 101], 1)
+    assert bounded_rows(docs, "doc_id", "text", len(rows)).count() == len(rows)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, licenses, lm, mixing, pii, quality, simhash, topk, toxicity
+from strata.llm import ann, bpe, decontamination, divergence, licenses, lm, mixing, pii, quality, simhash, topk, toxicity, whitening
 from strata.llm.common import fold_of, pick, read_table
 
 
@@ -99,6 +99,34 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every vector, fitted on the distinct integer vectors."""
+    vectors = read_table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    rows = whitening.whiten(vectors, model)
+    parts = rows.select("vec_id", "n", "deviation", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part"))
+    return parts.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "part.whitened", "part.explained",
+        F.lit(model.identity_error).alias("identity_error"),
+    )
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word passages of the benchmark, and the items they come from."""
+    index = decontamination.build_index(read_table(spark, sf_dir, "documents"))
+    found = decontamination.search(index, decontamination.item_windows(read_table(spark, sf_dir, "benchmark")))
+    n_hit = decontamination.n_hit("spans")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and its most telling terms."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_mixing": op2_mixing,
@@ -110,10 +138,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_ann": op9_ann,
     "op10_topk": op10_topk,
+    "op11_whitening": op11_whitening,
+    "op12_decontamination": op12_decontamination,
+    "op13_divergence": op13_divergence,
 }
 
 # queries that SQL can express; the others are held against brute force in tests/llm
 ORACLE_SQL: dict[str, str] = {
     "op2_mixing": mixing.mix_sql(),
     "op10_topk": topk.top_k_sql(),
+    "op12_decontamination": decontamination.decontaminate_sql(),
+    "op13_divergence": divergence.audit_sql(),
 }

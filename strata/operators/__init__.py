@@ -5,7 +5,13 @@ from strata.operators.fact import build_fact
 from strata.operators.mart import build_mart, latest_partition
 from strata.operators.materialize import materialize
 from strata.operators.merge import MergeConflict, conform, merge_frames
-from strata.operators.quality import InvalidDataError, assert_quality, quality_report
+from strata.operators.quality import (
+    InvalidDataError,
+    assert_quality,
+    assert_reconciled,
+    quality_report,
+    reconciliation_report,
+)
 from strata.operators.scd2 import (
     apply_scd2,
     classify,
@@ -21,6 +27,7 @@ __all__ = [
     "MergeConflict",
     "apply_scd2",
     "assert_quality",
+    "assert_reconciled",
     "broadcast_if_bounded",
     "build_fact",
     "build_mart",
@@ -32,6 +39,7 @@ __all__ = [
     "materialize",
     "merge_frames",
     "quality_report",
+    "reconciliation_report",
     "scd2_change_rows",
     "scd2_changes",
     "with_surrogate_key",

@@ -1,8 +1,8 @@
 """Databases, tables and the BI view, and their launcher.
 
-Tables are external Parquet tables with an explicit location. Creating what exists
-changes nothing; creating a table again after a drop attaches the newest rows under its
-folder (``strata.sinks.tables.attach``, and for the dimension its newest marked commit).
+Tables are views of external Parquet stores with an explicit location, shown by the
+database's release (``strata.sinks.release``). Creating what exists changes nothing;
+creating a table again after a drop shows what the newest release under the path shows.
 Dropping never deletes files; ``purge_layer`` does. Every layer can be created, dropped
 and purged alone; a database goes when its last object has gone.
 
@@ -16,7 +16,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.schemas import (
@@ -29,21 +28,19 @@ from strata.schemas import (
     SALES_MART,
     ddl_columns,
 )
-from strata.sinks import files
-from strata.sinks.dimension import DimensionTables, last_marker, show_commit
-from strata.sinks.tables import attach, quoted
+from strata.sinks import files, release
+from strata.sinks.dimension import BUCKET, BUCKETS, PART, DimensionTables, create_dimension_view
+from strata.sinks.release import Commit, quoted
+from strata.sinks.tables import COMMIT, create_released_view, store_of
 
 DATABASE, BI_DATABASE = "ecommerce", "businessintelligence"
 DIMENSION_VIEW = "dim_customer"
-DIM_STORE = T.StructType(
-    list(DIM_CUSTOMER.fields) + [T.StructField("part", T.StringType()), T.StructField("commit", T.LongType())]
-)
 VIEW = "sales_mart"
 AUDIT = "run_metadata"
 
 LAYERS: dict[str, dict[str, T.StructType]] = {
     "bronze": {"customer": CUSTOMER_TABLE, "orders": ORDERS_TABLE},
-    "silver": {f"{DIMENSION_VIEW}_store": DIM_STORE, "fct_orders": FCT_ORDERS},
+    "silver": {DIMENSION_VIEW: DIM_CUSTOMER, "fct_orders": FCT_ORDERS},
     "gold": {"sales_mart": SALES_MART},
 }
 
@@ -58,66 +55,87 @@ def create_table(
     """Create ``table`` unless it exists; returns whether it did. The folder is made if need be."""
     if spark.catalog.tableExists(table):
         return False
-    writer = spark.createDataFrame([], schema).write.mode("ignore")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(location)
+    files.make_folder(spark, location)
     columns = ", ".join(f"`{c}`" for c in partition_by)
     partitioned = f"PARTITIONED BY ({columns})" if partition_by else ""
     spark.sql(f"CREATE TABLE {table} ({ddl_columns(schema)}) USING PARQUET {partitioned} LOCATION {quoted(location)}")
     return True
 
 
-def _create_layer(spark: SparkSession, layer: str, path: str, database: str) -> None:
+def _create_store(spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: dict[str, T.DataType]) -> None:
+    """The store of a released table: its columns and the partition columns, the last of them the commit."""
+    columns = [f for f in schema.fields if f.name not in partition_by]
+    columns += [T.StructField(c, kind) for c, kind in (partition_by | {COMMIT: T.LongType()}).items()]
+    if create_table(spark, store_of(table), T.StructType(columns), location, (*partition_by, COMMIT)):
+        if files.listed(spark, f"{location}/*=*"):
+            spark.sql(f"ALTER TABLE {store_of(table)} RECOVER PARTITIONS")
+
+
+def create_released_table(
+    spark: SparkSession, database: str, name: str, schema: T.StructType, path: str, column: str = PARTITION_COL
+) -> None:
+    """A table partitioned by ``column``, one of its string columns (it comes last), whose commits the database's release shows."""
     create_database(spark, database)
-    for name, schema in LAYERS[layer].items():
-        location = f"{path.rstrip('/')}/{name}"
-        if schema is DIM_STORE:
-            if create_table(spark, f"{database}.{name}", schema, location, ("part", "commit")):
-                spark.sql(f"ALTER TABLE {database}.{name} RECOVER PARTITIONS")
-        elif create_table(spark, f"{database}.{name}", schema, location):
-            attach(spark, f"{database}.{name}")
+    _create_store(spark, f"{database}.{name}", schema, f"{path.rstrip('/')}/{name}", {column: schema[column].dataType})
+    release.open_release(spark, database, path, {name: Commit()})
+    if not spark.catalog.tableExists(f"{database}.{name}"):
+        create_released_view(spark, database, name, [*(c for c in schema.fieldNames() if c != column), column], column)
+
+
+def create_dimension(spark: SparkSession, database: str, name: str, path: str, buckets: int = BUCKETS) -> None:
+    """The SCD2 dimension with its active rows in ``buckets`` buckets (about a million rows each are a good size)."""
+    create_database(spark, database)
+    kinds = {PART: T.StringType(), BUCKET: T.IntegerType()}
+    _create_store(spark, f"{database}.{name}", DIM_CUSTOMER, f"{path.rstrip('/')}/{name}", kinds)
+    release.open_release(spark, database, path, {name: Commit(live=(0,) * buckets)})
+    tables = DimensionTables.of(database, name)
+    if not spark.catalog.tableExists(tables.view):
+        create_dimension_view(spark, tables)
 
 
 def create_bronze_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
-    _create_layer(spark, "bronze", path, database)
+    for name, schema in LAYERS["bronze"].items():
+        create_released_table(spark, database, name, schema, path)
 
 
-def create_silver_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
-    _create_layer(spark, "silver", path, database)
-    tables = DimensionTables.of(database, DIMENSION_VIEW)
-    if not spark.catalog.tableExists(tables.view):
-        show_commit(spark, tables, last_marker(spark, tables))
+def create_silver_tables(spark: SparkSession, path: str, database: str = DATABASE, buckets: int = BUCKETS) -> None:
+    create_dimension(spark, database, DIMENSION_VIEW, path, buckets)
+    create_released_table(spark, database, "fct_orders", FCT_ORDERS, path)
 
 
 def create_gold_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
-    _create_layer(spark, "gold", path, database)
+    for name, schema in LAYERS["gold"].items():
+        create_released_table(spark, database, name, schema, path)
 
 
 def create_interface_views(
-    spark: SparkSession, database: str = BI_DATABASE, src_database: str = DATABASE, partition: str | None = None
+    spark: SparkSession, database: str = BI_DATABASE, src_database: str = DATABASE, released: bool = False
 ) -> None:
     """The BI view: newest run of the mart, ``deliver_date`` renamed ``delivery_date``.
 
-    With ``partition`` the view names the run, so a reader plans one partition and runs
-    nothing else (``point_interface_views`` finds it after a publish). Without, the
-    newest run is a scalar subquery.
+    With ``released`` the newest run is the one that the release names, a literal after
+    optimization: a reader plans one partition and runs nothing else, and the view changes
+    with the release. Without, it is a scalar subquery over the mart.
     """
     create_database(spark, database)
-    newest = quoted(partition) if partition else f"(SELECT max(`{PARTITION_COL}`) FROM {src_database}.sales_mart)"
+    newest = f"(SELECT max(`{PARTITION_COL}`) FROM {src_database}.{VIEW})"
+    if released:
+        newest = release.of_release(src_database, VIEW, "latest")
     spark.sql(
-        f"""CREATE OR REPLACE VIEW {database}.{VIEW} AS
+        f"""CREATE OR REPLACE VIEW {database}.{VIEW} TBLPROPERTIES ('strata.released' = '{str(released).lower()}') AS
             SELECT state_id, deliver_date AS delivery_date, num_orders
-            FROM {src_database}.sales_mart
+            FROM {src_database}.{VIEW}
             WHERE `{PARTITION_COL}` = {newest}"""
     )
 
 
-def point_interface_views(spark: SparkSession, database: str, src_database: str) -> str | None:
-    """Let the BI view name the newest run that has rows, from the catalog's list of partitions."""
-    known = sorted((r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {src_database}.sales_mart").collect()), reverse=True)
-    mart = spark.table(f"{src_database}.sales_mart")
-    newest = next((p for p in known if mart.where(F.col(PARTITION_COL) == p).limit(1).count()), None)
-    create_interface_views(spark, database, src_database, newest)
-    return newest
+def point_interface_views(spark: SparkSession, database: str, src_database: str) -> None:
+    """Let the BI view follow the release, unless it does."""
+    if spark.catalog.tableExists(f"{database}.{VIEW}"):
+        found = spark.sql(f"SHOW TBLPROPERTIES {database}.{VIEW} ('strata.released')").collect()
+        if found[0]["value"] == "true":
+            return
+    create_interface_views(spark, database, src_database, released=True)
 
 
 def create_audit_table(spark: SparkSession, path: str, database: str = DATABASE, name: str = AUDIT) -> str:
@@ -130,12 +148,20 @@ def create_all(spark: SparkSession, path: str, database: str = DATABASE, bi_data
     create_bronze_tables(spark, path, database)
     create_silver_tables(spark, path, database)
     create_gold_tables(spark, path, database)
+    _create_missing_interface(spark, bi_database, database)
+
+
+def _create_missing_interface(spark: SparkSession, bi_database: str, database: str) -> None:
     if not spark.catalog.tableExists(f"{bi_database}.{VIEW}"):
         create_interface_views(spark, bi_database, database)
 
 
 def _drop_database_if_empty(spark: SparkSession, database: str) -> None:
-    if spark.catalog.databaseExists(database) and not spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").count():
+    if not spark.catalog.databaseExists(database):
+        return
+    left = {r["tableName"] for r in spark.sql(f"SHOW TABLES IN {database}").where("not isTemporary").collect()}
+    if left <= {release.RELEASE}:
+        spark.sql(f"DROP VIEW IF EXISTS {release.release_view(database)}")
         spark.sql(f"DROP DATABASE {database}")
 
 
@@ -148,10 +174,11 @@ def drop_layer(spark: SparkSession, layer: str, database: str = DATABASE, bi_dat
         return
     if not spark.catalog.databaseExists(database):
         return
-    if layer == "silver":
-        spark.sql(f"DROP VIEW IF EXISTS {database}.{DIMENSION_VIEW}")
-    for name in (AUDIT,) if layer == "audit" else LAYERS[layer]:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    if layer == "audit":
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{AUDIT}")
+    for name in LAYERS.get(layer, ()):
+        spark.sql(f"DROP VIEW IF EXISTS {database}.{name}")
+        spark.sql(f"DROP TABLE IF EXISTS {store_of(f'{database}.{name}')}")
     _drop_database_if_empty(spark, database)
 
 
@@ -163,8 +190,9 @@ def drop_all(spark: SparkSession, database: str = DATABASE, bi_database: str = B
 def purge_layer(spark: SparkSession, layer: str, path: str, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
     """Drop one layer and delete its files: nothing of it can be attached again."""
     drop_layer(spark, layer, database, bi_database)
-    names = {"interface": (), "audit": (AUDIT,)}.get(layer) if layer in ("interface", "audit") else tuple(LAYERS[layer])
-    for name in names:
+    if layer in LAYERS:
+        release.forget(spark, database, path.rstrip("/"), list(LAYERS[layer]))
+    for name in (AUDIT,) if layer == "audit" else LAYERS.get(layer, ()):
         files.delete(spark, f"{path.rstrip('/')}/{name}")
 
 
@@ -188,7 +216,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         "bronze": lambda: create_bronze_tables(spark, args.path, args.database),
         "silver": lambda: create_silver_tables(spark, args.path, args.database),
         "gold": lambda: create_gold_tables(spark, args.path, args.database),
-        "interface": lambda: create_interface_views(spark, args.bi_database, args.database),
+        "interface": lambda: _create_missing_interface(spark, args.bi_database, args.database),
         "audit": lambda: create_audit_table(spark, args.path, args.database),
     }
     for layer in chosen if args.action == "create" else reversed(chosen):

@@ -26,14 +26,15 @@ from strata.operators.fact import build_fact
 from strata.operators.mart import build_mart
 from strata.operators.materialize import materialize
 from strata.operators.merge import merge_frames
-from strata.operators.quality import quality_report
+from strata.operators.quality import quality_report, reconciliation_report
 from strata.operators.scd2 import NEW, UNCHANGED, apply_scd2, classify, scd2_change_rows
 from strata.plans.audit import RunAudit
 from strata.plans.ddl import create_all, create_audit_table, create_bronze_tables
 from strata.plans.etl import SalesMartETL
-from strata.schemas import DIM_CUSTOMER, ETL_INSERTED_COL
+from strata.schemas import CUSTOMER_TABLE, DIM_CUSTOMER, ETL_INSERTED_COL
 from strata.session import checkpoint_root, scratch_path
-from strata.sinks.tables import replace_partition, stamp
+from strata.sinks.tables import replace_partition, stamp, table_location, upsert_table
+from strata.sources.catalog import read_path
 from strata.sources.synthetic import FIRST_NAMES, ITEMS, LAST_NAMES, STATES, synthetic_customers, synthetic_orders
 from strata.sources.testdata import (
     EDGE_HOT,
@@ -49,6 +50,7 @@ from strata.sources.testdata import (
 # Fixed run partitions of the two modelled runs.
 RUN1 = "2024-06-01-00-00-00"
 RUN2 = "2024-06-02-00-00-00"
+RUN3 = "2024-06-03-00-00-00"  # a further partition of single tables
 
 _MEMO: dict = {}
 _LOCK = threading.Lock()
@@ -258,6 +260,31 @@ def q_replace_partition_empty(spark, sf):
     return spark.table(table).drop(ETL_INSERTED_COL)
 
 
+def q_upsert_partition_move(spark, sf):
+    """Upsert on the id alone into three partitions: rows leave two of them for the third,
+    and one of the two is left without rows."""
+    table = _customer_table(spark)
+    b1, b2 = _b1(spark, sf), _b2(spark, sf)
+    for rest, run in (((0, 1), RUN1), ((2,), RUN2), ((3,), RUN3)):
+        replace_partition(spark, table, stamp(b1.where((F.col("id") % 4).isin(*rest)), run), run)
+    upsert_table(spark, table, stamp(b2.where((F.col("id") % 4).isin(1, 2)), RUN3), ["id"])
+    return spark.table(table).drop(ETL_INSERTED_COL)
+
+
+def q_reconciliation_report(spark, sf):
+    dim2 = _dims(spark, sf)[1]
+    orders = _orders(spark, sf)
+    fact = materialize(build_fact(orders, _held_back_dim(spark, sf)))
+    mart = build_mart(fact, dim2)
+    return reconciliation_report(orders, fact, mart, dim2).withColumnRenamed("check", "metric")
+
+
+def q_table_by_path(spark, sf):
+    """The bronze customers read from their folder with the table's schema, not by way of the catalog."""
+    location = table_location(spark, f"{_warehouse(spark, sf)['db']}.customer")
+    return read_path(spark, location, CUSTOMER_TABLE).select(*[c for c in CUSTOMER_TABLE.fieldNames() if c != ETL_INSERTED_COL])
+
+
 def q_dim_scan(spark, sf):
     return spark.read.table(f"{_warehouse(spark, sf)['db']}.dim_customer")
 
@@ -355,6 +382,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": q_quality_report,
     "replace_partition": q_replace_partition,
     "replace_partition_empty": q_replace_partition_empty,
+    "upsert_partition_move": q_upsert_partition_move,
+    "reconciliation_report": q_reconciliation_report,
+    "table_by_path": q_table_by_path,
     "dim_scan": q_dim_scan,
     "fct_orders_table": q_fct_orders_table,
     "sales_mart_table": q_sales_mart_table,
@@ -553,6 +583,26 @@ union all select 'dup_keys', {_bigint('count(*) filter (where n > 1)')}
         f"select *, '{RUN1}' as \"partition\" from b2 union all select *, '{RUN2}' from b1", "b1", "b2"
     ),
     "replace_partition_empty": _with(f"select *, '{RUN2}' as \"partition\" from b2", "b2"),
+    "upsert_partition_move": _with(
+        f"""select *, '{RUN1}' as "partition" from b1 where id % 4 = 0
+union all select *, '{RUN3}' from b1 where id % 4 = 3
+union all select *, '{RUN3}' from b2 where id % 4 in (1, 2)""",
+        "b1", "b2",
+    ),
+    "reconciliation_report": _with(
+        f"""select 'orders' metric, {_bigint('count(*)')} value from ord
+union all select 'fact_rows', {_bigint('count(*)')} from fcth
+union all select 'mart_orders', {_bigint('count(*)')} from fcth
+union all select 'lost_orders', {_bigint('0')}
+union all select 'mart_gap', {_bigint('0')}
+union all select 'dup_orders', {_bigint('count(*)')} from (select order_id from fcth group by 1 having count(*) > 1)
+union all select 'unknown_keys', {_bigint('count(*)')} from fcth
+  where customer_sur_id is not null and customer_sur_id not in (select customer_sur_id from dim2 where "current")""",
+        "ord", "fcth", "dim2",
+    ),
+    "table_by_path": _with(
+        f"select *, '{RUN1}' as \"partition\" from b1 union all select *, '{RUN2}' from b2", "b1", "b2"
+    ),
     "dim_scan": _with("select * from dim2", "dim2"),
     "fct_orders_table": _with(
         f"select *, '{RUN1}' as \"partition\" from fct1 union all select *, '{RUN2}' from fct2", "fct1", "fct2"

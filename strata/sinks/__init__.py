@@ -1,5 +1,5 @@
-"""Write modes on plain Parquet catalog tables: replace one run partition, upsert by key,
-and the SCD2 dimension (one store, read through one view)."""
+"""Write modes on plain Parquet catalog tables: replace one run partition, upsert by key, the
+SCD2 dimension, and the release that shows the commits of all tables at once."""
 
 from strata.sinks.dimension import (
     DimensionTables,
@@ -7,11 +7,15 @@ from strata.sinks.dimension import (
     history_rows,
     publish_dimension,
     remove_old_commits,
+    stage_dimension,
 )
+from strata.sinks.retention import clear_scratch, retain
 from strata.sinks.tables import (
     attach,
     remove_unused,
     replace_partition,
+    stage_partition,
+    stage_upsert,
     stamp,
     table_location,
     table_partition_columns,
@@ -22,11 +26,16 @@ __all__ = [
     "DimensionTables",
     "active_rows",
     "attach",
+    "clear_scratch",
     "history_rows",
     "publish_dimension",
     "remove_old_commits",
     "remove_unused",
     "replace_partition",
+    "retain",
+    "stage_dimension",
+    "stage_partition",
+    "stage_upsert",
     "stamp",
     "table_location",
     "table_partition_columns",

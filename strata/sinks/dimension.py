@@ -1,47 +1,49 @@
-"""SCD2 dimension: one store of active and closed rows, read through one view.
-
-Layout (Parquet catalog objects):
-
-* ``<name>_store`` is partitioned by ``part`` ('a' active, 'h' history) and ``commit``.
-  Publish number n writes all rows that are active after it to ``part=a/commit=n`` and
-  the rows it closed to ``part=h/commit=n``, in one job.
-* ``<name>`` is the dimension: a view that names a commit, i.e. the active rows of n and
-  the closed rows up to n. Replacing the view is the only step that readers see, so a
-  publish that stops anywhere leaves them with the old or with the new dimension.
-
-Closed rows are written once and never again; active rows of older commits can be removed
-at any time without touching history (``remove_old_commits``). Between the write and the
-view, a marker file ``_commits/<n>`` is written, from which a view that was dropped is
-created again.
+"""SCD2 dimension: one store of active and closed rows, a released table (``strata.sinks.release``).
+
+``<name>_store`` is partitioned by ``part`` ('a' active, 'h' history), ``bucket`` and
+``commit``. An active row lies in the bucket of its id's hash; closed rows lie in bucket -1.
+
+* **Copy on write by bucket.** Publish number n touches the buckets of the ids in its change
+  set: it reads and rewrites the active rows of those only, to
+  ``part=a/bucket=b/commit=n``, and writes the rows it closed to ``part=h/bucket=-1/commit=n``,
+  in one job. The table's commit names, per bucket, the commit that holds its active rows
+  (``live``), so the other buckets go on being read from where they are.
+* Closed rows are written once and never again; active rows of older commits can be removed
+  at any time without touching history (``remove_old_commits``).
+* ``<name>`` is the dimension: a view of the commit in the release. Releasing is the only
+  step that readers see, so a publish that stops anywhere leaves them with the old or with
+  the new dimension.
 
 Publishing a change set (rows stamped with the run partition) is the MERGE of the change
-set into the dimension on the surrogate key, computed against the active rows only. That
-is exact unless a change-set key equals the key of a closed row, which MERGE would update.
-Keys are hashes of id and timestamp, so such a row has the same ``valid_from``: the check
-reads only the history between the change set's least and greatest ``valid_from``, which
-reaches the Parquet scan. If there is one, the whole dimension is merged and the commit
-starts a new history; it is committed by the same view.
+set into the dimension on the surrogate key, computed against the touched active rows only.
+That is exact when a key determines the id and ``valid_from``, as a hash of id and timestamp
+does, unless a change-set key equals the key of a closed row, which MERGE would update. Such
+a row has the same ``valid_from``: the check reads only the history between the change set's
+least and greatest ``valid_from``, which reaches the Parquet scan. If there is one, the whole
+dimension is merged and the commit starts a new history.
 """
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
 from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
 from strata.schemas import DIM_CUSTOMER
-from strata.sinks import files
-from strata.sinks.tables import quoted, table_location
+from strata.sinks import files, release  # noqa: F401 (files: tests stop a publish at its marker)
+from strata.sinks.release import Commit
+from strata.sinks.tables import COMMIT, drop_parts, store_of, write_commit
 
 ACTIVE, HISTORY = "a", "h"
+PART, BUCKET = "part", "bucket"
+BUCKETS = 8
 COLUMNS = [f.name for f in DIM_CUSTOMER.fields]
-_PROPERTY = "strata.commit"
+_SPREAD = "_strata_bucket"
 
 
 @dataclass(frozen=True)
@@ -55,68 +57,65 @@ class DimensionTables:
 
     @classmethod
     def from_view(cls, view: str) -> "DimensionTables":
-        return cls(view, f"{view}_store")
+        return cls(view, store_of(view))
 
 
-@dataclass(frozen=True)
-class Commit:
-    """What a view shows: active rows of ``number``, closed rows of ``floor`` + 1 to ``number``.
+def create_dimension_view(spark: SparkSession, tables: DimensionTables) -> None:
+    """The dimension: active rows of each bucket's live commit, and the closed rows of the commits shown."""
+    database, name = tables.view.rsplit(".", 1)
+    live, floor, number = (release.of_release(database, name, part) for part in ("live", "floor", "number"))
+    columns = ", ".join(f"`{c}`" for c in COLUMNS)
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {tables.view} AS
+            SELECT {columns} FROM {tables.store}
+            WHERE (`{PART}` = '{ACTIVE}' AND `{COMMIT}` = try_element_at({live}, `{BUCKET}` + 1))
+               OR (`{PART}` = '{HISTORY}' AND `{COMMIT}` > {floor} AND `{COMMIT}` <= {number})"""
+    )
 
-    ``epochs`` holds, per stream, the last epoch that was published.
-    """
 
-    number: int = 0
-    floor: int = 0
-    epochs: tuple[tuple[str, int], ...] = ()
+def current_commit(spark: SparkSession, tables: DimensionTables) -> Commit:
+    """The commit that readers see."""
+    return release.current(spark, tables.view)
 
-    def text(self) -> str:
-        return json.dumps({"number": self.number, "floor": self.floor, "epochs": dict(self.epochs)})
 
-    @classmethod
-    def parse(cls, text: str) -> "Commit":
-        found = json.loads(text)
-        return cls(found["number"], found["floor"], tuple(sorted(found["epochs"].items())))
+def show_commit(spark: SparkSession, tables: DimensionTables, commit: Commit) -> None:
+    """Release a commit of the dimension alone."""
+    release.publish_one(spark, tables.view, commit)
 
 
-def current_commit(spark: SparkSession, tables: DimensionTables) -> Commit:
-    """The commit that the view shows."""
-    rows = spark.sql(f"SHOW TBLPROPERTIES {tables.view} ({quoted(_PROPERTY)})").collect()
-    return Commit.parse(rows[0]["value"])
+def bucket_of(buckets: int, key: str = "id") -> Column:
+    """The bucket of an id; rows without one spread by their other columns, as nothing ever matches them."""
+    other = F.xxhash64("first_name", "last_name", "state_id", "datetime_created", "datetime_updated")
+    return F.pmod(F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), other), F.lit(buckets)).cast("int")
 
 
-def show_commit(spark: SparkSession, tables: DimensionTables, commit: Commit) -> None:
-    """Replace the view, the commit point for readers."""
-    columns = ", ".join(f"`{c}`" for c in COLUMNS)
-    spark.sql(
-        f"""CREATE OR REPLACE VIEW {tables.view}
-            TBLPROPERTIES ({quoted(_PROPERTY)} = {quoted(commit.text())}) AS
-            SELECT {columns} FROM {tables.store}
-            WHERE (`part` = '{ACTIVE}' AND `commit` = {commit.number})
-               OR (`part` = '{HISTORY}' AND `commit` > {commit.floor} AND `commit` <= {commit.number})"""
-    )
+def active_rows(spark: SparkSession, tables: DimensionTables, commit: Commit | None = None, only: set[int] | None = None) -> DataFrame:
+    """The active rows of a commit, by default the one that readers see; ``only`` of these buckets."""
+    return _stored(spark, tables, _active_text(commit or current_commit(spark, tables), only))
 
 
-def last_marker(spark: SparkSession, tables: DimensionTables) -> Commit:
-    """The newest marked commit under the store's folder; commit 0 when there is none."""
-    found = files.listed(spark, f"{table_location(spark, tables.store)}/_commits/*")
-    return Commit.parse(files.read_text(spark, found[-1])) if found else Commit()
+def _active_text(commit: Commit, only: set[int] | None = None) -> str:
+    """SQL for the active rows of a commit: a filter on partition columns."""
+    live = ", ".join(f"{b}, {n}L" for b, n in enumerate(commit.live) if only is None or b in only)
+    return f"`{PART}` = '{ACTIVE}' AND `{COMMIT}` = try_element_at(CAST(map({live}) AS map<int, bigint>), `{BUCKET}`)"
 
 
-def _part(spark: SparkSession, tables: DimensionTables, part: str, low: int, high: int) -> DataFrame:
-    rows = spark.table(tables.store).where((F.col("part") == part) & F.col("commit").between(low, high))
-    return rows.select(*COLUMNS)
+def _history_text(commit: Commit) -> str:
+    return f"`{PART}` = '{HISTORY}' AND `{COMMIT}` > {commit.floor} AND `{COMMIT}` <= {commit.number}"
 
 
-def active_rows(spark: SparkSession, tables: DimensionTables) -> DataFrame:
-    """The active rows of the commit that the view shows now."""
-    number = current_commit(spark, tables).number
-    return _part(spark, tables, ACTIVE, number, number)
+def _stored(spark: SparkSession, tables: DimensionTables, shown: str) -> DataFrame:
+    return spark.table(tables.store).where(shown).select(*COLUMNS)
 
 
-def history_rows(spark: SparkSession, tables: DimensionTables) -> DataFrame:
-    """The closed rows of the commit that the view shows now."""
-    commit = current_commit(spark, tables)
-    return _part(spark, tables, HISTORY, commit.floor + 1, commit.number)
+def history_rows(spark: SparkSession, tables: DimensionTables, commit: Commit | None = None) -> DataFrame:
+    """The closed rows of a commit, by default the one that readers see."""
+    return _stored(spark, tables, _history_text(commit or current_commit(spark, tables)))
+
+
+def dimension_rows(spark: SparkSession, tables: DimensionTables, commit: Commit) -> DataFrame:
+    """All rows of a commit, also of one that is not released yet."""
+    return _stored(spark, tables, f"({_active_text(commit)}) OR ({_history_text(commit)})")
 
 
 def colliding_history(history: DataFrame, staged: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
@@ -127,88 +126,96 @@ def colliding_history(history: DataFrame, staged: DataFrame, keys: Sequence[str]
     return near.join(F.broadcast(key_set) if small else key_set, list(keys), "left_semi")
 
 
-def publish_dimension(
+def stage_dimension(
     spark: SparkSession,
     tables: DimensionTables,
     changes: DataFrame,
-    partition: str,
     keys: Sequence[str] = ("customer_sur_id",),
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
     gate: Callable[[DataFrame], object] | None = None,
-    epoch: tuple[str, int] | None = None,
-) -> int:
-    """Merge ``changes`` (already stamped with ``partition``) into the dimension; returns their rows.
+    base: Commit | None = None,
+) -> tuple[Commit, int]:
+    """Write the dimension after ``changes`` (already stamped); returns the commit that shows it, and the changes' rows.
 
-    ``gate`` gets the rows that the publish wrote, before they are committed; when it
-    raises, the dimension stays as it was. ``epoch`` (stream, number) makes a replayed
-    epoch do nothing. Keys must determine ``valid_from``, as the surrogate key does.
+    ``gate`` gets the rows that were written; when it raises, there is nothing to release.
+    ``base`` is the commit to go on from, by default the released one. An empty change set
+    (a published batch again) writes nothing.
     """
     keys = list(keys)
-    before = current_commit(spark, tables)
-    if epoch is not None and epoch[1] <= dict(before.epochs).get(epoch[0], -1):
-        return 0
-    epochs = tuple(sorted((dict(before.epochs) | dict([epoch])).items())) if epoch else before.epochs
+    shown = release.read(spark, tables.view.rsplit(".", 1)[0])
+    before = shown.commit(tables.view) if base is None else base
+    live = list(before.live) or [0] * BUCKETS
     staged = materialize(conform(changes, DIM_CUSTOMER))
-    rows = staged.count()
-    if not rows:
-        return 0  # an empty change set (a published batch again) changes nothing
+    found = staged.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(bucket_of(len(live))).alias("buckets")).first()
+    if not found["rows"]:
+        return before, 0
     stats = key_stats(staged, keys)
     small = broadcast_fits(stats[0], stats[1], broadcast_limit)
 
-    number, floor, base = before.number + 1, before.floor, active_rows(spark, tables)
+    number, floor, touched = before.number + 1, before.floor, set(found["buckets"])
+    merged_into = active_rows(spark, tables, before, touched)
     if stats[0] and before.number > before.floor:
-        if colliding_history(history_rows(spark, tables), staged, keys, small).limit(1).collect():
-            base, floor = spark.table(tables.view), before.number
-    merged = merge_frames(base, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
-    _write(spark, tables, merged, number)
+        if colliding_history(history_rows(spark, tables, before), staged, keys, small).limit(1).collect():
+            merged_into, floor, touched = dimension_rows(spark, tables, before), before.number, set(range(len(live)))
+    merged = merge_frames(merged_into, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
+    _write(spark, tables, shown.folder(tables.view), merged, number, len(live))
     if gate is not None:
-        gate(spark.table(tables.store).where(F.col("commit") == number).select(*COLUMNS))
-    commit = Commit(number, floor, epochs)
-    files.write_text(spark, f"{table_location(spark, tables.store)}/_commits/{number:012d}", commit.text())
-    show_commit(spark, tables, commit)
+        gate(spark.table(tables.store).where(F.col(COMMIT) == number).select(*COLUMNS))
+    live = tuple(number if b in touched else n for b, n in enumerate(live))
+    return replace(before, number=number, floor=floor, live=live), int(found["rows"])
+
+
+def publish_dimension(
+    spark: SparkSession,
+    tables: DimensionTables,
+    changes: DataFrame,
+    partition: str,
+    keys: Sequence[str] = ("customer_sur_id",),
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    gate: Callable[[DataFrame], object] | None = None,
+    epoch: tuple[str, int] | None = None,
+) -> int:
+    """Merge ``changes`` (already stamped with ``partition``) into the dimension and release it; returns their rows.
+
+    ``gate`` gets the rows that the publish wrote, before they are released; when it
+    raises, the dimension stays as it was. ``epoch`` (stream, number) makes a replayed
+    epoch do nothing. Keys must determine id and ``valid_from``, as the surrogate key does.
+    """
+    before = current_commit(spark, tables)
+    if epoch is not None and epoch[1] <= before.epochs.get(epoch[0], -1):
+        return 0
+    commit, rows = stage_dimension(spark, tables, changes, keys, broadcast_limit, gate, before)
+    if rows:
+        show_commit(spark, tables, replace(commit, epochs=before.epochs | dict([epoch])) if epoch else commit)
     return rows
 
 
-def _write(spark: SparkSession, tables: DimensionTables, rows: DataFrame, number: int) -> None:
-    """Write commit ``number``, in place of what a publish that stopped may have left of it."""
-    root = table_location(spark, tables.store)
-    _forget(spark, tables, root, ACTIVE, number)
-    _forget(spark, tables, root, HISTORY, number)
-    files.delete(spark, f"{root}/_commits/{number:012d}")
-    side = F.when(F.coalesce(F.col("current"), F.lit(False)), ACTIVE).otherwise(HISTORY)
-    (
-        rows.withColumns({"part": side, "commit": F.lit(number).cast("long")})
-        # the write sorts by part and commit anyway; valid_from next keeps the ranges of
-        # history files narrow for the collision check
-        .sortWithinPartitions("part", "commit", "valid_from")
-        .write.mode("append")
-        .partitionBy("part", "commit")
-        .parquet(root)
+def _write(spark: SparkSession, tables: DimensionTables, root: str, rows: DataFrame, number: int, buckets: int) -> None:
+    """Write commit ``number``: active rows by bucket, closed rows together."""
+    active = F.coalesce(F.col("current"), F.lit(False))
+    placed = rows.withColumn(_SPREAD, bucket_of(buckets)).withColumns(
+        {PART: F.when(active, ACTIVE).otherwise(HISTORY), BUCKET: F.when(active, F.col(_SPREAD)).otherwise(F.lit(-1))}
     )
-    for part in (ACTIVE, HISTORY):
-        if files.exists(spark, f"{root}/part={part}/commit={number}"):
-            spark.sql(f"ALTER TABLE {tables.store} ADD PARTITION (`part` = '{part}', `commit` = {number})")
-    spark.catalog.refreshTable(tables.store)
+    # one file or few per bucket; a bucket that is far larger is split, small ones share a task
+    placed = placed.hint("rebalance", F.col(_SPREAD)).drop(_SPREAD)
+    # the write sorts by part, bucket and commit anyway; valid_from next keeps the ranges of
+    # history files narrow for the collision check
+    write_commit(spark, tables.store, root, placed.sortWithinPartitions(PART, BUCKET, "valid_from"), [PART, BUCKET], number)
 
 
-def _forget(spark: SparkSession, tables: DimensionTables, root: str, part: str, number: int) -> None:
-    spark.sql(f"ALTER TABLE {tables.store} DROP IF EXISTS PARTITION (`part` = '{part}', `commit` = {number})")
-    files.delete(spark, f"{root}/part={part}/commit={number}")
+def remove_old_commits(spark: SparkSession, tables: DimensionTables, least_age: float = 0.0) -> int:
+    """Remove what readers do not see: older active rows, replaced history, stopped publishes; returns the
+    number of commits that lost rows.
 
+    Folders younger than ``least_age`` seconds stay. Not for use while a publish is at work;
+    readers that run longer than ``least_age`` may lose their files.
+    """
+    commit = current_commit(spark, tables)
 
-def remove_old_commits(spark: SparkSession, tables: DimensionTables) -> int:
-    """Remove what the view does not show: older active rows, replaced history, stopped publishes.
+    def unseen(part: dict[str, str]) -> bool:
+        number = int(part[COMMIT])
+        if part[PART] == ACTIVE:
+            return commit.live[int(part[BUCKET])] != number
+        return not commit.floor < number <= commit.number
 
-    Not for use while a publish or a long-running reader is at work.
-    """
-    commit, root = current_commit(spark, tables), table_location(spark, tables.store)
-    removed = 0
-    for row in spark.sql(f"SHOW PARTITIONS {tables.store}").collect():
-        part, number = (x.split("=", 1)[1] for x in row[0].split("/"))
-        number = int(number)
-        shown = number == commit.number if part == ACTIVE else commit.floor < number <= commit.number
-        if not shown:
-            _forget(spark, tables, root, part, number)
-            removed += 1
-    spark.catalog.refreshTable(tables.store)
-    return removed
+    return len({part[COMMIT] for part in drop_parts(spark, tables.store, unseen, least_age)})

@@ -21,6 +21,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _open(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a path was last changed, in seconds; 0 when there is none."""
+    fs, hadoop_path = _open(spark, path)
+    return fs.getFileStatus(hadoop_path).getModificationTime() / 1000 if fs.exists(hadoop_path) else 0.0
+
+
+def newest(spark: SparkSession, path: str) -> float:
+    """When anything under a path was last changed, in seconds."""
+    fs, hadoop_path = _open(spark, path)
+    last = modified(spark, path)
+    found = fs.listFiles(hadoop_path, True)
+    while found.hasNext():
+        last = max(last, found.next().getModificationTime() / 1000)
+    return last
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _open(spark, path)
     fs.delete(hadoop_path, True)

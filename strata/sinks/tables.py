@@ -1,38 +1,50 @@
 """Publishing to catalog tables without a transactional table format.
 
-Every write goes to a fresh folder ``<root>/_v/<token>`` and becomes visible with one
-catalog call after its job committed. A failed or killed job leaves readers with the old
-rows and an unused folder behind.
-
-* **Replace one partition** writes ``_v/<token>/<column>=<value>`` and points that
-  partition at it; other partitions are untouched, a rerun replaces the same partition,
-  and an empty batch leaves an empty folder there.
-* **Upsert** checkpoints the source (it often reads the target itself), writes the merged
-  rows as a new snapshot of the table, and points the table at it.
-
-Tokens sort by time, and a folder whose job committed holds ``_SUCCESS``; so a table that
-is dropped and created again finds its newest folders (``attach``), and folders that no
-partition points at can be removed (``remove_unused``). One writer per table at a time.
+**Released tables** (``strata.sinks.release``) are partitioned by one column. A write adds
+folders ``<column>=<value>/commit=<n>`` and, when its job committed, gives the table's next
+``Commit``; releasing that commit is what readers see.
+
+* **Replace one partition** writes that partition's rows under a new commit; other
+  partitions are untouched, a rerun replaces the same partition, and an empty batch leaves
+  the partition without rows.
+* **Upsert** rewrites only the partitions it touches: those that hold a row it replaces and
+  those its rows belong to. A row that moves to another partition leaves its old one, which
+  may be left without rows; all of it is one commit.
+
+``stage_*`` write and return the commit, so several tables can be released together;
+``replace_partition`` and ``upsert_table`` release it at once. A job that fails or is killed
+leaves readers with the old rows, and folders that the next write of that number replaces.
+
+**Tables without partitions** are written to a fresh folder ``<root>/_v/<token>``, at which
+one catalog call points the table. Tokens sort by time and a folder whose job committed
+holds ``_SUCCESS``, so a table created again finds its newest folder (``attach``).
+
+Folders that readers no longer see are removed by ``remove_unused``. One writer at a time.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from typing import Sequence
-from urllib.parse import quote, unquote
+from dataclasses import replace
+from typing import Callable, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
-from strata.operators.merge import conform, merge_frames
+from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
 from strata.schemas import ETL_INSERTED_COL, PARTITION_COL
-from strata.sinks import files
+from strata.sinks import files, release
+from strata.sinks.release import Commit, quoted
 
 VERSIONS = "_v"
+COMMIT = "commit"
+# characters that Spark escapes in partition folders (fixed values of its path format)
+ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
 
 def stamp(df: DataFrame, partition: str) -> DataFrame:
@@ -42,61 +54,205 @@ def stamp(df: DataFrame, partition: str) -> DataFrame:
     )
 
 
-def _describe(spark: SparkSession, statement: str) -> dict[str, str]:
-    """The rows of DESCRIBE; a partition's own entries come before those of its table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {statement}").collect()
-    return {r["col_name"]: r["data_type"] for r in reversed(rows)}
+def store_of(table: str) -> str:
+    return f"{table}_store"
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    return _describe(spark, table)["Location"]
+    """The folder of a table; of a released table, that of its store."""
+    found = release.find(spark, table)
+    return found.folder(table) if found else _catalog_location(spark, table)
+
+
+def _catalog_location(spark: SparkSession, table: str, part: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}").collect()
+    # a partition's own entries come before those of its table
+    return next(r["data_type"] for r in (rows if part else reversed(rows)) if r["col_name"] == "Location")
 
 
 def table_partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """Partition columns; of a released table without its commit column."""
+    if release.find(spark, table):
+        return [c.name for c in spark.catalog.listColumns(store_of(table)) if c.isPartition and c.name != COMMIT]
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def quoted(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def create_released_view(spark: SparkSession, database: str, name: str, columns: Sequence[str], column: str = PARTITION_COL) -> None:
+    """The view of a released table: the rows of its store that the release shows."""
+    listed = ", ".join(f"`{c}`" for c in columns)
+    number, floor, since = (release.of_release(database, name, part) for part in ("number", "floor", "since"))
+    spark.sql(
+        f"""CREATE OR REPLACE VIEW {database}.{name} AS
+            SELECT {listed} FROM {store_of(f"{database}.{name}")}
+            WHERE `{COMMIT}` > {floor} AND `{COMMIT}` <= {number}
+              AND `{COMMIT}` >= coalesce(try_element_at({since}, `{column}`), 0)"""
+    )
 
 
-def _root(location: str) -> str:
-    return location.split(f"/{VERSIONS}/")[0].rstrip("/")
+def released_rows(spark: SparkSession, table: str, commit: Commit) -> DataFrame:
+    """The rows of a released table under any of its commits, also one not released yet."""
+    store = spark.table(store_of(table))
+    *columns, column, _ = store.columns  # a store ends with its partition column and the commit
+    since = ", ".join(f"{quoted(p)}, {n}L" for p, n in sorted(commit.since.items()))
+    shown = f"`{COMMIT}` > {commit.floor} AND `{COMMIT}` <= {commit.number}"
+    if since:
+        shown += f" AND `{COMMIT}` >= coalesce(try_element_at(map({since}), `{column}`), 0)"
+    return store.where(shown).select(*[F.col(f"`{c}`") for c in (*columns, column)])
+
+
+def stored_parts(spark: SparkSession, store: str) -> list[dict[str, str]]:
+    """The partitions of a store, as the catalog lists them."""
+    rows = spark.sql(f"SHOW PARTITIONS {store}").collect()
+    return [{k: unquote(v) for k, v in (x.split("=", 1) for x in r[0].split("/"))} for r in rows]
+
+
+def part_spec(part: dict[str, str]) -> str:
+    return "PARTITION (" + ", ".join(f"`{k}` = {quoted(v)}" for k, v in part.items()) + ")"
+
+
+def drop_parts(spark: SparkSession, store: str, wanted: Callable[[dict[str, str]], bool], least_age: float = 0.0) -> list[dict[str, str]]:
+    """Drop the partitions of a store that ``wanted`` names and that are ``least_age`` seconds old, and their files."""
+    before, gone = time.time() - least_age, []
+    for part in filter(wanted, stored_parts(spark, store)):
+        location = _catalog_location(spark, store, part_spec(part))
+        if least_age <= 0 or files.modified(spark, location) <= before:
+            spark.sql(f"ALTER TABLE {store} DROP IF EXISTS {part_spec(part)}")
+            files.delete(spark, location)
+            gone.append(part)
+    if gone:
+        spark.catalog.refreshTable(store)
+    return gone
+
+
+def _cleared(spark: SparkSession, store: str, root: str, columns: Sequence[str], number: int) -> list[dict[str, str]]:
+    """The partitions of a store, after what a stopped write left of commit ``number`` went."""
+    stored = stored_parts(spark, store)
+    if any(int(part[COMMIT]) == number for part in stored):
+        drop_parts(spark, store, lambda part: int(part[COMMIT]) == number)
+    for left in files.listed(spark, "/".join([root, *(f"{c}=*" for c in columns), f"{COMMIT}={number}"])):
+        files.delete(spark, left)
+    return [part for part in stored if int(part[COMMIT]) != number]
+
+
+def _registered(spark: SparkSession, store: str, root: str, columns: Sequence[str], number: int) -> list[dict[str, str]]:
+    """Let the catalog know the written partitions of commit ``number``."""
+    names = [*columns, COMMIT]
+    found = files.listed(spark, "/".join([root, *(f"{c}=*" for c in columns), f"{COMMIT}={number}"]))
+    parts = [dict(zip(names, (unquote(x.split("=", 1)[1]) for x in f.rsplit("/", len(names))[1:]))) for f in found]
+    if parts:
+        spark.sql(f"ALTER TABLE {store} ADD IF NOT EXISTS {' '.join(map(part_spec, parts))}")
+    spark.catalog.refreshTable(store)
+    return parts
+
+
+def write_commit(
+    spark: SparkSession, store: str, root: str, rows: DataFrame, columns: Sequence[str], number: int
+) -> tuple[list[dict[str, str]], int]:
+    """Write ``rows`` as commit ``number`` of a store, in place of what a write that stopped may have left
+    of it; returns all partitions of the store, and the rows written. ``columns`` are the partition
+    columns before the commit."""
+    stored = _cleared(spark, store, root, columns, number)
+    counted = Observation()
+    written = rows.withColumn(COMMIT, F.lit(number).cast("long")).observe(counted, F.count(F.lit(1)).alias("rows"))
+    written.write.mode("append").partitionBy(*columns, COMMIT).parquet(root)
+    return stored + _registered(spark, store, root, columns, number), int(counted.get["rows"])
+
+
+def folder_name(column: str, value: str) -> str:
+    """``column=value`` as Spark writes it in paths."""
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in value)
+
+
+def _after(before: Commit, parts: list[dict[str, str]], column: str, touched: set[str]) -> Commit:
+    """The commit after ``touched`` partitions were written as the next number; ``parts`` are all of the store."""
+    number = before.number + 1
+    stored = [(part[column], int(part[COMMIT])) for part in parts]
+    since = before.since | {p: number for p in touched}
+    # only where older folders remain, or none was written
+    older = {p for p, n in stored if n < since.get(p, 0)}
+    commit = replace(before, number=number, since={p: n for p, n in since.items() if p in older})
+    return replace(commit, latest=max((p for p, n in stored if commit.shows(p, n)), default=None))
+
+
+def stage_partition(
+    spark: SparkSession, table: str, df: DataFrame, partition: str, base: Commit | None = None
+) -> tuple[Commit, int]:
+    """Write ``df`` as the rows of one partition of a released table; returns the commit that shows them, and their number.
+
+    ``df`` is projected onto the table's other columns (extra columns dropped, types cast).
+    ``base`` is the commit to go on from, by default the released one.
+    """
+    shown = _released(spark, table)
+    before = shown.commit(table) if base is None else base
+    *fields, of_column, _ = spark.table(store_of(table)).schema.fields
+    column = of_column.name
+    store, root, number = store_of(table), shown.folder(table), before.number + 1
+    parts = _cleared(spark, store, root, [column], number)
+    # one folder is known beforehand: written directly, the rows need no sort by partition
+    folder = f"{root}/{folder_name(column, partition)}/{COMMIT}={number}"
+    counted = Observation()
+    conform(df, T.StructType(fields)).observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    n = int(counted.get["rows"])
+    if not n:
+        files.delete(spark, folder)
+    return _after(before, parts + _registered(spark, store, root, [column], number), column, {partition}), n
+
+
+def _released(spark: SparkSession, table: str) -> release.Release:
+    found = release.find(spark, table)
+    if found is None:
+        raise ValueError(f"{table} is not released (strata.plans.ddl.create_released_table)")
+    return found
+
+
+def replace_partition(spark: SparkSession, table: str, df: DataFrame, partition: str) -> int:
+    """Replace exactly the rows of one partition of a released table; returns the rows written."""
+    commit, n = stage_partition(spark, table, df, partition)
+    release.publish_one(spark, table, commit)
+    return n
+
+
+def stage_upsert(
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+    base: Commit | None = None,
+) -> tuple[Commit, int]:
+    """Merge ``source`` into a released table on ``keys``; returns the commit that shows the result, and the source's rows.
+
+    Only the touched partitions are rewritten. They are the partitions of the source's rows
+    and, unless the partition column is a key, those that hold a row with one of its keys,
+    found by a scan of the key columns. An empty source leaves the commit as it is.
+    """
+    shown = _released(spark, table)
+    before = shown.commit(table) if base is None else base
+    target = released_rows(spark, table, before)
+    column = target.columns[-1]
+    staged = materialize(conform(source, target.schema))
+    found = staged.agg(F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("parts"), F.count(column).alias("known")).first()
+    if not found["rows"]:
+        return before, 0
+    if found["known"] < found["rows"]:
+        raise ValueError(f"rows without a value of {column!r} belong to no partition")
+    stats = key_stats(staged, keys)
+    touched = set(found["parts"])  # run partitions: as many as the catalog lists
+    if column not in keys:
+        key_set = staged.select(*keys).dropna().distinct()
+        key_set = F.broadcast(key_set) if broadcast_fits(stats[0], stats[1], broadcast_limit) else key_set
+        moved = target.select(column, *keys).join(key_set, list(keys), "left_semi").select(column).distinct()
+        touched |= {r[0] for r in moved.collect()}
+    base_rows = target.where(F.col(f"`{column}`").isin(*sorted(touched)))
+    merged = merge_frames(base_rows, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
+    parts, _ = write_commit(spark, store_of(table), shown.folder(table), merged, [column], before.number + 1)
+    return _after(before, parts, column, touched), int(found["rows"])
 
 
 def _fresh(root: str) -> str:
     return f"{root}/{VERSIONS}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def _spec(column: str, value: str) -> str:
-    return f"PARTITION (`{column}` = {quoted(value)})"
-
-
-def _point(spark: SparkSession, table: str, column: str, value: str, folder: str) -> None:
-    """Let the partition be the rows of ``folder`` (one catalog call either way)."""
-    known = spark.sql(f"SHOW PARTITIONS {table} {_spec(column, value)}").limit(1).collect()
-    if known:
-        spark.sql(f"ALTER TABLE {table} {_spec(column, value)} SET LOCATION {quoted(folder)}")
-    else:
-        spark.sql(f"ALTER TABLE {table} ADD {_spec(column, value)} LOCATION {quoted(folder)}")
-    spark.catalog.refreshTable(table)
-
-
-def replace_partition(
-    spark: SparkSession, table: str, df: DataFrame, partition: str, column: str = PARTITION_COL
-) -> int:
-    """Replace exactly the rows of ``table`` where ``column = partition``; returns the rows written.
-
-    ``df`` is projected onto the table's other columns (extra columns dropped, types
-    cast). The old rows stay visible until the new ones are written.
-    """
-    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name != column])
-    folder = f"{_fresh(_root(table_location(spark, table)))}/{column}={quote(partition, safe='')}"
-    conform(df, schema).write.mode("errorifexists").parquet(folder)
-    _point(spark, table, column, partition, folder)
-    return spark.read.schema(schema).parquet(folder).count()  # from the file footers
-
-
 def upsert_table(
     spark: SparkSession,
     table: str,
@@ -104,80 +260,53 @@ def upsert_table(
     keys: Sequence[str],
     broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
 ) -> int:
-    """Upsert ``source`` into ``table`` on ``keys``; returns the source's rows.
+    """Upsert ``source`` into a released table or one without partitions; returns the source's rows.
 
-    An empty source leaves the current snapshot.
+    An empty source leaves the current rows.
     """
+    if release.find(spark, table):
+        commit, n = stage_upsert(spark, table, source, keys, broadcast_limit)
+        if n:
+            release.publish_one(spark, table, commit)
+        return n
+    if table_partition_columns(spark, table):
+        raise ValueError(f"{table} has partitions but is not released (strata.plans.ddl.create_released_table)")
     target = spark.table(table)
     staged = materialize(conform(source, target.schema))
     rows = staged.count()
     if not rows:
         return 0
-    merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit)
-    snapshot = _fresh(_root(table_location(spark, table)))
-    parts = table_partition_columns(spark, table)
-    writer = merged.write.mode("errorifexists")
-    if not parts:
-        writer.parquet(snapshot)
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(snapshot)}")
-        spark.catalog.refreshTable(table)
-        return rows
-    # a partitioned table changes partition by partition, as the merge rewrote each of them
-    (column,) = parts
-    writer.partitionBy(column).parquet(snapshot)
-    for folder in files.listed(spark, f"{snapshot}/{column}=*"):
-        _point(spark, table, column, unquote(folder.rsplit("=", 1)[1]), folder)
+    snapshot = _fresh(table_location(spark, table).split(f"/{VERSIONS}/")[0].rstrip("/"))
+    merge_frames(target, staged, keys, broadcast_limit=broadcast_limit).write.mode("errorifexists").parquet(snapshot)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(snapshot)}")
+    spark.catalog.refreshTable(table)
     return rows
 
 
-def _committed(spark: SparkSession, folder: str) -> bool:
-    """Whether the job that wrote the folder (of a partition, or above it) has committed."""
-    return files.exists(spark, f"{folder}/_SUCCESS") or files.exists(spark, f"{folder.rsplit('/', 1)[0]}/_SUCCESS")
-
-
 def attach(spark: SparkSession, table: str) -> None:
-    """Point a table that was just created at the newest committed folders under its root."""
-    root = _root(table_location(spark, table))
-    parts = table_partition_columns(spark, table)
-    if not parts:
-        found = [f for f in files.listed(spark, f"{root}/{VERSIONS}/*") if files.exists(spark, f"{f}/_SUCCESS")]
-        if found:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(found[-1])}")
-        spark.catalog.refreshTable(table)
-        return
-    (column,) = parts
-    newest: dict[str, str] = {}
-    for folder in files.listed(spark, f"{root}/{VERSIONS}/*/{column}=*"):  # oldest first
-        if _committed(spark, folder):
-            newest[unquote(folder.rsplit("=", 1)[1])] = folder
-    if newest:
-        added = " ".join(f"{_spec(column, value)} LOCATION {quoted(folder)}" for value, folder in sorted(newest.items()))
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    """Point a table without partitions, just created, at the newest committed folder under its root."""
+    root = table_location(spark, table).split(f"/{VERSIONS}/")[0].rstrip("/")
+    found = [f for f in files.listed(spark, f"{root}/{VERSIONS}/*") if files.exists(spark, f"{f}/_SUCCESS")]
+    if found:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(found[-1])}")
     spark.catalog.refreshTable(table)
 
 
-def remove_unused(spark: SparkSession, table: str) -> int:
-    """Remove the version folders that the table does not point at; returns how many went.
+def remove_unused(spark: SparkSession, table: str, least_age: float = 0.0) -> int:
+    """Remove the folders that readers of a table do not see; returns how many went.
 
-    Not for use while a writer or a long-running reader of the table is at work.
+    Folders younger than ``least_age`` seconds stay. Not for use while a writer is at
+    work; readers that run longer than ``least_age`` may lose their files.
     """
-    root = _root(table_location(spark, table))
-    parts = table_partition_columns(spark, table)
-    removed = 0
-    if not parts:
-        used = _tail(table_location(spark, table))
-        for folder in files.listed(spark, f"{root}/{VERSIONS}/*"):
-            if _tail(folder) != used:
-                files.delete(spark, folder)
-                removed += 1
-        return removed
-    (column,) = parts
-    used = set()
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        value = unquote(row[0].split("=", 1)[1])
-        used.add(_tail(_describe(spark, f"{table} {_spec(column, value)}")["Location"]))
-    for folder in files.listed(spark, f"{root}/{VERSIONS}/*/{column}=*"):
-        if _tail(folder) not in used:
+    if found := release.find(spark, table):
+        commit, column = found.commit(table), spark.table(store_of(table)).columns[-2]
+        gone = drop_parts(spark, store_of(table), lambda part: not commit.shows(part[column], int(part[COMMIT])), least_age)
+        return len(gone)
+    location = table_location(spark, table)
+    root = location.split(f"/{VERSIONS}/")[0].rstrip("/")
+    used, before, removed = _tail(location), time.time() - least_age, 0
+    for folder in files.listed(spark, f"{root}/{VERSIONS}/*"):
+        if _tail(folder) != used and files.modified(spark, folder) <= before:
             files.delete(spark, folder)
             removed += 1
     return removed

@@ -149,7 +149,8 @@ def test_view_shows_newest_partition_and_empty_table(spark, db):
     assert [(r["state_id"], r["num_orders"]) for r in rows] == [("CA", 7)]
     assert spark.table(view).columns == ["state_id", "delivery_date", "num_orders"]
     plan = spark.table(view)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(partition" in plan and "Subquery" in plan
+    filters = plan.split("PartitionFilters: [")[1]
+    assert "isnotnull(partition" in filters and "Subquery" in plan
 
 
 def test_drop_all_removes_databases(spark, scratch_dir):

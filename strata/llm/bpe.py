@@ -25,6 +25,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ NO_RANK = np.iinfo(np.int64).max
 WHITE = r"\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 BLOCK_CHARS = 1 << 20
 MEMO_WORDS = 300_000
+LONG_WORD = 128  # bytes from which a heap finds the next merge faster than a scan
 _block_end = regex.compile(r"[\t-\r ]")
 
 
@@ -173,6 +175,8 @@ class WordBpe:
         last = self.final if self.suffix else self.inner
         size, rank_of, made = self.size, self.pair_rank.get, self.made
         parts = [*map(self.byte_token.__getitem__, word[:-1]), last[word[-1:]]]
+        if len(parts) > LONG_WORD:
+            return self._merge_long(parts)
         ranks = [rank_of(a * size + b, NO_RANK) for a, b in zip(parts, parts[1:])]
         while ranks:
             lowest = min(ranks)
@@ -187,6 +191,33 @@ class WordBpe:
                 ranks[k] = rank_of(token * size + parts[k + 1], NO_RANK)
         return parts
 
+    def _merge_long(self, parts: list[int]) -> list[int]:
+        """The same merging with a heap of (rank, position) over a linked list: n log n steps."""
+        n, size, rank_of, made = len(parts), self.size, self.pair_rank.get, self.made
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        ranks = [rank_of(a * size + b, NO_RANK) for a, b in zip(parts, parts[1:])] + [NO_RANK]
+        heap = [(r, k) for k, r in enumerate(ranks) if r != NO_RANK]
+        heapify(heap)
+        while heap:
+            lowest, k = heappop(heap)
+            if ranks[k] != lowest:
+                continue  # its pair has changed since
+            parts[k] = token = made[lowest]
+            gone = after[k]
+            after[k] = follows = after[gone]
+            parts[gone], ranks[gone], ranks[k] = -1, NO_RANK, NO_RANK
+            if follows < n:
+                before[follows] = k
+                ranks[k] = rank_of(token * size + parts[follows], NO_RANK)
+                if ranks[k] != NO_RANK:
+                    heappush(heap, (ranks[k], k))
+            j = before[k]
+            if j >= 0:
+                ranks[j] = rank_of(parts[j] * size + token, NO_RANK)
+                if ranks[j] != NO_RANK:
+                    heappush(heap, (ranks[j], j))
+        return [token for token in parts if token >= 0]
+
     def encode_words(self, words: list[str]) -> None:
         """Encode new words into ``word_memo``: speculate, verify all pairs at once, repair."""
         _make_room(self.word_memo, len(words))

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -74,3 +75,20 @@ def test_edge_rows(spark):
     both = bpe.encode(clashing(edge_docs(spark)), path, decoded_col="decoded").collect()
     assert sorted(map(str, both)) == sorted(map(str, found))
     assert bpe.encode(empty_docs(spark), path).count() == 0
+
+
+def test_long_unbroken_words_match_the_library_in_linear_time(library, model):
+    rng = random.Random(7)
+    seconds = []
+    for n in (50_000, 200_000):
+        word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+        started = time.process_time()
+        (packed,) = model.encode_all([word])
+        seconds.append(time.process_time() - started)
+        assert ids_of(packed) == library.encode(word, add_special_tokens=False).ids
+    assert seconds[1] < 12 * seconds[0] + 1  # four times the letters
+    for n in (100, 127, 128, 129, 130, 500):  # both ways of finding the next merge
+        for letters in ("ab", "aeiourst", "é日a"):
+            word = "".join(rng.choice(letters) for _ in range(n))
+            (packed,) = model.encode_all([word])
+            assert ids_of(packed) == library.encode(word, add_special_tokens=False).ids

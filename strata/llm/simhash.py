@@ -4,8 +4,10 @@
    hashes of its word shingles.
 2. Rows fold to distinct fingerprints, so thousands of exact copies are one row.
 3. Two fingerprints within ``max_bits`` agree on at least one of ``max_bits + 1`` bit
-   blocks, so fingerprints are dealt to cells by (block, value). Cells far above the
-   mean (a group of near copies) are split into sub-cells that are joined in pairs.
+   blocks, so fingerprints are dealt to cells by (block, value of some of its bits): as many
+   bits as leave about ``cell_rows`` fingerprints to a cell, none for a small table. Cells
+   far above the mean (a group of near copies) are split into sub-cells that are joined in
+   pairs.
 4. In each cell a binary trie over the sorted fingerprints is joined with itself: node
    pairs descend together, differing branch bits add up, and a pair is dropped as soon
    as its bits exceed the budget. Linked fingerprints leave the cell as (fingerprint,
@@ -34,7 +36,8 @@ from strata.llm.common import pick, ship, staged, star_components, unique_name,
 from strata.operators.materialize import materialize
 
 BITS = 64
-ROUTE_BITS = 13  # at most so many leading bits of a block route, so there are few cells
+ROUTE_BITS = 13  # at most so many bits of a block route, so there are few cells
+CELL_ROWS = 8192  # cells hold about half as many to as many fingerprints, and the trie prunes inside them
 SEED = 42
 
 
@@ -98,25 +101,35 @@ def _merge(labels: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 
 def trie_links(
-    keys: np.ndarray, roots: list[tuple[int, int, int, int]], budget: int, leaf: int = 64, width: int = 100_000
+    keys: np.ndarray,
+    roots: list[tuple[int, int, int, int]],
+    budget: int,
+    leaf: int = 16,
+    width: int = 100_000,
+    counts: dict[str, int] | None = None,
 ) -> np.ndarray:
     """Component labels (smallest index) of keys linked within ``budget`` bits.
 
     ``keys`` are unsigned and sorted inside every range; ``roots`` holds the node pairs
     (lo, hi, lo, hi) to join: a range with itself, or two ranges with each other. Node
     pairs of small ranges are compared directly; at most about ``width`` node pairs of
-    one level are held at a time.
+    one level are held at a time. ``counts`` gets the node pairs that were ``descended`` or
+    ``pruned`` by the budget, and the key pairs ``compared``.
     """
+    counts = {} if counts is None else counts
     labels = np.arange(len(keys))
     start = np.array(roots, np.int64).reshape(-1, 4)
     same = (start[:, 0] == start[:, 2]) & (start[:, 1] == start[:, 3])
     stack = [(BITS - 1, *start.T, np.zeros(len(start), np.int64), same)]
     while stack:
         bit, alo, ahi, blo, bhi, diff, same = stack.pop()
-        keep = (ahi > alo) & (bhi > blo) & (diff <= budget) & ~(same & (ahi - alo < 2))
+        full = (ahi > alo) & (bhi > blo)
+        counts["pruned"] = counts.get("pruned", 0) + int((full & (diff > budget)).sum())
+        keep = full & (diff <= budget) & ~(same & (ahi - alo < 2))
         alo, ahi, blo, bhi, diff, same = (x[keep] for x in (alo, ahi, blo, bhi, diff, same))
         small = ((ahi - alo) * (bhi - blo) <= leaf) | (bit < 0)
         if small.any():
+            counts["compared"] = counts.get("compared", 0) + int(((ahi - alo) * (bhi - blo))[small].sum())
             _compare(keys, labels, alo[small], ahi[small], blo[small], bhi[small], budget)
             alo, ahi, blo, bhi, diff, same = (x[~small] for x in (alo, ahi, blo, bhi, diff, same))
         if not len(alo):
@@ -125,6 +138,7 @@ def trie_links(
             half = len(alo) // 2
             stack += [(bit, *(x[part] for x in (alo, ahi, blo, bhi, diff, same))) for part in (slice(half), slice(half, None))]
             continue
+        counts["descended"] = counts.get("descended", 0) + len(alo)
         ones = np.concatenate([[0], np.cumsum((keys >> np.uint64(bit)) & np.uint64(1), dtype=np.int64)])
         amid, bmid = ahi - (ones[ahi] - ones[alo]), bhi - (ones[bhi] - ones[blo])
         cross = ~same  # a node with itself has one mixed child pair, two nodes have two
@@ -209,7 +223,12 @@ def _is_split(cell: np.ndarray) -> np.ndarray:
     return ((cell >> _SUB) & mask) != (cell & mask)
 
 
-def fingerprint_links(prints: DataFrame, max_bits: int = 4, cell_rows: int = 1024, cell_factor: int = 4) -> DataFrame:
+def route_bits(n: int, cell_rows: int) -> int:
+    """Bits of a block that leave ``n`` fingerprints in cells of at most about ``cell_rows``."""
+    return min(ROUTE_BITS, max(0, (max(n, 1) - 1) // cell_rows).bit_length())
+
+
+def fingerprint_links(prints: DataFrame, max_bits: int = 4, cell_rows: int = CELL_ROWS, cell_factor: int = 4) -> DataFrame:
     """Links (u, v) that connect exactly the fingerprints (column fp, distinct) within ``max_bits``.
 
     A cell of more than max(``cell_rows``, ``cell_factor`` times the mean) rows is split
@@ -218,13 +237,16 @@ def fingerprint_links(prints: DataFrame, max_bits: int = 4, cell_rows: int = 102
     blocks = max_bits + 1
     if not 0 <= max_bits < BITS:
         raise ValueError("max_bits must be from 0 to 63")
+    bits = route_bits(prints.count(), cell_rows)
     edges = [BITS * k // blocks for k in range(blocks + 1)]
+    # without routing bits, the cells of all blocks would be the same
+    used = list(enumerate(zip(edges, edges[1:])))[: blocks if bits else 1]
     route = F.array(
         *(
             F.struct(
-                (F.lit(k << ROUTE_BITS) + F.shiftrightunsigned("fp", lo).bitwiseAND((1 << min(hi - lo, ROUTE_BITS)) - 1)).alias("key")
+                (F.lit(k << ROUTE_BITS) + F.shiftrightunsigned("fp", lo).bitwiseAND((1 << min(hi - lo, bits)) - 1)).alias("key")
             )
-            for k, (lo, hi) in enumerate(zip(edges, edges[1:]))
+            for k, (lo, hi) in used
         )
     )
     dealt = prints.select("fp", F.explode(route).alias("r")).select("fp", F.col("r.key").alias("key"))
@@ -257,7 +279,7 @@ def near_duplicates(
     text_col: str = "text",
     shingle: int = 4,
     max_bits: int = 4,
-    cell_rows: int = 1024,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """One row per document: id, text_hash, ``fp``, ``root`` and ``component_id``, the smallest id reachable."""
     prints = staged(fingerprints(docs, id_col, text_col, shingle))

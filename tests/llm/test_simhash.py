@@ -95,3 +95,20 @@ def test_one_row_of_each_group_stays(spark):
     assert len(kept) == 6
     assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
     assert simhash.keep_one(empty_docs(spark)).count() == 0
+
+
+def test_the_trie_prunes_in_the_cells_of_the_given_table(spark):
+    prints = simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    keys = np.unique(np.array([r.fp for r in prints.select("fp").collect()], np.int64).view(np.uint64))
+    assert simhash.route_bits(len(keys), simhash.CELL_ROWS) == 1  # two cells a block
+    counts = {}
+    labels = simhash.trie_links(keys, [(0, len(keys), 0, len(keys))], 4, counts=counts)
+    assert labels.tolist() == brute_components(keys.tolist(), list(range(len(keys))), 4)
+    assert counts["descended"] > 100_000 and counts["pruned"] > 100_000
+    assert counts["compared"] < 0.4 * len(keys) ** 2 / 2
+
+
+def test_cells_keep_their_size_as_the_table_grows():
+    for n in (10_000, 200_000, 5_000_000, 60_000_000):
+        assert 4000 < n / 2 ** simhash.route_bits(n, 8192) <= 8192
+    assert [simhash.route_bits(n, 1024) for n in (0, 1, 1024, 1025, 10**12)] == [0, 0, 0, 1, 13]

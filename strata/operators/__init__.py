@@ -1,6 +1,7 @@
 """DataFrame operators: SCD2, upsert, fact, mart, quality gate, bounded broadcast."""
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded, footprint
+from strata.operators.colocated import balanced
 from strata.operators.fact import build_fact
 from strata.operators.mart import build_mart, latest_partition
 from strata.operators.materialize import materialize
@@ -28,6 +29,7 @@ __all__ = [
     "apply_scd2",
     "assert_quality",
     "assert_reconciled",
+    "balanced",
     "broadcast_if_bounded",
     "build_fact",
     "build_mart",

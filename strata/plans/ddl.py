@@ -14,6 +14,7 @@ and purged alone; a database goes when its last object has gone.
 from __future__ import annotations
 
 import argparse
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -38,6 +39,22 @@ DIMENSION_VIEW = "dim_customer"
 VIEW = "sales_mart"
 AUDIT = "run_metadata"
 
+ORDER_KEY = "customer_id"
+
+
+class JoinKey(NamedTuple):
+    """The column that a store's files are clustered by, the number of buckets (0: none), and the order in a file."""
+
+    column: str
+    buckets: int
+    order: str = ""
+
+    @property
+    def sort(self) -> str:
+        # by the key itself, rows without one fill row groups of their own, which a join's filter skips
+        return self.order or self.column
+
+
 LAYERS: dict[str, dict[str, T.StructType]] = {
     "bronze": {"customer": CUSTOMER_TABLE, "orders": ORDERS_TABLE},
     "silver": {DIMENSION_VIEW: DIM_CUSTOMER, "fct_orders": FCT_ORDERS},
@@ -50,7 +67,12 @@ def create_database(spark: SparkSession, database: str) -> None:
 
 
 def create_table(
-    spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: tuple[str, ...] = (PARTITION_COL,)
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    location: str,
+    partition_by: tuple[str, ...] = (PARTITION_COL,),
+    clustered: str = "",
 ) -> bool:
     """Create ``table`` unless it exists; returns whether it did. The folder is made if need be."""
     if spark.catalog.tableExists(table):
@@ -58,49 +80,84 @@ def create_table(
     files.make_folder(spark, location)
     columns = ", ".join(f"`{c}`" for c in partition_by)
     partitioned = f"PARTITIONED BY ({columns})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {table} ({ddl_columns(schema)}) USING PARQUET {partitioned} LOCATION {quoted(location)}")
+    spark.sql(f"CREATE TABLE {table} ({ddl_columns(schema)}) USING PARQUET {partitioned} {clustered} LOCATION {quoted(location)}")
     return True
 
 
-def _create_store(spark: SparkSession, table: str, schema: T.StructType, location: str, partition_by: dict[str, T.DataType]) -> None:
-    """The store of a released table: its columns and the partition columns, the last of them the commit."""
+def _create_store(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    path: str,
+    partition_by: dict[str, T.DataType],
+    join: JoinKey | None = None,
+) -> int:
+    """The store of a released table: its columns and the partition columns, the last of them the commit.
+
+    Returns its number of join buckets: that of the files under ``path`` if a release names
+    them, else that of ``join``, for new files.
+    """
+    name = table.rsplit(".", 1)[1]
+    location, known = f"{path.rstrip('/')}/{name}", release.last_marked(spark, path).tables.get(name)
+    buckets = known.join_buckets if known else join.buckets if join else 0
+    clustered = f"CLUSTERED BY (`{join.column}`) SORTED BY (`{join.sort}`) INTO {buckets} BUCKETS" if join and buckets else ""
     columns = [f for f in schema.fields if f.name not in partition_by]
     columns += [T.StructField(c, kind) for c, kind in (partition_by | {COMMIT: T.LongType()}).items()]
-    if create_table(spark, store_of(table), T.StructType(columns), location, (*partition_by, COMMIT)):
+    if create_table(spark, store_of(table), T.StructType(columns), location, (*partition_by, COMMIT), clustered):
         if files.listed(spark, f"{location}/*=*"):
             spark.sql(f"ALTER TABLE {store_of(table)} RECOVER PARTITIONS")
+    return buckets
 
 
 def create_released_table(
-    spark: SparkSession, database: str, name: str, schema: T.StructType, path: str, column: str = PARTITION_COL
+    spark: SparkSession,
+    database: str,
+    name: str,
+    schema: T.StructType,
+    path: str,
+    column: str = PARTITION_COL,
+    join: JoinKey | None = None,
 ) -> None:
-    """A table partitioned by ``column``, one of its string columns (it comes last), whose commits the database's release shows."""
+    """A table partitioned by ``column``, one of its string columns (it comes last), whose commits the database's release shows.
+
+    With ``join`` its files are clustered by a join key.
+    """
     create_database(spark, database)
-    _create_store(spark, f"{database}.{name}", schema, f"{path.rstrip('/')}/{name}", {column: schema[column].dataType})
-    release.open_release(spark, database, path, {name: Commit()})
+    buckets = _create_store(spark, f"{database}.{name}", schema, path, {column: schema[column].dataType}, join)
+    release.open_release(spark, database, path, {name: Commit(join_buckets=buckets)})
     if not spark.catalog.tableExists(f"{database}.{name}"):
         create_released_view(spark, database, name, [*(c for c in schema.fieldNames() if c != column), column], column)
 
 
-def create_dimension(spark: SparkSession, database: str, name: str, path: str, buckets: int = BUCKETS) -> None:
-    """The SCD2 dimension with its active rows in ``buckets`` buckets (about a million rows each are a good size)."""
+def create_dimension(
+    spark: SparkSession, database: str, name: str, path: str, buckets: int = BUCKETS, join_buckets: int = 0
+) -> None:
+    """The SCD2 dimension with its active rows in ``buckets`` buckets (about a million rows each are a good size).
+
+    With ``join_buckets`` it has that many buckets instead, and its files are clustered by id, too.
+    """
     create_database(spark, database)
     kinds = {PART: T.StringType(), BUCKET: T.IntegerType()}
-    _create_store(spark, f"{database}.{name}", DIM_CUSTOMER, f"{path.rstrip('/')}/{name}", kinds)
-    release.open_release(spark, database, path, {name: Commit(live=(0,) * buckets)})
+    # sorted by valid_from, the ranges of history files are narrow for the collision check
+    join_buckets = _create_store(spark, f"{database}.{name}", DIM_CUSTOMER, path, kinds, JoinKey("id", join_buckets, "valid_from"))
+    live = (0,) * (join_buckets or buckets)
+    release.open_release(spark, database, path, {name: Commit(live=live, join_buckets=join_buckets)})
     tables = DimensionTables.of(database, name)
     if not spark.catalog.tableExists(tables.view):
         create_dimension_view(spark, tables)
 
 
-def create_bronze_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
+def create_bronze_tables(spark: SparkSession, path: str, database: str = DATABASE, join_buckets: int = 0) -> None:
     for name, schema in LAYERS["bronze"].items():
-        create_released_table(spark, database, name, schema, path)
+        join = JoinKey(ORDER_KEY, join_buckets) if ORDER_KEY in schema.fieldNames() else None
+        create_released_table(spark, database, name, schema, path, join=join)
 
 
-def create_silver_tables(spark: SparkSession, path: str, database: str = DATABASE, buckets: int = BUCKETS) -> None:
-    create_dimension(spark, database, DIMENSION_VIEW, path, buckets)
-    create_released_table(spark, database, "fct_orders", FCT_ORDERS, path)
+def create_silver_tables(
+    spark: SparkSession, path: str, database: str = DATABASE, buckets: int = BUCKETS, join_buckets: int = 0
+) -> None:
+    create_dimension(spark, database, DIMENSION_VIEW, path, buckets, join_buckets)
+    create_released_table(spark, database, "fct_orders", FCT_ORDERS, path, join=JoinKey(ORDER_KEY, join_buckets))
 
 
 def create_gold_tables(spark: SparkSession, path: str, database: str = DATABASE) -> None:
@@ -144,9 +201,12 @@ def create_audit_table(spark: SparkSession, path: str, database: str = DATABASE,
     return f"{database}.{name}"
 
 
-def create_all(spark: SparkSession, path: str, database: str = DATABASE, bi_database: str = BI_DATABASE) -> None:
-    create_bronze_tables(spark, path, database)
-    create_silver_tables(spark, path, database)
+def create_all(
+    spark: SparkSession, path: str, database: str = DATABASE, bi_database: str = BI_DATABASE, join_buckets: int = 0
+) -> None:
+    """All layers. With ``join_buckets`` orders, fact and dimension are clustered by customer in that many buckets."""
+    create_bronze_tables(spark, path, database, join_buckets)
+    create_silver_tables(spark, path, database, join_buckets=join_buckets)
     create_gold_tables(spark, path, database)
     _create_missing_interface(spark, bi_database, database)
 
@@ -204,6 +264,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     parser.add_argument("--layer", choices=[*layers, "all"], default="all")
     parser.add_argument("--database", default=DATABASE)
     parser.add_argument("--bi-database", default=BI_DATABASE)
+    parser.add_argument("--join-buckets", type=int, default=0, help="buckets of orders, fact and dimension by customer")
     args = parser.parse_args(argv)
     if args.action != "drop" and not args.path:
         parser.error("--path is needed")
@@ -213,8 +274,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         spark = build_session(app_name="strata-ddl")
     chosen = layers if args.layer == "all" else [args.layer]
     create = {
-        "bronze": lambda: create_bronze_tables(spark, args.path, args.database),
-        "silver": lambda: create_silver_tables(spark, args.path, args.database),
+        "bronze": lambda: create_bronze_tables(spark, args.path, args.database, args.join_buckets),
+        "silver": lambda: create_silver_tables(spark, args.path, args.database, join_buckets=args.join_buckets),
         "gold": lambda: create_gold_tables(spark, args.path, args.database),
         "interface": lambda: _create_missing_interface(spark, args.bi_database, args.database),
         "audit": lambda: create_audit_table(spark, args.path, args.database),

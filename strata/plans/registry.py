@@ -98,25 +98,28 @@ def _held_back_dim(spark: SparkSession, sf: str) -> DataFrame:
     return _memo(spark, sf, "held_back_dim", build)
 
 
-def _warehouse(spark: SparkSession, sf: str) -> dict[str, str]:
-    """Two ETL runs over the fixture batches, published to scratch tables."""
+def _warehouse(spark: SparkSession, sf: str, join_buckets: int = 0) -> dict[str, str]:
+    """Two ETL runs over the fixture batches, published to scratch tables.
+
+    With ``join_buckets`` the tables are clustered by customer, and nothing is broadcast."""
 
     def build():
         base = scratch_path(spark, "warehouse")
         db = f"strata_{uuid.uuid4().hex[:10]}"
         bi = f"{db}_bi"
-        create_all(spark, base, db, bi)
+        create_all(spark, base, db, bi, join_buckets)
+        options = {"broadcast_limit": 0} if join_buckets else {}
         audit = RunAudit(spark, create_audit_table(spark, base, db))
 
         def source(version):
             return lambda s, ctx: (customer_batch(s, sf, version), orders_batch(s, sf))
 
         for version, partition in ((1, RUN1), (2, RUN2)):
-            etl = SalesMartETL(spark, db, audit=audit, bronze_source=source(version), bi_database=bi)
+            etl = SalesMartETL(spark, db, audit=audit, bronze_source=source(version), bi_database=bi, **options)
             etl.run(partition, run_id=f"run-{version}")
         return {"db": db, "bi": bi, "audit": audit.table, "path": base}
 
-    return _memo(spark, sf, "warehouse", build)
+    return _memo(spark, sf, f"warehouse-{join_buckets}", build)
 
 
 def _customer_table(spark: SparkSession) -> str:
@@ -297,6 +300,16 @@ def q_sales_mart_table(spark, sf):
     return spark.table(f"{_warehouse(spark, sf)['db']}.sales_mart").drop(ETL_INSERTED_COL)
 
 
+def q_fct_orders_clustered(spark, sf):
+    """The fact of two runs over tables in 8 buckets by customer, joined bucket by bucket."""
+    return spark.table(f"{_warehouse(spark, sf, 8)['db']}.fct_orders").drop(ETL_INSERTED_COL)
+
+
+def q_sales_mart_clustered(spark, sf):
+    """The mart of those runs."""
+    return spark.table(f"{_warehouse(spark, sf, 8)['db']}.sales_mart").drop(ETL_INSERTED_COL)
+
+
 def q_latest_mart(spark, sf):
     return spark.table(f"{_warehouse(spark, sf)['bi']}.sales_mart")
 
@@ -388,6 +401,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_scan": q_dim_scan,
     "fct_orders_table": q_fct_orders_table,
     "sales_mart_table": q_sales_mart_table,
+    "fct_orders_clustered": q_fct_orders_clustered,
+    "sales_mart_clustered": q_sales_mart_clustered,
     "latest_mart": q_latest_mart,
     "max_partition": q_max_partition,
     "partition_list": q_partition_list,
@@ -611,6 +626,13 @@ union all select 'unknown_keys', {_bigint('count(*)')} from fcth
         f"select *, '{RUN1}' as \"partition\" from mart1 union all select *, '{RUN2}' from mart2",
         "mart1", "mart2",
     ),
+    "fct_orders_clustered": _with(
+        f"select *, '{RUN1}' as \"partition\" from fct1 union all select *, '{RUN2}' from fct2", "fct1", "fct2"
+    ),
+    "sales_mart_clustered": _with(
+        f"select *, '{RUN1}' as \"partition\" from mart1 union all select *, '{RUN2}' from mart2",
+        "mart1", "mart2",
+    ),
     "latest_mart": _with("select state_id, deliver_date delivery_date, num_orders from mart2", "mart2"),
     "max_partition": _with(
         f"""select max(p) max_partition

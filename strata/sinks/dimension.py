@@ -84,9 +84,13 @@ def show_commit(spark: SparkSession, tables: DimensionTables, commit: Commit) ->
 
 
 def bucket_of(buckets: int, key: str = "id") -> Column:
-    """The bucket of an id; rows without one spread by their other columns, as nothing ever matches them."""
+    """The bucket of an id; rows without one spread by their other columns, as nothing ever matches them.
+
+    It is the hash by which Spark places rows in a table clustered by the id, so that a dimension with join
+    buckets has one of them per folder.
+    """
     other = F.xxhash64("first_name", "last_name", "state_id", "datetime_created", "datetime_updated")
-    return F.pmod(F.coalesce(F.when(F.col(key).isNotNull(), F.xxhash64(key)), other), F.lit(buckets)).cast("int")
+    return F.pmod(F.coalesce(F.when(F.col(key).isNotNull(), F.hash(key).cast("long")), other), F.lit(buckets)).cast("int")
 
 
 def active_rows(spark: SparkSession, tables: DimensionTables, commit: Commit | None = None, only: set[int] | None = None) -> DataFrame:

@@ -39,6 +39,7 @@ class Commit:
     written again, the commit of their present rows (a partition without rows is there
     alone); ``live`` the same per bucket, for bucketed tables. ``latest`` is the greatest
     partition that has rows, ``epochs`` the last published epoch of each stream.
+    ``join_buckets`` is the number of buckets by join key that its files are written in, 0 for none.
     """
 
     number: int = 0
@@ -47,6 +48,7 @@ class Commit:
     live: tuple[int, ...] = ()
     latest: str | None = None
     epochs: dict[str, int] = field(default_factory=dict)
+    join_buckets: int = 0
 
     @classmethod
     def of(cls, values: dict) -> "Commit":
@@ -64,7 +66,8 @@ class Commit:
         return (
             f"named_struct('number', {self.number}L, 'floor', {self.floor}L, 'since', {numbers(self.since)}, "
             f"'live', CAST(array({', '.join(f'{n}L' for n in self.live)}) AS array<bigint>), "
-            f"'latest', CAST({latest} AS string), 'epochs', {numbers(self.epochs)})"
+            f"'latest', CAST({latest} AS string), 'epochs', {numbers(self.epochs)}, "
+            f"'join_buckets', {self.join_buckets})"
         )
 
 

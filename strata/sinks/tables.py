@@ -19,6 +19,11 @@ leaves readers with the old rows, and folders that the next write of that number
 one catalog call points the table. Tokens sort by time and a folder whose job committed
 holds ``_SUCCESS``, so a table created again finds its newest folder (``attach``).
 
+A store may be **clustered** by a join key (``create_released_table(..., join_key, join_buckets)``): its files
+are written in as many buckets, and joins and aggregates on that key read them without a
+shuffle. The table's commit holds the number, so a store created again reads its files as
+they were written.
+
 Folders that readers no longer see are removed by ``remove_unused``. One writer at a time.
 """
 
@@ -43,6 +48,7 @@ from strata.sinks.release import Commit, quoted
 
 VERSIONS = "_v"
 COMMIT = "commit"
+_GATHERED = "_strata_join_bucket"
 # characters that Spark escapes in partition folders (fixed values of its path format)
 ESCAPED = "\"#%'*/:=?\\\x7f{[]^"
 
@@ -89,6 +95,27 @@ def create_released_view(spark: SparkSession, database: str, name: str, columns:
     )
 
 
+def join_key(spark: SparkSession, table: str) -> tuple[str, int] | None:
+    """The column by which the store of a released table is clustered, and its number of buckets."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {store_of(table)}").collect()}
+    if int(described.get("Num Buckets", 0)) == 0:
+        return None
+    return described["Bucket Columns"].strip("[]`"), int(described["Num Buckets"])
+
+
+def join_buckets(spark: SparkSession, *tables: str) -> int:
+    """The number of join buckets that all these released tables share; 0 when one has none or another number."""
+    found = {(join_key(spark, table) or ("", 0))[1] for table in tables}
+    return found.pop() if len(found) == 1 else 0
+
+
+def gathered(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows moved so that a task writes few buckets; a bucket that is far larger than others, for example
+    the one of rows without a key, is split over tasks."""
+    placed = rows.withColumn(_GATHERED, F.pmod(F.hash(key), F.lit(buckets)))
+    return placed.hint("rebalance", F.col(_GATHERED)).drop(_GATHERED)
+
+
 def released_rows(spark: SparkSession, table: str, commit: Commit) -> DataFrame:
     """The rows of a released table under any of its commits, also one not released yet."""
     store = spark.table(store_of(table))
@@ -154,7 +181,12 @@ def write_commit(
     stored = _cleared(spark, store, root, columns, number)
     counted = Observation()
     written = rows.withColumn(COMMIT, F.lit(number).cast("long")).observe(counted, F.count(F.lit(1)).alias("rows"))
-    written.write.mode("append").partitionBy(*columns, COMMIT).parquet(root)
+    described = spark.catalog.listColumns(store)
+    if any(c.isBucket for c in described):
+        # by way of the catalog, which knows the buckets; it takes columns by position
+        written.select(*[F.col(f"`{c.name}`") for c in described]).write.mode("append").insertInto(store)
+    else:
+        written.write.mode("append").partitionBy(*columns, COMMIT).parquet(root)
     return stored + _registered(spark, store, root, columns, number), int(counted.get["rows"])
 
 
@@ -175,18 +207,24 @@ def _after(before: Commit, parts: list[dict[str, str]], column: str, touched: se
 
 
 def stage_partition(
-    spark: SparkSession, table: str, df: DataFrame, partition: str, base: Commit | None = None
+    spark: SparkSession, table: str, df: DataFrame, partition: str, base: Commit | None = None, placed: bool = False
 ) -> tuple[Commit, int]:
     """Write ``df`` as the rows of one partition of a released table; returns the commit that shows them, and their number.
 
     ``df`` is projected onto the table's other columns (extra columns dropped, types cast).
-    ``base`` is the commit to go on from, by default the released one.
+    ``base`` is the commit to go on from, by default the released one. Rows for a clustered
+    store are gathered by bucket first, unless they are ``placed``: come from a join on its key.
     """
     shown = _released(spark, table)
     before = shown.commit(table) if base is None else base
     *fields, of_column, _ = spark.table(store_of(table)).schema.fields
     column = of_column.name
     store, root, number = store_of(table), shown.folder(table), before.number + 1
+    if clustered := join_key(spark, table):
+        rows = conform(df, T.StructType(fields))
+        rows = rows if placed else gathered(rows, *clustered)
+        parts, n = write_commit(spark, store, root, rows.withColumn(column, F.lit(partition)), [column], number)
+        return _after(before, parts, column, {partition}), n
     parts = _cleared(spark, store, root, [column], number)
     # one folder is known beforehand: written directly, the rows need no sort by partition
     folder = f"{root}/{folder_name(column, partition)}/{COMMIT}={number}"

@@ -16,19 +16,28 @@ Two physical paths, chosen from a measured size:
   twice on the keys: target left join source (replaced or kept rows) and source anti
   join target (inserted rows). AQE can split the left side of both, so a hot key is
   spread over tasks; it cannot split a full outer join.
+
+Scans that only look for rows with one of the source's keys carry those keys as a filter
+(``key_filter``): the values themselves when they are few, else their range. Parquet drops
+row groups by it, so over files sorted by key, or with Bloom filters on it, few are read.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.keys import key_condition
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 
 _HITS = "_strata_hits"
+FEW_KEYS = 100  # source keys that are pushed to the scan one by one
+_PUSHED = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
 
 
 class MergeConflict(ValueError):
@@ -70,6 +79,27 @@ def key_stats(source: DataFrame, keys: Sequence[str]) -> tuple[int, int, int]:
     return int(row["keys"]), int(row["bytes"]), int(row["max_n"])
 
 
+def key_filter(source: DataFrame, keys: Sequence[str], n_keys: int) -> Column | None:
+    """A condition that every row with a key of ``source`` fulfils, for the scan; None when there is nothing to push.
+
+    ``n_keys`` is the number of distinct keys (``key_stats``). Up to ``FEW_KEYS`` of them the condition
+    lists each column's values, as equalities, since Parquet asks Bloom filters only for those;
+    beyond, it is each column's range.
+    """
+    pushed = [k for k in keys if isinstance(source.schema[k].dataType, _PUSHED)]
+    if not pushed or not n_keys:
+        return None
+    usable = source.where(_non_null(keys))
+    if n_keys <= FEW_KEYS:
+        found = usable.select(*pushed).distinct().collect()  # at most FEW_KEYS rows
+        by_column = ((k, sorted({row[k] for row in found})) for k in pushed)
+        listed = [reduce(Column.__or__, [F.col(f"`{k}`") == F.lit(v) for v in values]) for k, values in by_column]
+    else:
+        bounds = usable.agg(*[f(k).alias(f"{name}_{k}") for k in pushed for name, f in (("low", F.min), ("high", F.max))]).first()
+        listed = [F.col(f"`{k}`").between(F.lit(bounds[f"low_{k}"]), F.lit(bounds[f"high_{k}"])) for k in pushed]
+    return reduce(Column.__and__, listed)
+
+
 def broadcast_fits(n_keys: int, key_bytes: int, limit: int) -> bool:
     """The key set and the per-key hit counts (key + 8-byte count) fit the limit."""
     return 0 < limit and key_bytes + 16 * n_keys <= limit
@@ -122,7 +152,9 @@ def merge_frames(
     if small:
         key_set = F.broadcast(src.where(_non_null(keys)).select(*keys).distinct())
         kept = target.join(key_set, keys, "left_anti").select(*cols)
-        hits = target.join(key_set, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS))
+        pushed = key_filter(src, keys, n_keys)
+        near = target if pushed is None else target.where(pushed)
+        hits = near.join(key_set, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias(_HITS))
         # a source row is written once per target row it replaces (once if it is new)
         copies = F.greatest(F.coalesce(F.col(_HITS), F.lit(1)), F.lit(1)).cast("int")
         upserted = (

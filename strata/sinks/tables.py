@@ -11,6 +11,10 @@ folders ``<column>=<value>/commit=<n>`` and, when its job committed, gives the t
   those its rows belong to. A row that moves to another partition leaves its old one, which
   may be left without rows; all of it is one commit.
 
+An upsert writes its rows sorted by key, with Parquet Bloom filters on the keys, and looks for
+the partitions it touches with the source's keys as a filter, so later upserts of few keys
+read few row groups. ``stage_partition(..., keys)`` writes so, too.
+
 ``stage_*`` write and return the commit, so several tables can be released together;
 ``replace_partition`` and ``upsert_table`` release it at once. A job that fails or is killed
 leaves readers with the old rows, and folders that the next write of that number replaces.
@@ -41,7 +45,7 @@ from pyspark.sql import types as T
 
 from strata.operators.bounded import DEFAULT_BROADCAST_LIMIT
 from strata.operators.materialize import materialize
-from strata.operators.merge import broadcast_fits, conform, key_stats, merge_frames
+from strata.operators.merge import broadcast_fits, conform, key_filter, key_stats, merge_frames
 from strata.schemas import ETL_INSERTED_COL, PARTITION_COL
 from strata.sinks import files, release
 from strata.sinks.release import Commit, quoted
@@ -172,12 +176,19 @@ def _registered(spark: SparkSession, store: str, root: str, columns: Sequence[st
     return parts
 
 
+def key_options(keys: Sequence[str]) -> dict[str, str]:
+    """Writer options for Bloom filters on the keys, no larger than a row group's distinct values need."""
+    if not keys:
+        return {}
+    return {"parquet.bloom.filter.adaptive.enabled": "true"} | {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys}
+
+
 def write_commit(
-    spark: SparkSession, store: str, root: str, rows: DataFrame, columns: Sequence[str], number: int
+    spark: SparkSession, store: str, root: str, rows: DataFrame, columns: Sequence[str], number: int, keys: Sequence[str] = ()
 ) -> tuple[list[dict[str, str]], int]:
     """Write ``rows`` as commit ``number`` of a store, in place of what a write that stopped may have left
     of it; returns all partitions of the store, and the rows written. ``columns`` are the partition
-    columns before the commit."""
+    columns before the commit; ``keys`` those that later upserts will look for."""
     stored = _cleared(spark, store, root, columns, number)
     counted = Observation()
     written = rows.withColumn(COMMIT, F.lit(number).cast("long")).observe(counted, F.count(F.lit(1)).alias("rows"))
@@ -186,7 +197,8 @@ def write_commit(
         # by way of the catalog, which knows the buckets; it takes columns by position
         written.select(*[F.col(f"`{c.name}`") for c in described]).write.mode("append").insertInto(store)
     else:
-        written.write.mode("append").partitionBy(*columns, COMMIT).parquet(root)
+        in_order = written.sortWithinPartitions(*columns, COMMIT, *keys) if keys else written
+        in_order.write.options(**key_options(keys)).mode("append").partitionBy(*columns, COMMIT).parquet(root)
     return stored + _registered(spark, store, root, columns, number), int(counted.get["rows"])
 
 
@@ -207,13 +219,14 @@ def _after(before: Commit, parts: list[dict[str, str]], column: str, touched: se
 
 
 def stage_partition(
-    spark: SparkSession, table: str, df: DataFrame, partition: str, base: Commit | None = None, placed: bool = False
+    spark: SparkSession, table: str, df: DataFrame, partition: str, base: Commit | None = None, placed: bool = False, keys: Sequence[str] = ()
 ) -> tuple[Commit, int]:
     """Write ``df`` as the rows of one partition of a released table; returns the commit that shows them, and their number.
 
     ``df`` is projected onto the table's other columns (extra columns dropped, types cast).
     ``base`` is the commit to go on from, by default the released one. Rows for a clustered
     store are gathered by bucket first, unless they are ``placed``: come from a join on its key.
+    With ``keys`` the rows are sorted by them, with Bloom filters, for later upserts.
     """
     shown = _released(spark, table)
     before = shown.commit(table) if base is None else base
@@ -229,7 +242,9 @@ def stage_partition(
     # one folder is known beforehand: written directly, the rows need no sort by partition
     folder = f"{root}/{folder_name(column, partition)}/{COMMIT}={number}"
     counted = Observation()
-    conform(df, T.StructType(fields)).observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    rows = conform(df, T.StructType(fields)).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows = rows.sortWithinPartitions(*keys) if keys else rows
+    rows.write.options(**key_options(keys)).parquet(folder)
     n = int(counted.get["rows"])
     if not n:
         files.delete(spark, folder)
@@ -243,13 +258,28 @@ def _released(spark: SparkSession, table: str) -> release.Release:
     return found
 
 
-def replace_partition(spark: SparkSession, table: str, df: DataFrame, partition: str) -> int:
-    """Replace exactly the rows of one partition of a released table; returns the rows written."""
-    commit, n = stage_partition(spark, table, df, partition)
+def replace_partition(spark: SparkSession, table: str, df: DataFrame, partition: str, keys: Sequence[str] = ()) -> int:
+    """Replace exactly the rows of one partition of a released table; returns the rows written.
+
+    With ``keys`` they are laid out for later upserts on these columns.
+    """
+    commit, n = stage_partition(spark, table, df, partition, keys=keys)
     release.publish_one(spark, table, commit)
     return n
 
 
+def holding_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], n_keys: int, small: bool) -> DataFrame:
+    """The partitions of ``target`` (by its last column) that hold a row with one of ``source``'s keys.
+
+    Reads the key columns, of the row groups that may hold such a key.
+    """
+    column, pushed = target.columns[-1], key_filter(source, keys, n_keys)
+    near = target.select(column, *keys)
+    near = near if pushed is None else near.where(pushed)
+    key_set = source.select(*keys).dropna().distinct()
+    return near.join(F.broadcast(key_set) if small else key_set, list(keys), "left_semi").select(column).distinct()
+
+
 def stage_upsert(
     spark: SparkSession,
     table: str,
@@ -277,13 +307,11 @@ def stage_upsert(
     stats = key_stats(staged, keys)
     touched = set(found["parts"])  # run partitions: as many as the catalog lists
     if column not in keys:
-        key_set = staged.select(*keys).dropna().distinct()
-        key_set = F.broadcast(key_set) if broadcast_fits(stats[0], stats[1], broadcast_limit) else key_set
-        moved = target.select(column, *keys).join(key_set, list(keys), "left_semi").select(column).distinct()
-        touched |= {r[0] for r in moved.collect()}
+        small = broadcast_fits(stats[0], stats[1], broadcast_limit)
+        touched |= {r[0] for r in holding_partitions(target, staged, keys, stats[0], small).collect()}
     base_rows = target.where(F.col(f"`{column}`").isin(*sorted(touched)))
     merged = merge_frames(base_rows, staged, keys, broadcast_limit=broadcast_limit, stats=stats)
-    parts, _ = write_commit(spark, store_of(table), shown.folder(table), merged, [column], before.number + 1)
+    parts, _ = write_commit(spark, store_of(table), shown.folder(table), merged, [column], before.number + 1, keys)
     return _after(before, parts, column, touched), int(found["rows"])
 
 
@@ -315,7 +343,8 @@ def upsert_table(
     if not rows:
         return 0
     snapshot = _fresh(table_location(spark, table).split(f"/{VERSIONS}/")[0].rstrip("/"))
-    merge_frames(target, staged, keys, broadcast_limit=broadcast_limit).write.mode("errorifexists").parquet(snapshot)
+    merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit).sortWithinPartitions(*keys)
+    merged.write.options(**key_options(keys)).mode("errorifexists").parquet(snapshot)
     spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(snapshot)}")
     spark.catalog.refreshTable(table)
     return rows

@@ -19,6 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from strata.plans.audit import attach_log
 from strata.schemas import (
     CUSTOMER_TABLE,
     DIM_CUSTOMER,
@@ -197,7 +198,8 @@ def point_interface_views(spark: SparkSession, database: str, src_database: str)
 
 def create_audit_table(spark: SparkSession, path: str, database: str = DATABASE, name: str = AUDIT) -> str:
     create_database(spark, database)
-    create_table(spark, f"{database}.{name}", RUN_METADATA, f"{path.rstrip('/')}/{name}", ())
+    if create_table(spark, f"{database}.{name}", RUN_METADATA, f"{path.rstrip('/')}/{name}", ()):
+        attach_log(spark, f"{database}.{name}")
     return f"{database}.{name}"
 
 

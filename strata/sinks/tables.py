@@ -315,7 +315,17 @@ def stage_upsert(
     return _after(before, parts, column, touched), int(found["rows"])
 
 
-def _fresh(root: str) -> str:
+def version_root(location: str) -> str:
+    """The folder of a table without partitions, whichever of its versions the table is pointed at."""
+    return location.split(f"/{VERSIONS}/")[0].rstrip("/")
+
+
+def versions(spark: SparkSession, root: str) -> list[str]:
+    """The version folders under a root whose job committed, oldest first."""
+    return [f for f in files.listed(spark, f"{root}/{VERSIONS}/*") if files.exists(spark, f"{f}/_SUCCESS")]
+
+
+def fresh_version(root: str) -> str:
     return f"{root}/{VERSIONS}/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
@@ -342,7 +352,7 @@ def upsert_table(
     rows = staged.count()
     if not rows:
         return 0
-    snapshot = _fresh(table_location(spark, table).split(f"/{VERSIONS}/")[0].rstrip("/"))
+    snapshot = fresh_version(version_root(table_location(spark, table)))
     merged = merge_frames(target, staged, keys, broadcast_limit=broadcast_limit).sortWithinPartitions(*keys)
     merged.write.options(**key_options(keys)).mode("errorifexists").parquet(snapshot)
     spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(snapshot)}")
@@ -352,8 +362,7 @@ def upsert_table(
 
 def attach(spark: SparkSession, table: str) -> None:
     """Point a table without partitions, just created, at the newest committed folder under its root."""
-    root = table_location(spark, table).split(f"/{VERSIONS}/")[0].rstrip("/")
-    found = [f for f in files.listed(spark, f"{root}/{VERSIONS}/*") if files.exists(spark, f"{f}/_SUCCESS")]
+    found = versions(spark, version_root(table_location(spark, table)))
     if found:
         spark.sql(f"ALTER TABLE {table} SET LOCATION {quoted(found[-1])}")
     spark.catalog.refreshTable(table)
@@ -370,9 +379,11 @@ def remove_unused(spark: SparkSession, table: str, least_age: float = 0.0) -> in
         gone = drop_parts(spark, store_of(table), lambda part: not commit.shows(part[column], int(part[COMMIT])), least_age)
         return len(gone)
     location = table_location(spark, table)
-    root = location.split(f"/{VERSIONS}/")[0].rstrip("/")
+    root = version_root(location)
     used, before, removed = _tail(location), time.time() - least_age, 0
-    for folder in files.listed(spark, f"{root}/{VERSIONS}/*"):
+    # of a table that is pointed at a version, the files beside the versions are the oldest ones
+    beside = files.listed(spark, f"{root}/*.parquet") if f"/{VERSIONS}/" in location else []
+    for folder in files.listed(spark, f"{root}/{VERSIONS}/*") + beside:
         if _tail(folder) != used and files.modified(spark, folder) <= before:
             files.delete(spark, folder)
             removed += 1

@@ -2,9 +2,11 @@
 
 A text is cut into clauses of tokens; each token has a class (insult, threat, target,
 negation, reporting word, ...). Every transducer reads the classes of a clause and tags
-what it knows about a token: which target stands near, whether a negation or a reporting
-word governs it. Composition runs all of them side by side as one transition table, whose
-outputs are the matched patterns, e.g. a targeted insult or a reported threat.
+what it knows about a token: which target stands near, whether a verb of being, an article,
+a negation or a reporting word governs it. Composition runs all of them side by side as one
+transition table, whose outputs are the matched patterns, e.g. a targeted insult or a
+reported threat. A hostile word that nothing in its clause governs matches no pattern, and
+a clause counts once, as the strongest pattern in it.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from dataclasses import dataclass
 from functools import cache
 
 # token classes
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, AGENT, LEARNT = range(8)
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, AGENT, LEARNT, BEING, ARTICLE = range(10)
 
 # words of each class in English, German, French and Spanish
 WORDS: dict[int, str] = {
@@ -51,10 +53,18 @@ WORDS: dict[int, str] = {
         dijo dice afirmó escribió llamó según supuestamente
     """,
     AGENT: "i we ill well gonna will shall ich wir werde werden je nous vais allons yo nosotros voy vamos",
+    BEING: """
+        is are was were be been am become like ist sind war waren bist seid bin sein wie
+        est sont était étaient es suis êtes être comme eres son era eran soy ser como
+    """,
+    ARTICLE: """
+        the a an this that such every some all my our its of by with for der die das den dem des ein eine einen einer dieser diese dieses von
+        le la les un une des ce cette cet ces du de el los las una unos unas este esta del al
+    """,
 }
 
-TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n|]")
-CLAUSE_END = frozenset(".!?;:\n|")
+TOKEN = re.compile(r"[^\W\d_]+")
+CLAUSE = re.compile(r"[^.!?;:\n|]+")
 
 Step = Callable[[int, int], tuple[int, str]]
 
@@ -79,11 +89,11 @@ def _scope(opener: int, length: int, tag: str) -> Transducer:
 
 
 def _hits() -> Transducer:
-    """Tags the tokens that carry weight, and a target that follows one within three tokens."""
+    """Tags the hostile tokens, and a target that follows one within three tokens."""
 
     def step(state: int, token: int) -> tuple[int, str]:
-        if token in (INSULT, THREAT, LEARNT):
-            return 3, {INSULT: "insult", THREAT: "threat", LEARNT: "learnt"}[token]
+        if token in HITS:
+            return 3, HITS[token]
         if token == TARGET and state:
             return 0, "then-target"
         return max(0, state - 1), ""
@@ -91,42 +101,68 @@ def _hits() -> Transducer:
     return Transducer(0, step)
 
 
-GRAMMAR = (_hits(), _scope(TARGET, 4, "target"), _scope(AGENT, 3, "agent"), _scope(NEGATION, 3, "negated"), _scope(REPORT, 6, "reported"))
+def _opening() -> Transducer:
+    """Tags the first token of a clause: a call or a command."""
+    return Transducer(0, lambda state, token: (1, "" if state else "first"))
+
+
+def _again() -> Transducer:
+    """Tags hostile tokens after the first of their clause."""
 
-# the patterns that composition can give out, in the order of the features
+    def step(state: int, token: int) -> tuple[int, str]:
+        hit = token in HITS
+        return int(state or hit), "again" if state and hit else ""
+
+    return Transducer(0, step)
+
+
+HITS = {INSULT: "insult", THREAT: "threat", LEARNT: "learnt"}
+
+GRAMMAR = (
+    _hits(), _opening(), _again(), _scope(TARGET, 4, "target"), _scope(AGENT, 3, "agent"), _scope(BEING, 4, "being"),
+    _scope(ARTICLE, 3, "article"), _scope(NEGATION, 3, "negated"), _scope(REPORT, 6, "reported"),
+)
+
+# the patterns that composition can give out, the weakest first, in the order of the features
 PATTERNS = (
-    "insult", "targeted insult", "threat", "directed threat", "learnt", "targeted learnt",
-    "negated", "reported", "target after",
+    "negated", "reported", "named insult", "named learnt", "repeated insult", "repeated learnt",
+    "predicated insult", "predicated learnt", "called insult", "called learnt",
+    "targeted insult", "targeted learnt", "commanded threat", "directed threat",
 )
 
+# what governs an insult or learnt word, the strongest first
+GOVERNORS = (("target", "targeted"), ("first", "called"), ("being", "predicated"), ("again", "repeated"), ("article", "named"))
+
 
-def _pattern(tags: tuple[str, ...]) -> int:
-    """The matched pattern of one token's tags; -1 for none. Negation and report come before strength."""
+def _pattern(tags: tuple[str, ...]) -> str:
+    """The matched pattern of one token's tags; empty for none, a kind of hit that a later target may complete."""
     found = set(tags)
     if "then-target" in found:
-        return PATTERNS.index("target after")
-    hit = next((h for h in ("insult", "threat", "learnt") if h in found), None)
+        return "then-target"
+    hit = next((h for h in HITS.values() if h in found), None)
     if hit is None:
-        return -1
-    if "negated" in found:
-        return PATTERNS.index("negated")
-    if "reported" in found:
-        return PATTERNS.index("reported")
+        return ""
+    for tag in ("negated", "reported"):
+        if tag in found:
+            return tag
     if hit == "threat":
-        return PATTERNS.index("directed threat" if found & {"target", "agent"} else "threat")
-    return PATTERNS.index(f"targeted {hit}" if "target" in found else hit)
+        return "directed threat" if found & {"target", "agent"} else "commanded threat" if "first" in found else ""
+    return next((f"{name} {hit}" for tag, name in GOVERNORS if tag in found), "")
+
+
+COMPLETED = {INSULT: "targeted insult", LEARNT: "targeted learnt", THREAT: "directed threat"}
 
 
 @cache
-def composed() -> tuple[list[list[int]], list[list[int]]]:
+def composed() -> tuple[list[list[int]], list[list[str]]]:
     """Transition and output tables [state][class] of all transducers run side by side."""
     first = tuple(t.start for t in GRAMMAR)
     number, todo = {first: 0}, [first]
     moves: list[list[int]] = []
-    outputs: list[list[int]] = []
+    outputs: list[list[str]] = []
     for states in todo:
         row, out = [], []
-        for token in range(8):
+        for token in range(len(WORDS) + 2):
             after, tags = zip(*(t.step(s, token) for t, s in zip(GRAMMAR, states)))
             if after not in number:
                 number[after] = len(number)
@@ -173,23 +209,36 @@ def word_features(word: str) -> list[str]:
     return [word, *(word[:n] + STEM for n in STEMS if len(word) > n)]
 
 
-def pattern_weights(text: str, lexicon: Lexicon) -> list[float]:
-    """Summed weight of every pattern over all clauses of a whole text."""
+def clause_pattern(kinds: list[tuple[int, float]]) -> tuple[int, float]:
+    """The strongest pattern (-1 for none) of a clause of (class, weight) tokens, and the weight of its hostile word."""
     moves, outputs = composed()
-    sums = [0.0] * len(PATTERNS)
-    tokens = TOKEN.findall(text.lower())
-    kinds = {w: lexicon(w) for w in set(tokens)}
-    if not any(kind in (INSULT, THREAT, LEARNT) for kind, _ in kinds.values()):
-        return sums
-    state, weight = 0, 0.0
-    for token in tokens:
-        if token in CLAUSE_END:
-            state = 0
-            continue
-        kind, own = kinds[token]
+    best, state, hit = (-1, 0.0), 0, (OTHER, 0.0, "")
+    for kind, weight in kinds:
         found = outputs[state][kind]
-        if found >= 0:
-            weight = own if kind != TARGET else weight
-            sums[found] += weight
         state = moves[state][kind]
+        if kind in HITS:
+            hit = kind, weight, found
+        elif found:  # a target right after the last hit; what negates or reports the hit stays in force
+            found = hit[2] if hit[2] in ("negated", "reported") else COMPLETED[hit[0]]
+            weight = hit[1]
+        if found:
+            best = max(best, (STRENGTH[found], weight))
+    return best
+
+
+STRENGTH = {name: at for at, name in enumerate(PATTERNS)}
+
+
+def pattern_weights(text: str, lexicon: Lexicon) -> list[float]:
+    """Summed weight of every pattern over the matched clauses of a whole text."""
+    sums = [0.0] * len(PATTERNS)
+    text = text.lower()
+    if not any(lexicon(word)[0] in HITS for word in set(TOKEN.findall(text))):
+        return sums
+    for clause in CLAUSE.findall(text):
+        kinds = [lexicon(word) for word in TOKEN.findall(clause)]
+        if any(kind in HITS for kind, _ in kinds):
+            pattern, weight = clause_pattern(kinds)
+            if pattern >= 0:
+                sums[pattern] += weight
     return sums

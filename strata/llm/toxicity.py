@@ -1,10 +1,12 @@
 """Toxicity scores from a weighted finite-state pattern grammar.
 
 Clauses are matched by the composed transducers of :mod:`strata.llm.toxic_grammar`; a
-document's features are the summed weights of its matched patterns, and a logistic
-regression on them gives the score. Besides the written word lists the grammar knows
-stems learnt from labels: words and word beginnings that labelled toxic documents hold
-much more often than others. Labels come from a bounded sample of the labelled training
+document's features are the summed weights of its matched clauses by pattern, and a logistic
+regression on them gives the score. A hostile word counts only where its clause governs it: a
+target, a verb of being, an article, a call, a command, another hostile word; alone it
+counts nothing. Besides the written word lists the grammar knows stems learnt from labels,
+which need a governor like the others: words and word beginnings that labelled toxic documents
+hold much more often than others, by more evidence than chance gives the best of all candidates. Labels come from a bounded sample of the labelled training
 rows (``sample`` rows, chosen by a hash of the id, near copies once, so that the words of a
 much copied text do not pass for marks of toxicity). The regression is fitted on one half
 with stems from the other, so that it sees stems at their worth for new texts; the model
@@ -18,6 +20,7 @@ others; very long texts are read whole; other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,7 +35,7 @@ from strata.llm.common import bounded_rows, bounded_sample, pick, ship, staged
 from strata.llm.toxic_grammar import PATTERNS, TOKEN, Lexicon, pattern_weights, word_features
 
 # bias, then one weight per pattern, in force until labels say otherwise
-START = (-2.5, 2.0, 3.0, 1.0, 2.5, 1.5, 2.0, 0.2, 0.2, 0.5)
+START = (-2.5, 0.2, 0.2, 1.5, 1.0, 2.0, 1.2, 2.5, 1.5, 2.5, 1.5, 3.0, 2.0, 2.0, 2.5)
 
 
 @dataclass(frozen=True)
@@ -40,9 +43,8 @@ class ToxicConfig:
     sample: int = 20_000  # labelled rows at most
     stems: int = 3_000  # learnt words and stems at most
     least_odds: float = 3.0  # log-odds of a learnt stem
-    least_share: float = 0.02  # of the toxic rows that must hold it
-    residual_share: float = 0.1  # of the toxic rows without any match that must hold it
-    least_rows: int = 4
+    least_rows: int = 4  # toxic rows that hold it
+    chance: float = 1.0  # stems expected to pass by chance, at most
     sketch: int = 4  # least word hashes that near copies share
 
 
@@ -80,25 +82,35 @@ def learn_stems(rows: DataFrame, config: ToxicConfig) -> dict[str, float]:
     The second round looks only at toxic rows that hold neither a written insult or
     threat nor a stem of the first, where a rarer mark stands out.
     """
-    first = _associated(rows, config, config.least_share)
+    first = _associated(rows, config)
     matched = _features(rows.select("toxic", F.col("text").alias("kept"), "text"), first)
     free = F.aggregate("patterns", F.lit(0.0), lambda total, x: total + x) == 0
     rest = matched.where((F.col("toxic") == 0) | free).select("toxic", F.col("kept").alias("text"))
-    return _associated(rest, config, config.residual_share) | first
+    return _associated(rest, config) | first
 
 
-def _associated(rows: DataFrame, config: ToxicConfig, least_share: float) -> dict[str, float]:
-    """Words and stems that toxic rows hold much more often than others."""
+def _associated(rows: DataFrame, config: ToxicConfig) -> dict[str, float]:
+    """Words and stems that toxic rows hold much more often than others.
+
+    The evidence for a stem bounds the logarithm of the probability that so large a share of
+    the rows that hold it is toxic by chance (Chernoff); it must exceed that of the number of
+    candidates over ``chance``.
+    """
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return {}
     counts = rows.select("text", "toxic").mapInArrow(_stem_counts(), "stem string, clean long, toxic long")
     counts = counts.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counts = staged(counts.where(F.col("clean") + F.col("toxic") >= config.least_rows))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
+    base, share = toxic / (toxic + clean), F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    evidence = F.col("toxic") * F.log(share / base)
+    evidence += F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - base))).otherwise(0.0)
     chosen = (
         counts.withColumn("odds", odds)
-        .where((F.col("odds") >= config.least_odds) & (F.col("toxic") >= max(config.least_rows, least_share * toxic)))
+        .where((F.col("odds") >= config.least_odds) & (F.col("toxic") >= config.least_rows))
+        .where(evidence >= math.log(max(1, counts.count()) / config.chance))
         .orderBy(F.desc("toxic"), "stem")
         .limit(config.stems)
     )

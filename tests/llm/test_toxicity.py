@@ -1,9 +1,13 @@
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from strata.llm import toxicity
 from strata.llm.registry import op8_toxicity
-from strata.llm.toxic_grammar import PATTERNS, Lexicon, composed, pattern_weights
+from strata.llm.toxic_grammar import (
+    AGENT, ARTICLE, BEING, HITS, NEGATION, PATTERNS, REPORT, TARGET, THREAT, Lexicon, clause_pattern, composed, pattern_weights,
+)
 from tests.llm.cases import clashing, edge_docs, edge_rows, empty_docs
 
 
@@ -14,21 +18,84 @@ def matched(text, learnt=None):
 
 def test_clauses_not_words_decide():
     assert matched("you are an idiot.") == {"targeted insult": 1.0}
-    assert matched("an idiot") == {"insult": 1.0}
+    assert matched("xx an idiot") == {"named insult": 1.0}
+    assert matched("xx is so stupid") == {"predicated insult": 1.0}
     assert matched("you are not an idiot") == {"negated": 1.0}
     assert matched("he said that idiot") == {"reported": 1.0}
-    assert matched("you. idiot") == {"insult": 1.0}  # a new clause
-    assert matched("we will kill you") == {"directed threat": 1.0, "target after": 1.0}
-    assert matched("stupid, you know") == {"insult": 1.0, "target after": 1.0}
+    assert matched("we will kill you") == {"directed threat": 1.0}
+    assert matched("kill the lights") == {"commanded threat": 1.0}
+    assert matched("xx stupid, you know") == {"targeted insult": 1.0}
+    assert matched("xx not stupid, you know") == {"negated": 1.0}
+    assert matched("Idiot! xx idiot moron") == {"called insult": 1.0, "repeated insult": 1.0}
+    assert matched("the vequais and the VEQUILL. xx vequais", {"vequ*": 0.7}) == {"repeated learnt": 0.7}
+
+
+def test_words_that_nothing_governs_count_nothing():
+    for text in ("xx idiot", "you. xx idiot", "the. xx idiot", "xx kill", "the kill", "is a b c d idiot", "xx vequais"):
+        assert matched(text, {"vequ*": 0.7}) == {}, text
     assert matched("Der Vollidiot") == {}
-    assert matched("the vequais and VEQUILL", {"vequ*": 0.7}) == {"learnt": 1.4}
+
+
+def by_definition(words, lexicon):
+    """The strongest pattern of a clause, from the distances between its words."""
+    kinds = [lexicon(w)[0] for w in words]
+
+    def near(at, kind, length):
+        return kind in kinds[max(0, at - length) : at]
+
+    def of_hit(at):
+        hit = HITS[kinds[at]]
+        if near(at, NEGATION, 3):
+            return "negated"
+        if near(at, REPORT, 6):
+            return "reported"
+        target, first = near(at, TARGET, 4), at == 0
+        if hit == "threat":
+            return "directed threat" if target or near(at, AGENT, 3) else "commanded threat" if first else None
+        again = any(k in HITS for k in kinds[:at])
+        checks = [(target, "targeted"), (first, "called"), (near(at, BEING, 4), "predicated"), (again, "repeated"), (near(at, ARTICLE, 3), "named")]
+        return next((f"{name} {hit}" for holds, name in checks if holds), None)
+
+    found = []
+    for at, kind in enumerate(kinds):
+        if kind in HITS:
+            found.append((of_hit(at), lexicon(words[at])[1]))
+        last = max((h for h in range(max(0, at - 3), at) if kinds[h] in HITS), default=None)
+        if kind == TARGET and last is not None and TARGET not in kinds[last + 1 : at]:
+            own = of_hit(last)
+            name = "directed threat" if kinds[last] == THREAT else f"targeted {HITS[kinds[last]]}"
+            found.append((own if own in ("negated", "reported") else name, lexicon(words[last])[1]))
+    found = [(PATTERNS.index(name), weight) for name, weight in found if name]
+    return max(found, default=(-1, 0.0))
+
+
+def test_transducers_against_the_definition():
+    rng = random.Random(5)
+    lexicon = Lexicon({"vequ*": 0.7, "zorp": 0.4})
+    words = ["idiot", "kill", "vequais", "zorp", "you", "not", "said", "will", "is", "the"] + ["xx"] * 8
+    seen = set()
+    for _ in range(20_000):
+        clause = rng.choices(words, k=rng.randint(1, 14))
+        found = clause_pattern([lexicon(w) for w in clause])
+        assert found == by_definition(clause, lexicon), clause
+        seen.add(found[0])
+    assert seen == set(range(-1, len(PATTERNS)))
 
 
 def test_composed_table_runs_all_transducers_side_by_side():
     moves, outputs = composed()
     assert len(moves) == len(outputs) > 100
     assert all(0 <= after < len(moves) for row in moves for after in row)
-    assert {o for row in outputs for o in row} == set(range(-1, len(PATTERNS)))
+    assert {o for row in outputs for o in row} == {"", "then-target", *PATTERNS}
+
+
+def test_stems_need_more_evidence_than_chance_gives(spark):
+    rng = random.Random(2)
+    filler = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
+    rows = [(" ".join(rng.choices(filler, k=20) + ["zorpling"] * (k % 10 == 0 and k % 20 == 0)), int(k % 10 == 0)) for k in range(800)]
+    found = toxicity.learn_stems(spark.createDataFrame(rows, "text string, toxic int"), toxicity.ToxicConfig())
+    assert {"zorpling", "zorp*", "zorpl*", "zorpli*"} <= set(found)
+    assert len(found) <= 6
 
 
 def test_held_out_accuracy(spark):

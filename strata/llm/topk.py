@@ -1,13 +1,21 @@
 """Exact top-k by inner product with a dual cover-tree search.
 
+The top level of the data's cover is global: farthest-first centres from a bounded sample
+divide all rows into cells, whose radii and row counts are exact. A query first meets its
+home cell, the one whose centre has the highest product with it, which gives it a worst kth
+score to carry; then it goes only to the cells whose bound <q, c> + r |q| reaches that
+score. A cell that no query reaches is never moved. Cells of more than ``shard_rows`` rows
+are dealt to several shards, and more than ``query_rows`` queries at a cell to several blocks.
+
 In every shard a cover tree is built over the rows and one over the block of queries.
 Node pairs are visited together. A pair of nodes with centres c, d and covering radii r, s
 holds no inner product above <c, d> + r |d| + s |c| + r s; it is pruned when that is below
-the worst kth score of the queries under its query node. Leaf pairs are compared with
-the highest bounds first, so that kth scores rise early.
+the worst kth score of the queries under its query node, found here or carried. Leaf pairs
+are compared with the highest bounds first, so that kth scores rise early.
 
 Components become floor(1024 x). Scores are exact integers: sums below 2**53 in float64
-products, larger ones in Python integers (a score beyond 64 bits is cut to their range).
+products, larger ones in Python integers for the leaf pairs that the bounds leave (a score
+beyond 64 bits is cut to their range).
 
 Defined cases: vectors that are null, empty, of an uncommon length, or hold null or non-
 finite components take no part, nor do rows with a null id; ties go to the smaller id;
@@ -17,12 +25,16 @@ all returned; an empty table gives an empty result; other columns are not looked
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from strata.llm.vectors import best_of, pack, search_blocks
+from strata.llm.common import staged
+from strata.llm.vectors import Packed, best_of, distinct_queries, meetings, numbers, pack, ranked, sample, unpack
 
 EXACT = 2.0**53
 
@@ -33,6 +45,9 @@ class TopkConfig:
     leaf: int = 16  # rows under a leaf, about
     shard_rows: int = 4096
     query_rows: int = 4096
+    cells: int = 1024  # of the global cover, at most
+    centre_sample: int = 4096  # rows from which its centres are taken
+    seed: str = "cells"
 
 
 class CoverTree:
@@ -86,8 +101,12 @@ class CoverTree:
 class DualSearch:
     """Top ``k`` inner products of queries with rows, by simultaneous descent of two trees."""
 
-    def __init__(self, queries: np.ndarray, rows: np.ndarray, leaf: int, k: int) -> None:
+    def __init__(self, queries: np.ndarray, rows: np.ndarray, leaf: int, k: int, floors: np.ndarray | None = None) -> None:
         self.q, self.d, self.k = queries, rows, k
+        self.floors = np.full(len(queries), -np.inf) if floors is None else floors
+        top_q, top_d = (float(np.abs(x).max()) if x.size else 0.0 for x in (queries, rows))
+        large = top_q * top_d * queries.shape[1] >= EXACT
+        self.exact_q, self.exact_d = (_integers(queries), _integers(rows)) if large else (queries, rows)
         self.tree_q, self.tree_d = CoverTree(queries.astype(np.float64), leaf), CoverTree(rows.astype(np.float64), leaf)
         self.norm_q, self.norm_d = np.sqrt((self.q.astype(np.float64) ** 2).sum(1)), np.sqrt((self.d.astype(np.float64) ** 2).sum(1))
 
@@ -96,13 +115,14 @@ class DualSearch:
         c, d = self.tree_q.centres[level_q][nodes_q], self.tree_d.centres[level_d][nodes_d]
         r, s = self.tree_q.radii[level_q][nodes_q], self.tree_d.radii[level_d][nodes_d]
         dots = np.einsum("nd,nd->n", self.q[c].astype(np.float64), self.d[d].astype(np.float64))
-        bound = dots + r * self.norm_d[d] + s * self.norm_q[c] + r * s
-        return bound + 1e-9 * np.abs(bound) + 1e-6
+        spread = r * self.norm_d[d] + s * self.norm_q[c] + r * s
+        return _bound(dots, spread, self.norm_q[c] * self.norm_d[d])
 
     def run(self, skip) -> list[tuple[np.ndarray, np.ndarray]]:
         """(row indexes, scores) of each query; ``skip(query, rows)`` marks rows that are not its candidates."""
         every = np.arange(len(self.d))
-        skipped = self._most_skipped(np.array([np.count_nonzero(skip(q, every)) for q in range(len(self.q))], np.int64))
+        floors = [-x for x in self._most(-self.floors)]
+        skipped = self._most(np.array([np.count_nonzero(skip(q, every)) for q in range(len(self.q))], np.int64))
         last_q, last_d = len(self.tree_q.centres) - 1, len(self.tree_d.centres) - 1
         pair_q, pair_d = np.zeros(1, np.int64), np.zeros(1, np.int64)
         level_q = level_d = 0
@@ -113,9 +133,9 @@ class DualSearch:
             if level_d < last_d:
                 pair_d, pair_q = _expand(pair_d, pair_q, self.tree_d.children(level_d))
                 level_d += 1
-            pair_q, pair_d = self._prune(level_q, pair_q, level_d, pair_d, skipped[level_q])
+            pair_q, pair_d = self._prune(level_q, pair_q, level_d, pair_d, skipped[level_q], floors[level_q])
         bound = self.bounds(last_q, pair_q, last_d, pair_d)
-        results: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, self.q.dtype))] * len(self.q)
+        results: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, self.exact_q.dtype))] * len(self.q)
         order = np.lexsort((-bound, pair_q))
         pair_q, pair_d, bound = pair_q[order], pair_d[order], bound[order]
         starts = np.searchsorted(pair_q, np.arange(len(self.tree_q.members) + 1))
@@ -124,21 +144,22 @@ class DualSearch:
             self._group(asked, leaves, tops, results, skip)
         return results
 
-    def _most_skipped(self, counts: np.ndarray) -> list[np.ndarray]:
-        """By level, the most rows that one query under each query node skips."""
-        out = [np.array([counts[m].max() for m in self.tree_q.members])]
+    def _most(self, values: np.ndarray) -> list[np.ndarray]:
+        """By level, the largest of the queries' values under each query node."""
+        out = [np.array([values[m].max() for m in self.tree_q.members])]
         for level in range(len(self.tree_q.centres) - 1, 0, -1):
-            above = np.zeros(len(self.tree_q.centres[level - 1]), np.int64)
+            above = np.full(len(self.tree_q.centres[level - 1]), values.min())
             np.maximum.at(above, self.tree_q.parents[level], out[0])
             out.insert(0, above)
         return out
 
-    def _prune(self, level_q: int, pair_q: np.ndarray, level_d: int, pair_d: np.ndarray, skipped: np.ndarray):
+    def _prune(self, level_q: int, pair_q: np.ndarray, level_d: int, pair_d: np.ndarray, skipped: np.ndarray, floors: np.ndarray):
         """Drop node pairs that cannot reach the kth best lower bound of their query node.
 
         A data node with n rows holds n inner products of at least 2 <c, d> - bound; the
         kth of these, over all data nodes paired with a query node, is below its worst kth
         score. As many more rows than ``k`` are asked for as a query under the node skips.
+        The least floor of the node's queries is a lower bound, too.
         """
         bound = self.bounds(level_q, pair_q, level_d, pair_d)
         c, d = self.tree_q.centres[level_q][pair_q], self.tree_d.centres[level_d][pair_d]
@@ -151,7 +172,7 @@ class DualSearch:
         first = np.searchsorted(ordered, np.arange(len(self.tree_q.centres[level_q])))
         base = np.concatenate([[0], held])[first]
         enough = held - base[ordered] >= self.k + skipped[ordered]
-        worst = np.full(len(first), -np.inf)
+        worst = floors.copy()
         at = np.flatnonzero(enough)
         np.maximum.at(worst, ordered[at], low[order][at])
         keep = bound >= worst[pair_q]
@@ -167,11 +188,11 @@ class DualSearch:
         """Compare the queries of one leaf with data leaves, highest bounds first, until none can matter."""
         for at in range(0, len(leaves), chunk):
             full = all(len(results[q][0]) >= self.k for q in asked)
-            worst = min(results[q][1][-1] for q in asked) if full else -np.inf
+            worst = max(min(results[q][1][-1] for q in asked) if full else -np.inf, self.floors[asked].min())
             if tops[at] < worst:
                 return
             near = np.concatenate([self.tree_d.members[leaf] for leaf in leaves[at : at + chunk]])
-            scores = self.q[asked] @ self.d[near].T
+            scores = self.exact_q[asked] @ self.exact_d[near].T
             for q, row in zip(asked, scores):
                 rows, seen = results[q]
                 allowed = ~skip(q, near)
@@ -191,31 +212,124 @@ def quantised(vectors: np.ndarray, scale: int) -> np.ndarray:
     return np.floor(vectors.astype(np.float64) * scale)
 
 
+def _integers(x: np.ndarray) -> np.ndarray:
+    return np.array([int(v) for v in x.ravel().tolist()], object).reshape(x.shape)
+
+
+def _bound(dots: np.ndarray, spread: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """``dots + spread``, raised above every rounding error; infinite where it cannot be told."""
+    bound = dots + spread + 1e-9 * (norms + spread) + 1e-6
+    return np.where(np.isnan(bound), np.inf, bound)
+
+
 def inner_product_search(config: TopkConfig, k: int):
-    def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray):
+    def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, floors: np.ndarray | None = None):
         q, d = quantised(queries, config.scale), quantised(vectors, config.scale)
-        top = lambda x: float(np.abs(x).max()) if x.size else 0.0
-        if top(q) * top(d) * q.shape[1] >= EXACT:
-            return _in_integers(query_ids, q, ids, d, k)
-        found = DualSearch(q, d, config.leaf, k).run(lambda at, rows: ids[rows] == query_ids[at])
+        found = DualSearch(q, d, config.leaf, k, floors).run(lambda at, rows: ids[rows] == query_ids[at])
         at = np.repeat(np.arange(len(found)), [len(r) for r, _ in found])
-        return at, np.concatenate([r for r, _ in found]), np.concatenate([s for _, s in found]).astype(np.int64)
+        scores = np.concatenate([s for _, s in found])
+        if scores.dtype == object:
+            scores = np.array([max(LOW, min(HIGH, s)) for s in scores.tolist()], np.int64)
+        return at, np.concatenate([r for r, _ in found]), scores.astype(np.int64)
 
     return search
 
 
-def _in_integers(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int):
-    """The same result for components too large for float64 sums, pair by pair in Python integers."""
-    rows = [[int(x) for x in row] for row in d.tolist()]
-    at, found, score = [], [], []
-    low, high = -(1 << 63), (1 << 63) - 1
-    for i, query in enumerate([[int(x) for x in row] for row in q.tolist()]):
-        exact = [(-sum(a * b for a, b in zip(query, row)), j) for j, row in enumerate(rows) if ids[j] != query_ids[i]]
-        for negative, j in sorted(exact)[:k]:
-            at.append(i)
-            found.append(j)
-            score.append(max(low, min(high, -negative)))
-    return np.array(at, np.int64), np.array(found, np.int64), np.array(score, np.int64)
+LOW, HIGH = -(1 << 63), (1 << 63) - 1
+
+
+@dataclass(frozen=True)
+class Cover:
+    """Cells of all rows: centres with radii, row counts and shards; ``rows`` is (cell, shard, id, v)."""
+
+    rows: DataFrame
+    centres: np.ndarray
+    radii: np.ndarray
+    shards: np.ndarray
+
+
+def choose_centres(points: np.ndarray, count: int) -> np.ndarray:
+    """Farthest-first centres; fewer, if fewer points differ."""
+    if not len(points):
+        return points
+    chosen, gaps = [0], np.full(len(points), np.inf)
+    while len(chosen) < min(count, len(points)):
+        gaps = np.minimum(gaps, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
+        far = int(np.argmax(gaps))
+        if gaps[far] == 0:
+            break
+        chosen.append(far)
+    return points[chosen]
+
+
+def cover(packed: Packed, config: TopkConfig) -> Cover:
+    """Every row goes to the cell of its nearest centre."""
+    wanted = min(config.cells, 2 * -(-packed.count // config.shard_rows)) if packed.count > config.shard_rows else 1
+    centres = choose_centres(quantised(sample(packed, config.centre_sample, config.seed), config.scale), wanted)
+    if not len(centres):  # an empty table
+        centres = np.zeros((1, packed.width))
+    width, dtype, scale = packed.width, packed.dtype, config.scale
+    norms = (centres**2).sum(axis=1)
+    id_type = packed.rows.schema["id"].dataType.simpleString()
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = quantised(unpack(pa.chunked_array([batch.column(2)]), width, dtype), scale)
+            cell = np.argmin(norms - 2 * (x @ centres.T), axis=1)
+            gap = np.sqrt(((x - centres[cell]) ** 2).sum(axis=1)) if len(x) else np.empty(0)
+            gap = np.where(np.isnan(gap), np.inf, gap)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell, pa.int64()), pa.array(gap, pa.float64())], names=["row", "id", "v", "cell", "gap"])
+
+    rows = staged(packed.rows.select("row", "id", "v").mapInArrow(assign, f"row long, id {id_type}, v binary, cell long, gap double"))
+    radii, counts = np.zeros(len(centres)), np.zeros(len(centres), np.int64)
+    for r in rows.groupBy("cell").agg(F.max("gap").alias("gap"), F.count("*").alias("n")).collect():  # a row per cell
+        radii[r["cell"]], counts[r["cell"]] = r["gap"], r["n"]
+    shards = np.maximum(1, -(-counts // config.shard_rows))
+    spread = F.pmod(F.xxhash64("row"), F.get(F.lit(shards.tolist()), F.col("cell").cast("int")))
+    return Cover(rows.select("cell", spread.alias("shard"), "id", "v"), centres, radii, shards)
+
+
+def routes(asked: DataFrame, found: Cover, packed: Packed, config: TopkConfig, home: bool) -> DataFrame:
+    """The queries (id, v, q, floor) with each (cell, shard) they go to: one shard of the home cell
+    (``home``), or all others whose bound reaches the floor."""
+    width, dtype, scale = packed.width, packed.dtype, config.scale
+    centres, radii, shards = found.centres, found.radii, found.shards
+    lengths = np.sqrt((centres**2).sum(axis=1))
+    schema = asked.select("id", "v", "q", "floor").schema.add("cell", "long").add("shard", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = quantised(unpack(pa.chunked_array([batch.column(1)]), width, dtype), scale)
+            q, floor = (batch.column(k).to_numpy() for k in (2, 3))
+            dots, length = x @ centres.T, np.sqrt((x**2).sum(axis=1))[:, None]
+            cell = np.argmax(dots, axis=1)
+            shard = q % shards[cell]
+            if home:
+                at = np.arange(len(q))
+            else:
+                kept = _bound(dots, length * radii, length * lengths) >= floor[:, None]
+                at, cells = np.nonzero(kept)
+                first_cell, first_shard, at_shards = cell, shard, shards[cells]
+                ends = np.cumsum(at_shards)
+                shard = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - at_shards, at_shards)
+                at, cell = np.repeat(at, at_shards), np.repeat(cells, at_shards)
+                other = (cell != first_cell[at]) | (shard != first_shard[at])
+                at, cell, shard = at[other], cell[other], shard[other]
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell, pa.int64()), pa.array(shard, pa.int64())], names=schema.names)
+
+    return asked.select("id", "v", "q", "floor").mapInArrow(run, schema)
+
+
+def meet_routed(routed: DataFrame, found: Cover, packed: Packed, config: TopkConfig, k: int) -> DataFrame:
+    """Queries and rows at the same shard; a cell's rows go out once per block of queries there, those of a cell without queries not at all."""
+    most = routed.groupBy("cell", "shard").count().groupBy("cell").agg(F.max("count").alias("n"))
+    blocks = most.select("cell", F.ceil(F.col("n") / config.query_rows).alias("blocks"))
+    blocks = F.broadcast(blocks)  # a row per cell, of which there are at most ``cells``
+    asked = routed.join(blocks, "cell").withColumn("block", F.pmod("q", "blocks")).drop("blocks")
+    rows = found.rows.join(blocks, "cell").withColumn("block", F.explode(numbers(F.col("blocks"))))
+    search = inner_product_search(config, k)
+    return staged(meetings(rows, asked, ["cell", "shard", "block"], packed, search, "long"))
 
 
 def top_k(
@@ -223,7 +337,17 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` highest inner products of every query. ``is_query`` is a condition on ``id``."""
     packed = pack(vectors, id_col, vector_col, nonzero=False)
-    return search_blocks(packed, is_query, inner_product_search(config, k), k, "long", config.shard_rows, config.query_rows)
+    cells = cover(packed, config)
+    queries = distinct_queries(packed, is_query).withColumn("floor", F.lit(float("-inf")))
+    first = meet_routed(routes(queries, cells, packed, config, home=True), cells, packed, config, k)
+    if cells.shards.sum() == 1:
+        return ranked(first, k)
+    # cut scores are no floor: all beyond the range of 64 bits tie
+    worst = first.groupBy("q").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    worst = worst.where((F.col("n") >= k) & (F.col("least") > LOW)).select("q", F.col("least").cast("double").alias("known"))
+    asked = queries.join(worst, "q", "left").withColumn("floor", F.coalesce("known", "floor"))
+    routed = staged(routes(asked, cells, packed, config, home=False))
+    return ranked(first.unionByName(meet_routed(routed, cells, packed, config, k)), k)
 
 
 def top_k_sql(config: TopkConfig = TopkConfig(), k: int = 10, every: int = 100, vectors: str = "embeddings") -> str:

@@ -68,7 +68,48 @@ def sample(packed: Packed, most: int, seed: str) -> np.ndarray:
     return np.frombuffer(b"".join(found), packed.dtype).reshape(-1, packed.width).astype(np.float64)
 
 
-Search = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
+Search = Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def distinct_queries(packed: Packed, is_query: Column) -> DataFrame:
+    """The queries as (id, v, q), q a number of the query; equal rows with one id are one query."""
+    queries = staged(packed.rows.where(is_query).select("id", "v").distinct())
+    return queries.withColumn("q", F.monotonically_increasing_id())
+
+
+def meetings(left: DataFrame, right: DataFrame, keys: list[str], packed: Packed, search: Search, score_type: str) -> DataFrame:
+    """(q, query_id, vec_id, score) of rows and queries that meet in a cell, one task per cell.
+
+    ``search`` gets the ids and vectors of both and returns (query index, vector index,
+    score): at least the best ``k`` of the cell for each query, without rows of the query's
+    own id. If the queries have a column ``floor``, it gets that, too.
+    """
+    width, dtype = packed.width, packed.dtype
+    id_type = packed.rows.schema["id"].dataType.simpleString()
+    numeric = pa.int64() if score_type == "long" else pa.float64()
+
+    def meet(key: tuple, rows: pa.Table, asked: pa.Table) -> pa.Table:
+        out = {"q": [], "query_id": [], "vec_id": [], "score": []}
+        if rows.num_rows and asked.num_rows:
+            ids, query_ids = rows.column("id").to_numpy(), asked.column("id").to_numpy()
+            order = np.argsort(ids, kind="stable")
+            floors = (asked.column("floor").to_numpy(),) if "floor" in asked.column_names else ()
+            found = search(query_ids, unpack(asked.column("v"), width, dtype), ids[order], unpack(rows.column("v"), width, dtype)[order], *floors)
+            at, found, score = found
+            out = {"q": asked.column("q").to_numpy()[at], "query_id": query_ids[at], "vec_id": ids[order][found], "score": score}
+        kind = rows.schema.field("id").type
+        types = (("q", pa.int64()), ("query_id", kind), ("vec_id", kind), ("score", numeric))
+        return pa.table({name: pa.array(out[name], kind) for name, kind in types})
+
+    cells = left.select(*keys, "id", "v").groupBy(*keys).cogroup(right.groupBy(*keys))
+    return cells.applyInArrow(meet, f"q long, query_id {id_type}, vec_id {id_type}, score {score_type}")
+
+
+def ranked(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of every query: query_id, rank, vec_id, score; ties go to the smaller vec_id."""
+    best = Window.partitionBy("q", "query_id").orderBy(F.desc("score"), "vec_id")
+    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score")
 
 
 def search_blocks(
@@ -78,45 +119,23 @@ def search_blocks(
 
     The rows are dealt evenly to shards and the queries to blocks; every block of queries
     meets every shard in a task of its own, so a task holds ``shard_rows`` rows and
-    ``query_rows`` queries whatever the size of the table. ``search`` gets the ids and
-    vectors of both and returns (query index, vector index, score): at least the best
-    ``k`` of the shard for each query, without rows of the query's own id. Equal rows
-    with a query's id are one query; as candidates they are rows of their own.
+    ``query_rows`` queries whatever the size of the table. Equal rows with a query's id are
+    one query; as candidates they are rows of their own.
     """
-    width, dtype = packed.width, packed.dtype
-    queries = staged(packed.rows.where(is_query).select("id", "v").distinct()).withColumn("q", F.monotonically_increasing_id())
+    queries = distinct_queries(packed, is_query)
     shards = max(1, -(-packed.count // shard_rows))
     blocks = max(1, -(-queries.count() // query_rows))
     # numbers within a file come one after the other, so remainders deal them evenly
     data = packed.rows.withColumn("shard", F.pmod("row", F.lit(shards)))
-    data = data.withColumn("block", F.explode(_numbers(blocks)))
+    data = data.withColumn("block", F.explode(numbers(blocks)))
     asked = queries.withColumn("block", F.pmod("q", F.lit(blocks)))
-    asked = asked.withColumn("shard", F.explode(_numbers(shards)))
-    id_type = packed.rows.schema["id"].dataType.simpleString()
-    numeric = pa.int64() if score_type == "long" else pa.float64()
-
-    def meet(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"q": [], "query_id": [], "vec_id": [], "score": []}
-        if left.num_rows and right.num_rows:
-            ids, query_ids = left.column("id").to_numpy(), right.column("id").to_numpy()
-            order = np.argsort(ids, kind="stable")
-            vectors = unpack(left.column("v"), width, dtype)[order]
-            at, found, score = search(query_ids, unpack(right.column("v"), width, dtype), ids[order], vectors)
-            out = {"q": right.column("q").to_numpy()[at], "query_id": query_ids[at], "vec_id": ids[order][found], "score": score}
-        types = (("q", pa.int64()), ("query_id", left.schema.field("id").type), ("vec_id", left.schema.field("id").type), ("score", numeric))
-        return pa.table({name: pa.array(out[name], kind) for name, kind in types})
-
-    cells = data.select("shard", "block", "id", "v").groupBy("shard", "block").cogroup(
-        asked.select("shard", "block", "q", "id", "v").groupBy("shard", "block")
-    )
-    found = cells.applyInArrow(meet, f"q long, query_id {id_type}, vec_id {id_type}, score {score_type}")
-    best = Window.partitionBy("q", "query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    asked = asked.withColumn("shard", F.explode(numbers(shards)))
+    return ranked(meetings(data, asked, ["shard", "block"], packed, search, score_type), k)
 
 
-def _numbers(n: int) -> Column:
-    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+def numbers(n: int | Column) -> Column:
+    """The array 0 .. n - 1 of longs."""
+    return F.sequence(F.lit(0).cast("long"), ((F.lit(n) if isinstance(n, int) else n) - 1).cast("long"))
 
 
 def best_of(scores: np.ndarray, k: int) -> np.ndarray:

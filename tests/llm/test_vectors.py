@@ -118,6 +118,47 @@ def test_dual_tree_with_repeated_query_ids(spark, scratch_dir):
         assert sorted(tuple(r) for r in topk.top_k(df, F.col("id") % 100 == 0, 10, config=config).collect()) == expected
 
 
+def clustered(spark, clusters, each, seed=11, dims=6):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((clusters, dims))
+    centres *= 3 / np.sqrt((centres**2).sum(1, keepdims=True))
+    x = np.repeat(centres, each, axis=0) + 0.02 * rng.standard_normal((clusters * each, dims))
+    x = x.astype(np.float32).astype(np.float64)
+    return x, spark.createDataFrame([(k, v.tolist(), 0) for k, v in enumerate(x)], SCHEMA)
+
+
+def test_queries_reach_only_the_cells_that_can_matter(spark):
+    config = topk.TopkConfig(leaf=4, shard_rows=64, query_rows=8)
+    pairs = {}
+    for clusters in (30, 60):
+        x, df = clustered(spark, clusters, 50)
+        ids, z = np.arange(len(x)), np.floor(x * 1024).astype(np.int64)
+        packed = topk.pack(df, "vec_id", "embedding", nonzero=False)
+        cells = topk.cover(packed, config)
+        assert cells.shards.sum() > len(x) / 64
+        assert cells.rows.count() == len(x)
+        queries = topk.distinct_queries(packed, F.col("id") % 100 == 0)
+        exact = {q: exact_top(ids, z, q, 10) for q in range(0, len(x), 100)}
+        worst = spark.createDataFrame([(q, float(rows[-1][2])) for q, rows in exact.items()], "id long, floor double")
+        pairs[clusters] = topk.routes(queries.join(worst, "id"), cells, packed, config, home=False).count() / (len(exact) * cells.shards.sum())
+        assert grouped(topk.top_k(df, F.col("id") % 100 == 0, 10, config=config)) == exact
+    assert pairs[30] < 0.5 and pairs[60] < pairs[30]  # shares of all pairs of query and shard
+
+
+def test_cells_cover_their_rows_and_large_ones_are_dealt_to_shards(spark):
+    rows, df = structured(spark)
+    config = topk.TopkConfig(shard_rows=50)
+    packed = topk.pack(df, "vec_id", "embedding", nonzero=False)
+    cells = topk.cover(packed, config)
+    held = cells.rows.collect()
+    assert len(held) == len(rows) + 1  # the zero vector takes part
+    x = topk.quantised(topk.unpack(topk.pa.chunked_array([[bytes(r.v) for r in held]]), packed.width, packed.dtype), 1024)
+    cell, shard = np.array([r.cell for r in held]), np.array([r.shard for r in held])
+    assert (np.sqrt(((x - cells.centres[cell]) ** 2).sum(1)) <= cells.radii[cell] + 1e-9).all()
+    assert (shard < cells.shards[cell]).all() and cells.shards.max() >= 6  # 300 equal rows
+    assert np.bincount(shard[cell == np.argmax(cells.shards)]).max() < 100
+
+
 def test_cover_tree_invariants():
     points = np.random.default_rng(1).standard_normal((300, 3))
     tree = topk.CoverTree(points, 4)
@@ -141,6 +182,19 @@ def test_large_components_use_integers():
     assert found.tolist() == [1, 2] and score.tolist() == [(1 << 63) - 1, -(1 << 63)]
 
 
+def test_large_components_against_plain_integers():
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((6, 3)) * 2.0**17
+    x = np.concatenate([c + rng.standard_normal((40, 3)) * 2.0**9 for c in centres])
+    ids = np.arange(len(x))
+    at, found, score = topk.inner_product_search(topk.TopkConfig(leaf=4), 5)(ids[::20], x[::20], ids, x)
+    z = [[int(v) for v in row] for row in np.floor(x * 1024).tolist()]
+    for n, q in enumerate(ids[::20].tolist()):
+        products = sorted((-sum(a * b for a, b in zip(z[q], row)), j) for j, row in enumerate(z) if j != q)[:5]
+        assert list(zip((-score[at == n]).tolist(), found[at == n].tolist())) == products
+    assert max(abs(p) for p, _ in products) > 2**53
+
+
 def test_inverted_files_give_the_footrule_distance():
     rng = np.random.default_rng(6)
     orders = np.argsort(rng.random((50, 12)), axis=1)[:, :5]

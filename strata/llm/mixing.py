@@ -199,10 +199,21 @@ def plan(
 
 
 def mix(docs: DataFrame, config: MixConfig = MixConfig(), **columns: str) -> DataFrame:
-    """Per row: id, size, source_size, target, taken (words of all its passes) and position (of its first pass)."""
+    """Per row: id, size, source_size, target, taken (words of all its passes) and position (of its first pass).
+
+    The rows are range-sorted by position, as training first meets them; those that give nothing come last.
+    """
     planned = plan(docs, config, **columns)
     taken = F.aggregate("passes", F.lit(0).cast("long"), lambda total, p: total + p["taken"])
-    return planned.withColumn("taken", taken).withColumn("position", F.get("passes", F.lit(0))["position"]).drop("passes", "order")
+    rows = staged(planned.withColumn("taken", taken).withColumn("position", F.get("passes", F.lit(0))["position"]).drop("passes"))
+    # the order splits the rows that have no position, which may be most
+    return in_order(rows, [F.col("position").asc_nulls_last(), "order"]).drop("order")
+
+
+def in_order(rows: DataFrame, places: Sequence[Column | str], ties: Sequence[str] = ()) -> DataFrame:
+    """``rows`` range-sorted by ``places``, equal ones inside a partition by ``ties``."""
+    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartitionByRange(parts, *places).sortWithinPartitions(*places, *ties)
 
 
 def mixed_rows(
@@ -234,9 +245,7 @@ def mixed_rows(
     if length_col:
         length = F.when(F.col("_cut"), F.length(text_col).cast(dict(docs.dtypes)[length_col])).otherwise(F.col(length_col))
         out = out.withColumn(length_col, length)
-    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = out.repartitionByRange(parts, "_position").sortWithinPartitions("_position", id_col, "_order")
-    return ordered.select(*columns)
+    return in_order(out, ["_position"], [id_col, "_order"]).select(*columns)
 
 
 def mix_sql(config: MixConfig = MixConfig(), documents: str = "documents") -> str:

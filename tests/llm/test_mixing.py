@@ -59,6 +59,16 @@ def test_mixed_rows_hold_the_taken_words_in_order(spark):
     assert all(len(r.text) == r.n_chars for r in mixed if plan[r.doc_id].taken < plan[r.doc_id]["size"])
 
 
+def test_plan_rows_are_sorted_by_position(spark):
+    rows = [(k, "w " * (k % 7 + 1), "en", f"s{k % 4 if k % 3 else 0}", 0) for k in range(900)]
+    found = mixing.mix(spark.createDataFrame(rows, SCHEMA))
+    positions = [r.position for r in found.collect()]
+    taken = [p for p in positions if p is not None]
+    assert 0 < len(taken) < 900 and positions == sorted(taken) + [None] * (900 - len(taken))
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 900 / 2  # rows without a position spread, too
+
+
 def test_numbers_follow_the_order(spark):
     df = spark.createDataFrame([(k * 37 % 101,) for k in range(101)], "x long")
     assert sorted((r.x, r.number) for r in mixing.number_rows(df, "x").collect()) == [(k, k) for k in range(101)]

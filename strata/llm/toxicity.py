@@ -85,7 +85,9 @@ def learn_stems(rows: DataFrame, config: ToxicConfig) -> dict[str, float]:
     first = _associated(rows, config)
     matched = _features(rows.select("toxic", F.col("text").alias("kept"), "text"), first)
     free = F.aggregate("patterns", F.lit(0.0), lambda total, x: total + x) == 0
-    rest = matched.where((F.col("toxic") == 0) | free).select("toxic", F.col("kept").alias("text"))
+    # written between the two Python steps: in one task each would hold a worker process of its own,
+    # which Spark keeps for later stages; and the rows are read twice
+    rest = staged(matched.where((F.col("toxic") == 0) | free).select("toxic", F.col("kept").alias("text")))
     return _associated(rest, config) | first
 
 

@@ -119,3 +119,18 @@ def test_edge_rows(spark):
     unlabelled = toxicity.fit(docs, labels.where("false"), F.lit(True))
     assert unlabelled.weights == toxicity.START and unlabelled.stems == {}
     assert toxicity.score(empty_docs(spark), unlabelled).count() == 0
+
+
+def test_a_task_runs_one_python_step(spark, monkeypatch):
+    """Two in one task would keep two worker processes per core."""
+    plans, count = [], toxicity._associated
+
+    def associated(rows, config):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return count(rows, config)
+
+    monkeypatch.setattr(toxicity, "_associated", associated)
+    rows = [(1, f"foul{k % 3} thing {k}") for k in range(30)] + [(0, f"fair thing {k}") for k in range(60)]
+    found = toxicity.learn_stems(spark.createDataFrame(rows, "toxic int, text string"), toxicity.ToxicConfig())
+    assert len(plans) == 2 and not any("MapInArrow" in p for p in plans)
+    assert "foul" in found and "thing" not in found
